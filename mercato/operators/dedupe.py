@@ -74,4 +74,4 @@ def minmax_over(c: str | Column, *partition: str) -> Column:
     col = F.col(c) if isinstance(c, str) else c
     w = Window.partitionBy(*partition)
     mn, mx = F.min(col).over(w), F.max(col).over(w)
-    return F.when(mx == mn, F.lit(0.0)).otherwise((col - mn) / (mx - mn))
+    return F.when(mx == mn, F.lit(0.0)).otherwise(F.try_divide(col - mn, mx - mn))

@@ -1 +1,27 @@
-"""Registered queries beyond the silver jobs (filled stage by stage)."""
+"""Registered queries beyond the silver jobs."""
+
+from __future__ import annotations
+
+from mercato.catalog import register, silver_layer
+from mercato.plans import gold
+
+
+def _gold(fn):
+    def q(spark, sf_dir):
+        return fn(silver_layer(spark, sf_dir))
+    return q
+
+
+register("g1_interactions")(_gold(gold.interactions))
+register("g2_product_features")(_gold(gold.product_features))
+register("g3_customer_profile")(_gold(gold.customer_profile))
+register("g4_category_affinity")(_gold(gold.category_affinity))
+register("g5_cooccurrence")(_gold(gold.cooccurrence))
+register("g6_top_by_segment")(_gold(lambda layer: gold.top_by_segment(layer)))
+
+
+@register("g7_contract")
+def g7_contract(spark, sf_dir):
+    layer = silver_layer(spark, sf_dir)
+    return gold.contract({"user_product_interactions": gold.interactions(layer),
+                          "product_features": gold.product_features(layer)})

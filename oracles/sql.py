@@ -2,10 +2,22 @@
 
 from __future__ import annotations
 
-from oracles.base import silver_table
+from oracles.base import silver_table, with_silver
+from oracles.gold import GOLD, contract_sql
 
 ORACLE: dict[str, str] = {}
 
 for _i, _t in enumerate(["customers", "sellers", "translation", "products", "orders", "order_items",
                          "payments", "reviews", "geolocation"], start=1):
     ORACLE[f"b{_i}_{_t}"] = silver_table(_t)
+
+
+def gold_query(select: str) -> str:
+    return with_silver(f",\n{GOLD}\n{select}")
+
+
+for _n, _t in [("g1_interactions", "interactions"), ("g2_product_features", "product_features"),
+               ("g3_customer_profile", "customer_profile"), ("g4_category_affinity", "category_affinity"),
+               ("g5_cooccurrence", "product_cooccurrence"), ("g6_top_by_segment", "top_products_by_segment")]:
+    ORACLE[_n] = gold_query(f"SELECT * FROM g_{_t}")
+ORACLE["g7_contract"] = gold_query(contract_sql())
