@@ -25,3 +25,38 @@ def g7_contract(spark, sf_dir):
     layer = silver_layer(spark, sf_dir)
     return gold.contract({"user_product_interactions": gold.interactions(layer),
                           "product_features": gold.product_features(layer)})
+
+
+# ---------------------------------------------------------------- details
+from mercato.catalog import bronze  # noqa: E402
+from mercato.plans import details  # noqa: E402
+
+
+def _bronze(fn):
+    def q(spark, sf_dir):
+        return fn(bronze(spark, sf_dir))
+    return q
+
+
+register("h1_zip_geo")(_bronze(lambda b: details.zip_geo(b["geolocation"])))
+register("h2_zip_counts")(_bronze(lambda b: details.zip_counts(b["geolocation"])))
+register("h2_zip_inconsistent")(_bronze(lambda b: details.zip_inconsistent(b["geolocation"])))
+register("h3_delivery")(_bronze(details.delivery))
+register("h4_distance_corr")(_bronze(lambda b: details.distance_time_corr(details.delivery(b))))
+register("h5_density")(_bronze(lambda b: details.density_grid(details.delivery(b))))
+register("h6_sellers")(_bronze(details.sellers_details))
+register("h8_product_repeat")(_bronze(details.product_repeat))
+register("h9_repeat_summary")(_bronze(lambda b: details.repeat_summary(details.product_repeat(b))))
+register("h10_multi_seller")(_bronze(details.multi_seller_summary))
+
+
+@register("h7_customers")
+def h7_customers(spark, sf_dir):
+    b = bronze(spark, sf_dir)
+    profile = gold.customer_profile(silver_layer(spark, sf_dir))
+    return details.customer_details(b, profile, details.delivery(b))
+
+
+@register("h10_product_details")
+def h10_product_details(spark, sf_dir):
+    return details.product_details(bronze(spark, sf_dir), gold.product_features(silver_layer(spark, sf_dir)))

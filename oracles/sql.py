@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from oracles.base import silver_table, with_silver
 from oracles.gold import GOLD, contract_sql
+from oracles.details import DETAILS
 
 ORACLE: dict[str, str] = {}
 
@@ -13,7 +14,7 @@ for _i, _t in enumerate(["customers", "sellers", "translation", "products", "ord
 
 
 def gold_query(select: str) -> str:
-    return with_silver(f",\n{GOLD}\n{select}")
+    return with_silver(f",\n{GOLD},\n{DETAILS}\n{select}")
 
 
 for _n, _t in [("g1_interactions", "interactions"), ("g2_product_features", "product_features"),
@@ -21,3 +22,10 @@ for _n, _t in [("g1_interactions", "interactions"), ("g2_product_features", "pro
                ("g5_cooccurrence", "product_cooccurrence"), ("g6_top_by_segment", "top_products_by_segment")]:
     ORACLE[_n] = gold_query(f"SELECT * FROM g_{_t}")
 ORACLE["g7_contract"] = gold_query(contract_sql())
+
+for _n, _t in [("h1_zip_geo", "zip_geo"), ("h2_zip_counts", "zip_counts"), ("h2_zip_inconsistent", "zip_inconsistent"),
+               ("h3_delivery", "delivery"), ("h4_distance_corr", "corr"), ("h5_density", "density"),
+               ("h6_sellers", "sellers"), ("h7_customers", "customer_details"), ("h8_product_repeat", "product_repeat"),
+               ("h9_repeat_summary", "repeat_summary"), ("h10_product_details", "product_details"),
+               ("h10_multi_seller", "multi_seller")]:
+    ORACLE[_n] = gold_query(f"SELECT * FROM d_{_t}")
