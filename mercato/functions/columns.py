@@ -197,3 +197,14 @@ def fixed_point(c, digits: int = 6) -> Column:
 def ci_equal(a, b) -> Column:
     """case-insensitive equality."""
     return F.upper(_c(a)) == F.upper(_c(b))
+
+
+def exact_mean(c, digits: int):
+    """Mean of a column carried at ``digits`` decimals, from an exact
+    integer sum: the same value whatever the summation order."""
+    col = _c(c)
+    return F.try_divide(F.sum(F.rint(col * F.lit(float(10 ** digits))).cast("bigint")), F.count(col)) \
+        / F.lit(float(10 ** digits))
+
+
+__all__.append("exact_mean")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from mercato.catalog import register, silver_layer
 from mercato.plans import gold
 
@@ -60,3 +62,90 @@ def h7_customers(spark, sf_dir):
 @register("h10_product_details")
 def h10_product_details(spark, sf_dir):
     return details.product_details(bronze(spark, sf_dir), gold.product_features(silver_layer(spark, sf_dir)))
+
+
+# ---------------------------------------------------------------- explorations
+from mercato.operators import histogram  # noqa: E402
+from mercato.plans import dashboards, explore, graph  # noqa: E402
+
+
+def _silver(fn):
+    def q(spark, sf_dir):
+        return fn(silver_layer(spark, sf_dir))
+    return q
+
+
+register("e1_revenue_by_state")(_silver(explore.revenue_by_state))
+register("e2_order_status")(_silver(explore.order_status))
+register("e3_delivery_days_by_state")(_silver(explore.delivery_days_by_state))
+register("e4_late_days_histogram")(_silver(explore.late_days_histogram))
+register("e5_estimated_vs_real")(_silver(explore.estimated_vs_real))
+register("e6_late_rate_by_state")(_silver(explore.late_rate_by_state))
+register("e7_purchases_by_weekday")(_silver(explore.purchases_by_weekday))
+register("e8_late_pct_by_month")(_silver(explore.late_pct_by_month))
+register("e9_approval_outliers")(_silver(explore.approval_outliers))
+register("e10_days_to_arrive")(_silver(explore.days_to_arrive))
+register("e10_undelivered")(_silver(explore.undelivered))
+register("e11_capital_share")(_silver(explore.capital_share))
+register("e12_interaction_stats")(_silver(lambda s: explore.interaction_stats(gold.interactions(s))))
+register("e12_implicit_histogram")(_silver(lambda s: histogram(gold.interactions(s), "implicit_score", 30)))
+register("e12_sentiment_mix")(_silver(lambda s: explore.sentiment_mix(gold.interactions(s))))
+register("e12_top_categories")(_silver(
+    lambda s: explore.top_counts(gold.interactions(s), "product_category_name_english", 10)))
+register("e13_product_stats")(_silver(lambda s: explore.product_stats(gold.product_features(s))))
+register("e13_price_histogram")(_silver(lambda s: explore.clipped_price_histogram(gold.product_features(s))))
+register("e13_score_histogram")(_silver(lambda s: histogram(gold.product_features(s), "avg_review_score", 20)))
+register("e13_top_products")(_silver(lambda s: explore.top_products(gold.product_features(s))))
+register("e14_customer_stats")(_silver(lambda s: explore.customer_stats(gold.customer_profile(s))))
+register("e14_top_states")(_silver(lambda s: explore.top_counts(gold.customer_profile(s), "customer_state", 15)))
+register("e14_top_preferred_categories")(_silver(
+    lambda s: explore.top_counts(gold.customer_profile(s), "preferred_category", 10)))
+register("e14_payment_mix")(_silver(lambda s: explore.value_counts(gold.customer_profile(s), "preferred_payment_type")))
+register("e14_installments_histogram")(_silver(lambda s: histogram(gold.customer_profile(s), "avg_installments", 20)))
+register("e15_affinity_stats")(_silver(lambda s: explore.affinity_stats(gold.category_affinity(s))))
+register("e15_affinity_histogram")(_silver(lambda s: histogram(gold.category_affinity(s), "affinity_score", 50)))
+register("e15_top_affinity_categories")(_silver(lambda s: explore.top_affinity_categories(gold.category_affinity(s))))
+register("e16_top_cooccurrence")(_silver(lambda s: explore.top_cooccurrence(gold.cooccurrence(s))))
+register("e16_count_histogram")(_silver(lambda s: explore.cooccurrence_count_histogram(gold.cooccurrence(s))))
+register("e16_score_histogram")(_silver(lambda s: histogram(gold.cooccurrence(s), "cooccurrence_score", 30)))
+register("e17_segment_coverage")(_silver(lambda s: explore.segment_coverage(gold.top_by_segment(s))))
+
+# ---------------------------------------------------------------- dashboards
+register("d1_price_vs_rating")(_silver(lambda s: dashboards.price_vs_rating(gold.product_features(s))))
+register("d2_top_categories")(_silver(lambda s: dashboards.top_categories(gold.product_features(s))))
+register("d3_by_state")(_silver(lambda s: dashboards.by_state(gold.customer_profile(s))))
+register("d4_by_payment")(_bronze(lambda b: dashboards.by_payment(b["payments"])))
+
+
+@register("d5_product_detail")
+def d5_product_detail(spark, sf_dir):
+    b = bronze(spark, sf_dir)
+    pd_ = details.product_details(b, gold.product_features(silver_layer(spark, sf_dir)))
+    return dashboards.product_detail(b["order_items"].select("product_id"), pd_)
+
+
+# ---------------------------------------------------------------- graph
+def _graph(fn):
+    def q(spark, sf_dir):
+        s = silver_layer(spark, sf_dir)
+        n = graph.nodes(s)
+        return fn(s, n, graph.edges(n))
+    return q
+
+
+register("k1_nodes")(_graph(lambda s, n, e: graph.node_keys(n)))
+register("k2_edges")(_graph(lambda s, n, e: e))
+register("k3_synthetic_keys")(_graph(lambda s, n, e: n["Payment"].select("payment_id", "order_id").unionByName(
+    n["OrderItem"].select(F.col("item_id").alias("payment_id"), "order_id"))))
+register("k4_label_counts")(_graph(lambda s, n, e: graph.label_counts(n)))
+register("k4_rel_counts")(_graph(lambda s, n, e: graph.rel_counts(e)))
+register("k5_path_sample")(_graph(lambda s, n, e: graph.path_sample(e)))
+register("k6_products_by_person")(_graph(lambda s, n, e: graph.products_by_person(n, e)))
+register("k7_top_sellers")(_graph(lambda s, n, e: graph.top_sellers_by_revenue(n, e)))
+register("k8_top_categories_by_review")(_graph(lambda s, n, e: graph.top_categories_by_review(n, e)))
+register("k9_multi_state_buyers")(_graph(lambda s, n, e: graph.multi_state_buyers(n, e)))
+register("k10_expensive_freight")(_graph(lambda s, n, e: graph.expensive_freight(n)))
+register("k11_category_sales")(_silver(graph.category_sales))
+register("k12_category_pairs")(_silver(graph.category_pairs))
+register("k13_state_tickets")(_silver(graph.state_tickets))
+register("k14_payment_revenue")(_silver(graph.payment_revenue))

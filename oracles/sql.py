@@ -5,6 +5,7 @@ from __future__ import annotations
 from oracles.base import silver_table, with_silver
 from oracles.gold import GOLD, contract_sql
 from oracles.details import DETAILS
+from oracles.explore import D, E, GRAPH, K
 
 ORACLE: dict[str, str] = {}
 
@@ -14,7 +15,7 @@ for _i, _t in enumerate(["customers", "sellers", "translation", "products", "ord
 
 
 def gold_query(select: str) -> str:
-    return with_silver(f",\n{GOLD},\n{DETAILS}\n{select}")
+    return with_silver(f",\n{GOLD},\n{DETAILS},\n{GRAPH}\n{select}")
 
 
 for _n, _t in [("g1_interactions", "interactions"), ("g2_product_features", "product_features"),
@@ -29,3 +30,6 @@ for _n, _t in [("h1_zip_geo", "zip_geo"), ("h2_zip_counts", "zip_counts"), ("h2_
                ("h9_repeat_summary", "repeat_summary"), ("h10_product_details", "product_details"),
                ("h10_multi_seller", "multi_seller")]:
     ORACLE[_n] = gold_query(f"SELECT * FROM d_{_t}")
+
+for _n, _q in {**E, **D, **K}.items():
+    ORACLE[_n] = gold_query(_q)
