@@ -149,3 +149,257 @@ register("k11_category_sales")(_silver(graph.category_sales))
 register("k12_category_pairs")(_silver(graph.category_pairs))
 register("k13_state_tickets")(_silver(graph.state_tickets))
 register("k14_payment_revenue")(_silver(graph.payment_revenue))
+
+
+# ---------------------------------------------------------------- recommenders
+from mercato.plans.recommend import als, cold_start, content, copurchase, evaluate, hybrid, router  # noqa: E402
+
+_FITTED: dict = {}
+
+
+class _Assets(dict):
+    """Gold/detail tables the recommenders read, built lazily on first use.
+    Gold tables used by several branches of a plan are checkpointed (a
+    reliable checkpoint in ``spark.checkpoint.dir``, like a written gold
+    table): later stages read them instead of re-deriving them, and lineage
+    stays short if executors are lost."""
+
+    SHARED = {"pf", "profile", "inter", "top", "cooc", "aff", "cust_details", "prod_details"}
+
+    def __init__(self, spark, sf_dir):
+        super().__init__()
+        self.spark, self.sf_dir = spark, sf_dir
+        self._make = {
+            "silver": lambda: silver_layer(spark, sf_dir),
+            "bronze": lambda: bronze(spark, sf_dir),
+            "pf": lambda: gold.product_features(self["silver"]),
+            "profile": lambda: gold.customer_profile(self["silver"]),
+            "inter": lambda: gold.interactions(self["silver"]),
+            "top": lambda: gold.top_by_segment(self["silver"], self["pf"]),
+            "cooc": lambda: gold.cooccurrence(self["silver"]),
+            "aff": lambda: gold.category_affinity(self["silver"]),
+            "cust_details": lambda: details.customer_details(self["bronze"], self["profile"],
+                                                             details.delivery(self["bronze"])),
+            "prod_details": lambda: details.product_details(self["bronze"], self["pf"]),
+        }
+
+    def __missing__(self, key):
+        val = self._make[key]()
+        if key in self.SHARED:
+            val = val.checkpoint(eager=True)
+        self[key] = val
+        return val
+
+
+def _assets(spark, sf_dir):
+    return _Assets(spark, sf_dir)
+
+
+def _profile_requests(a):
+    return a["profile"].select("customer_unique_id", F.col("customer_state").alias("state"),
+                               F.col("preferred_category").alias("category"))
+
+
+def _als(spark, sf_dir):
+    key = ("als", sf_dir)
+    if key not in _FITTED:
+        a = _assets(spark, sf_dir)
+        idx = als.index_interactions(a["inter"])
+        _FITTED[key] = (idx, als.fit(idx))
+    return _FITTED[key]
+
+
+def _ranker(spark, sf_dir, trees: int = 200):
+    key = ("gbt", sf_dir, trees)
+    if key not in _FITTED:
+        a = _assets(spark, sf_dir)
+        ft = hybrid.feature_tables(a["cust_details"], a["prod_details"])
+        sample = hybrid.user_sample(a["profile"], a["inter"])
+        pos = a["inter"].join(sample, "customer_unique_id", "left_semi").select("customer_unique_id", "product_id")
+        neg = hybrid.negatives(pos, a["inter"].select("product_id"))
+        split = hybrid.stratified_split(hybrid.training_set(pos, neg, ft)).checkpoint()
+        model = hybrid.train(split.where(~F.col("is_test")), trees=trees)
+        _FITTED[key] = (ft, split, model)
+    return _FITTED[key]
+
+
+@register("r1_product_text")
+def r1(spark, sf_dir):
+    return content.product_text(_assets(spark, sf_dir)["pf"])
+
+
+@register("r2_tfidf")
+def r2(spark, sf_dir):
+    from mercato.functions import np_round
+    t = content.product_tfidf(_assets(spark, sf_dir)["pf"])
+    return t.withColumn("weight", np_round("weight", 12))
+
+
+@register("r3_similar_products")
+def r3(spark, sf_dir):
+    return content.similar(_assets(spark, sf_dir)["pf"], n=10)
+
+
+@register("r4_density")
+def r4_density(spark, sf_dir):
+    return als.density_report(als.index_interactions(_assets(spark, sf_dir)["inter"]))
+
+
+@register("r4_item_index")
+def r4_index(spark, sf_dir):
+    return als.index_interactions(_assets(spark, sf_dir)["inter"]).items
+
+
+@register("r6_cf_recommendations")
+def r6(spark, sf_dir):
+    idx, model = _als(spark, sf_dir)
+    recs = als.recommend(model, idx, n=10)
+    return als.with_product_attributes(recs, _assets(spark, sf_dir)["pf"]).drop("user_idx", "item_idx")
+
+
+@register("r7_cold_start")
+def r7(spark, sf_dir):
+    a = _assets(spark, sf_dir)
+    return cold_start.recommend(_profile_requests(a), a["top"], n=10)
+
+
+@register("r8_cold_start_serving")
+def r8(spark, sf_dir):
+    a = _assets(spark, sf_dir)
+    return cold_start.recommend_serving(_profile_requests(a), a["top"], n=10)
+
+
+@register("r9_also_bought")
+def r9(spark, sf_dir):
+    return copurchase.also_bought(_assets(spark, sf_dir)["cooc"], n=10)
+
+
+@register("r10_user_sample")
+def r10(spark, sf_dir):
+    a = _assets(spark, sf_dir)
+    return hybrid.user_sample(a["profile"], a["inter"])
+
+
+@register("r11_negatives")
+def r11(spark, sf_dir):
+    a = _assets(spark, sf_dir)
+    sample = hybrid.user_sample(a["profile"], a["inter"])
+    pos = a["inter"].join(sample, "customer_unique_id", "left_semi").select("customer_unique_id", "product_id")
+    return hybrid.negatives(pos, a["inter"].select("product_id"))
+
+
+@register("r12_label_codes")
+def r12(spark, sf_dir):
+    a = _assets(spark, sf_dir)
+    ft = hybrid.feature_tables(a["cust_details"], a["prod_details"])
+    parts = [c.select(F.lit(name).alias("column_name"), "value", "code") for name, c in ft.codes.items()]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+@register("r13_training_set")
+def r13(spark, sf_dir):
+    return _ranker(spark, sf_dir)[1].drop("is_test")
+
+
+@register("r14_split_counts")
+def r14(spark, sf_dir):
+    return _ranker(spark, sf_dir)[1].groupBy("label", "is_test").agg(F.count(F.lit(1)).alias("rows"))
+
+
+@register("r16_ranker_evaluation")
+def r16(spark, sf_dir):
+    ft, split, model = _ranker(spark, sf_dir)
+    return hybrid.evaluate(model, split.where(F.col("is_test")))
+
+
+@register("r17_feature_importance")
+def r17(spark, sf_dir):
+    return hybrid.importances(_ranker(spark, sf_dir)[2])
+
+
+def _hybrid_recs(spark, sf_dir, n=10):
+    idx, model = _als(spark, sf_dir)
+    ft, _, ranker = _ranker(spark, sf_dir)
+    cand = als.recommend(model, idx, n=50)
+    return hybrid.rerank(cand, ft, ranker, n)
+
+
+@register("r18_hybrid")
+def r18(spark, sf_dir):
+    a = _assets(spark, sf_dir)
+    hyb = _hybrid_recs(spark, sf_dir).withColumn("strategy", F.lit("hybrid"))
+    routed = router.route(_profile_requests(a), a["inter"], a["profile"])
+    cold = cold_start.recommend(routed.where(F.col("strategy") == "cold_start"), a["top"], n=10)
+    return hyb.select("customer_unique_id", "rank", "product_id", "strategy").unionByName(
+        cold.select("customer_unique_id", "rank", "product_id", F.lit("cold_start").alias("strategy")))
+
+
+@register("r19_serving_hybrid")
+def r19(spark, sf_dir):
+    a = _assets(spark, sf_dir)
+    idx, model = _als(spark, sf_dir)
+    ft, _, ranker = _ranker(spark, sf_dir)
+    req = _profile_requests(a).withColumn("price", F.lit(None).cast("double"))
+    cand = als.recommend(model, idx, n=50)
+    return hybrid.rerank_with_context(cand, req, ft, ranker)
+
+
+@register("r20_routing")
+def r20_routing(spark, sf_dir):
+    a = _assets(spark, sf_dir)
+    req = a["bronze"]["customers"].select(F.col("customer_unique_id")).distinct()
+    return router.route(req, a["inter"], a["profile"])
+
+
+@register("r20_recommendations")
+def r20(spark, sf_dir):
+    a = _assets(spark, sf_dir)
+    req = a["bronze"]["customers"].select("customer_unique_id").distinct()
+    routed = router.route(req, a["inter"], a["profile"]).join(
+        a["inter"].groupBy("customer_unique_id").agg(F.min("product_id").alias("current_product_id")),
+        "customer_unique_id", "left")
+    idx, model = _als(spark, sf_dir)
+    cf = als.recommend(model, idx, n=10)
+    cold = cold_start.recommend(
+        routed.join(a["profile"].select("customer_unique_id", F.col("customer_state").alias("state"),
+                                        F.col("preferred_category").alias("category")), "customer_unique_id", "left"),
+        a["top"], n=10)
+    return router.combine(routed, _hybrid_recs(spark, sf_dir), cf, cold, copurchase.also_bought(a["cooc"]))
+
+
+@register("r21_content_precision")
+def r21(spark, sf_dir):
+    a = _assets(spark, sf_dir)
+    return evaluate.content_eval(a["inter"], content.similar(a["pf"], n=10), k=10)
+
+
+@register("r22_cf_evaluation")
+def r22(spark, sf_dir):
+    a = _assets(spark, sf_dir)
+    idx, model = _als(spark, sf_dir)
+    split = evaluate.cf_split(a["inter"])
+    excl = split.where(F.col("role") == "filter").join(idx.users, "customer_unique_id").join(idx.items, "product_id") \
+        .select("user_idx", "item_idx")
+    users = split.select("customer_unique_id").distinct().join(idx.users, "customer_unique_id")
+    recs = als.recommend(model, idx, n=10, exclude=excl, users=users).withColumnRenamed("product_id", "rec_id")
+    rel = split.where(F.col("role") == "relevant").select("customer_unique_id", F.col("product_id").alias("rel_id"))
+    return evaluate.summary(evaluate.precision_at_k(recs, rel, 10), "collaborative_filtering_als")
+
+
+@register("r23_content_evaluation")
+def r23(spark, sf_dir):
+    return evaluate.summary(r21(spark, sf_dir), "content_tfidf")
+
+
+@register("r24_method_comparison")
+def r24(spark, sf_dir):
+    return r23(spark, sf_dir).unionByName(r22(spark, sf_dir))
+
+
+@register("r26_cross_category")
+def r26(spark, sf_dir):
+    a = _assets(spark, sf_dir)
+    return router.cross_category(a["aff"], a["top"], a["inter"])

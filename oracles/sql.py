@@ -6,6 +6,7 @@ from oracles.base import silver_table, with_silver
 from oracles.gold import GOLD, contract_sql
 from oracles.details import DETAILS
 from oracles.explore import D, E, GRAPH, K
+from oracles.recommend import RECS, R
 
 ORACLE: dict[str, str] = {}
 
@@ -15,7 +16,7 @@ for _i, _t in enumerate(["customers", "sellers", "translation", "products", "ord
 
 
 def gold_query(select: str) -> str:
-    return with_silver(f",\n{GOLD},\n{DETAILS},\n{GRAPH}\n{select}")
+    return with_silver(f",\n{GOLD},\n{DETAILS},\n{GRAPH},\n{RECS}\n{select}")
 
 
 for _n, _t in [("g1_interactions", "interactions"), ("g2_product_features", "product_features"),
@@ -33,3 +34,6 @@ for _n, _t in [("h1_zip_geo", "zip_geo"), ("h2_zip_counts", "zip_counts"), ("h2_
 
 for _n, _q in {**E, **D, **K}.items():
     ORACLE[_n] = gold_query(_q)
+
+for _n, _q in R.items():
+    ORACLE[_n] = gold_query(_q)
