@@ -61,18 +61,21 @@ def negatives(pos: DataFrame, catalogue: DataFrame, seed: int = 42, oversample:
         return d.join(cat, "_pidx").select(USER, "_n", ITEM)
 
     def finish(c: DataFrame) -> DataFrame:
-        c = c.join(bought, [USER, ITEM], "left_anti")
-        c = c.withColumn("_key", _h(USER, ITEM, seed=seed))
+        # candidates are materialised once: the limit reads them twice
+        c = c.join(bought, [USER, ITEM], "left_anti").withColumn("_key", _h(USER, ITEM, seed=seed)).checkpoint()
         return limit_per_group(c, [USER], "_n", [F.col("_key"), F.col(ITEM)], hash_bucket(F.col("_key"))).select(USER, ITEM)
 
+    def short_of(users: DataFrame, got: DataFrame) -> DataFrame:
+        g = got.groupBy(USER).agg(F.count(F.lit(1)).alias("_g"))
+        return (users.join(g, USER, "left").where(F.coalesce(F.col("_g"), F.lit(0)) < F.col("_n"))
+                .drop("_g").checkpoint())
+
     heavy = need.where(F.col("_n") * 2 >= F.col("_P"))
     light = need.where(F.col("_n") * 2 < F.col("_P"))
-    first = finish(draw(light, oversample, 1))
-    got = first.groupBy(USER).agg(F.count(F.lit(1)).alias("_g"))
-    short = light.join(got, USER, "left").where(F.coalesce(F.col("_g"), F.lit(0)) < F.col("_n")).drop("_g")
-    second = finish(draw(short, oversample * 4, 2))
-    got2 = second.groupBy(USER).agg(F.count(F.lit(1)).alias("_g"))
-    still = short.join(got2, USER, "left").where(F.coalesce(F.col("_g"), F.lit(0)) < F.col("_n")).drop("_g")
+    first = finish(draw(light, oversample, 1)).checkpoint()
+    short = short_of(light, first)
+    second = finish(draw(short, oversample * 4, 2)).checkpoint()
+    still = short_of(short, second)
     done_first = first.join(short.select(USER), USER, "left_anti")
     done_second = second.join(still.select(USER), USER, "left_anti")
     full = finish(enumerate_all(heavy.unionByName(still)))
