@@ -403,3 +403,39 @@ def r24(spark, sf_dir):
 def r26(spark, sf_dir):
     a = _assets(spark, sf_dir)
     return router.cross_category(a["aff"], a["top"], a["inter"])
+
+
+# ---------------------------------------------------------------- quality
+from mercato.plans import quality  # noqa: E402
+
+
+@register("q1_profile_items")
+def q1(spark, sf_dir):
+    return quality.profile(silver_layer(spark, sf_dir)["order_items"], "order_items")
+
+
+@register("q2_missing_share")
+def q2(spark, sf_dir):
+    b = bronze(spark, sf_dir)["products"]
+    s = silver_layer(spark, sf_dir)["products"]
+    return quality.missing_share(b, "before").unionByName(quality.missing_share(s, "after"))
+
+
+@register("q2_quality_score")
+def q2s(spark, sf_dir):
+    return quality.quality_score(silver_layer(spark, sf_dir)["products"])
+
+
+@register("q3_layer_overview")
+def q3(spark, sf_dir):
+    return quality.layer_overview(gold.build(silver_layer(spark, sf_dir)))
+
+
+@register("q4_rules")
+def q4(spark, sf_dir):
+    return quality.rules(gold.build(silver_layer(spark, sf_dir)))
+
+
+@register("q5_customer_assertions")
+def q5(spark, sf_dir):
+    return quality.customer_assertions(silver_layer(spark, sf_dir)["customers"])

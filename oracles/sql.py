@@ -7,6 +7,7 @@ from oracles.gold import GOLD, contract_sql
 from oracles.details import DETAILS
 from oracles.explore import D, E, GRAPH, K
 from oracles.recommend import RECS, R
+from oracles.quality import Q
 
 ORACLE: dict[str, str] = {}
 
@@ -37,3 +38,6 @@ for _n, _q in {**E, **D, **K}.items():
 
 for _n, _q in R.items():
     ORACLE[_n] = gold_query(_q)
+
+for _n, _q in Q.items():
+    ORACLE[_n] = gold_query(_q)
