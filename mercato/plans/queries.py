@@ -439,3 +439,9 @@ def q4(spark, sf_dir):
 @register("q5_customer_assertions")
 def q5(spark, sf_dir):
     return quality.customer_assertions(silver_layer(spark, sf_dir)["customers"])
+
+
+# ---------------------------------------------------------------- sources
+from mercato.sources import io as _io  # noqa: E402
+
+register("s5_head_orders")(_silver(lambda s: _io.head(s["orders"], ["order_id"], 5)))

@@ -41,3 +41,5 @@ for _n, _q in R.items():
 
 for _n, _q in Q.items():
     ORACLE[_n] = gold_query(_q)
+
+ORACLE["s5_head_orders"] = gold_query("SELECT * FROM s_orders ORDER BY order_id LIMIT 5")
