@@ -7,11 +7,10 @@ raw counts, ``idf = ln((1 + n) / (1 + df)) + 1``, L2-normalised rows).
 R3 ranks, for every product, the most similar other products. A product's
 vector depends only on its text, so products collapse into distinct texts
 ("signatures"), whose number is bounded by the attribute domains, not by
-the catalogue size. Cosine is computed signature x signature through the
-shared tokens with the skew-safe pair generator (a token shared by most
-signatures is split across tasks), pruned per signature to the best
-``n + 2`` signatures (``rank()``, so ties at the cut stay), and expanded to
-products: ties in score are broken by product_id ascending (T18).
+the catalogue size. Candidate signatures come from an exact subset lookup
+(see ``similar``), never from all signature pairs; the best ``n + 2``
+signatures per signature are expanded to products, ties in score broken by
+product_id ascending (T18).
 """
 
 from __future__ import annotations
@@ -20,7 +19,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from mercato.functions import feature_price_band, np_round, score_band, sentiment_band
-from mercato.operators import pairs_within, top_n_per_group
+from mercato.operators import top_n_per_group
 
 TOKEN_PATTERN = r"\b\w\w+\b"
 
@@ -71,25 +70,63 @@ def tfidf_by_signature(texts: DataFrame) -> DataFrame:
     return w.select("text", "token", (F.col("_w") / norm).alias("weight"))
 
 
-def similar(pf: DataFrame, n: int = 10, requests: DataFrame | None = None, bucket_rows: int = 2048) -> DataFrame:
+def _signature_table(texts: DataFrame) -> DataFrame:
+    """Per distinct text: token, tf, normalised weight and the raw vector
+    norm (document frequencies over products)."""
+    per_text = texts.groupBy("text").agg(F.count(F.lit(1)).alias("_k"))
+    tok = per_text.select("text", "_k", F.explode(F.regexp_extract_all(F.lower(F.col("text")),
+                                                                      F.lit(TOKEN_PATTERN), 0)).alias("token"))
+    tf = tok.groupBy("text", "token").agg(F.count(F.lit(1)).alias("tf"), F.first("_k").alias("_k"))
+    n = per_text.agg(F.sum("_k").alias("_n"))
+    dfreq = tf.groupBy("token").agg(F.sum("_k").alias("_df"))
+    idf = dfreq.crossJoin(F.broadcast(n)).select("token", (F.log((1 + F.col("_n")) / (1 + F.col("_df"))) + 1).alias("_idf"))
+    w = tf.join(idf, "token").withColumn("_w", F.col("tf") * F.col("_idf"))
+    norm = F.sqrt(F.sum(F.col("_w") * F.col("_w")).over(Window.partitionBy("text")))
+    return w.select("text", "token", "tf", (F.col("_w") / norm).alias("weight"), np_round(norm, 12).alias("norm"))
+
+
+def _subset_keys(sig: DataFrame, max_tokens: int = 8) -> DataFrame:
+    """Every non-empty subset of a text's distinct (token, tf) pairs as a
+    string key. R1 texts have five fields, so at most 31 keys per text."""
+    arr = sig.groupBy("text").agg(F.array_sort(F.collect_list(F.struct("token", "tf"))).alias("_a"),
+                                  F.first("norm").alias("norm"))
+    arr = arr.where(F.size("_a") <= max_tokens)
+    masks = F.explode(F.expr("sequence(1, shiftleft(1, size(_a)) - 1)")).alias("_mask")
+    sub = arr.select("text", "norm", "_a", masks)
+    chosen = F.expr("filter(_a, (x, i) -> (shiftright(_mask, i) & 1) = 1)")
+    key = F.concat_ws("|", F.transform(chosen, lambda x: F.concat(x["token"], F.lit(":"), x["tf"].cast("string"))))
+    return sub.select("text", "norm", key.alias("_key"))
+
+
+def similar(pf: DataFrame, n: int = 10, requests: DataFrame | None = None) -> DataFrame:
     """For every product (or the ``product_id`` rows of ``requests``),
     the ``n`` most similar other products: ``(product_id, rank,
-    similar_product_id, similarity)`` with similarity rounded to 4."""
+    similar_product_id, similarity)`` with similarity rounded to 4.
+
+    Candidate signatures come from an exact subset lookup instead of all
+    pairs: for a query text s and a shared (token, tf) set C, cosine is
+    ``sum_C w_s(t) tf(t) idf(t) / |v_s2|`` -- decreasing in the candidate's
+    norm. So for every subset key C, only the ``n + 2`` smallest-norm texts
+    containing C (rank(), ties kept) can reach s's top list: any text left
+    out is beaten strictly by ``n + 2`` others. Work is ``texts x 31 x (n+2)``
+    instead of ``texts^2``; exact cosines are then computed for the
+    candidates only."""
     texts = product_text(pf)
-    sig = tfidf_by_signature(texts)
-    # cosine between distinct signatures, through shared tokens
-    pairs = pairs_within(sig, "token", "text", bucket_rows, "s1", "s2", payload=("weight",))
+    sig = _signature_table(texts)
+    keys = _subset_keys(sig)
+    lists = (keys.withColumn("_r", F.rank().over(Window.partitionBy("_key").orderBy("norm")))
+             .where(F.col("_r") <= n + 2).select("_key", F.col("text").alias("s2")))
+    cand = keys.select(F.col("text").alias("s1"), "_key").join(lists, "_key").select("s1", "s2").distinct()
+    w1 = sig.select(F.col("text").alias("s1"), "token", F.col("weight").alias("_w1"))
+    w2 = sig.select(F.col("text").alias("s2"), "token", F.col("weight").alias("_w2"))
     # scores are compared at 1e-12 so that float noise never decides a tie
-    dots = pairs.groupBy("s1", "s2").agg(np_round(F.sum(F.col("weight_a") * F.col("weight_b")), 12).alias("cos"))
-    selfdot = sig.groupBy("text").agg(np_round(F.sum(F.col("weight") * F.col("weight")), 12).alias("cos")).select(
-        F.col("text").alias("s1"), F.col("text").alias("s2"), "cos")
-    both = dots.unionByName(dots.select(F.col("s2").alias("s1"), F.col("s1").alias("s2"), "cos")).unionByName(selfdot)
-    w = Window.partitionBy("s1").orderBy(F.col("cos").desc())
-    best_sigs = both.withColumn("_r", F.rank().over(w)).where(F.col("_r") <= n + 2).drop("_r")
+    both = (cand.join(w1, "s1").join(w2, ["s2", "token"]).groupBy("s1", "s2")
+            .agg(np_round(F.sum(F.col("_w1") * F.col("_w2")), 12).alias("cos")))
+    best_sigs = top_n_per_group(both, ["s1"], [F.col("cos").desc()], n + 2, "_r")
     # first n + 1 product ids of each signature are all that can ever be used
     members = top_n_per_group(texts, ["text"], [F.col("product_id").asc()], n + 1, "_m")
-    cand = best_sigs.join(members.select(F.col("text").alias("s2"), F.col("product_id").alias("cand")), "s2")
-    per_sig = top_n_per_group(cand, ["s1"], [F.col("cos").desc(), F.col("cand").asc()], n + 1, "_c")
+    cand_p = best_sigs.join(members.select(F.col("text").alias("s2"), F.col("product_id").alias("cand")), "s2")
+    per_sig = top_n_per_group(cand_p, ["s1"], [F.col("cos").desc(), F.col("cand").asc()], n + 1, "_c")
     src = texts if requests is None else texts.join(requests.select("product_id").distinct(), "product_id", "left_semi")
     out = (src.join(per_sig, src["text"] == per_sig["s1"]).where(F.col("cand") != F.col("product_id"))
            .select("product_id", F.col("cand").alias("similar_product_id"), "cos"))
