@@ -60,3 +60,13 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         conf_dir = tempfile.mkdtemp(prefix="mercato-ckpt-", dir="/tmp")
     sc.setCheckpointDir(conf_dir)
     return sc.getCheckpointDir() or conf_dir
+
+
+def prepare(spark: SparkSession) -> SparkSession:
+    """Settings our results depend on, applied to a session we did not
+    build: day arithmetic on ``timestamp_ntz`` goes through the session time
+    zone, so it is pinned to UTC (no DST shifts in whole-day counts)."""
+    if spark.conf.get("spark.sql.session.timeZone", "UTC") != "UTC":
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    ensure_checkpoint_dir(spark)
+    return spark

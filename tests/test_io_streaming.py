@@ -46,3 +46,17 @@ def test_streaming_keyed_append_is_idempotent(spark):
     q.awaitTermination()
     got = sorted(tuple(r) for r in spark.read.parquet(tgt).collect())
     assert got == [(1, "a"), (2, "c"), (3, "d")]
+
+
+def test_persist_roundtrip(spark):
+    from mercato.plans.recommend import als, persist
+    d = tempfile.mkdtemp(dir="/tmp")
+    inter = spark.createDataFrame([(u, p, 1.0 + (u * p) % 3) for u in range(6) for p in range(5) if (u + p) % 2 == 0],
+                                  "customer_unique_id long, product_id long, implicit_score double")
+    idx = als.index_interactions(inter)
+    model = als.fit(idx, rank=2, max_iter=2)
+    paths = persist.save(d, als_model=model, tables={"items": idx.items})
+    got = persist.load(spark, d, ["items"])
+    assert set(paths) == {"als", "items"}
+    assert got["items"].count() == 5
+    assert got["als"].userFactors.count() == model.userFactors.count()
