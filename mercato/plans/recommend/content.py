@@ -32,44 +32,15 @@ def product_text(pf: DataFrame) -> DataFrame:
     return pf.select("product_id", text.alias("text"))
 
 
-def tfidf(texts: DataFrame, key: str = "text") -> DataFrame:
-    """R2: long-form ``(key, token, weight)`` with L2-normalised rows.
-    Document frequency counts distinct keys; ``n`` counts all keys."""
-    tok = texts.select(key, F.explode(F.regexp_extract_all(F.lower(F.col("text")), F.lit(TOKEN_PATTERN), 0))
-                       .alias("token"))
-    tf = tok.groupBy(key, "token").agg(F.count(F.lit(1)).alias("tf"))
-    n = texts.agg(F.count(F.lit(1)).alias("_n"))
-    df_ = tf.groupBy("token").agg(F.count(F.lit(1)).alias("_df"))
-    idf = df_.crossJoin(F.broadcast(n)).select(
-        "token", (F.log((1 + F.col("_n")) / (1 + F.col("_df"))) + 1).alias("_idf"))
-    w = tf.join(idf, "token").withColumn("_w", F.col("tf") * F.col("_idf"))
-    norm = F.sqrt(F.sum(F.col("_w") * F.col("_w")).over(Window.partitionBy(key)))
-    return w.select(key, "token", (F.col("_w") / norm).alias("weight"))
-
-
 def product_tfidf(pf: DataFrame) -> DataFrame:
     """R2 at product grain: ``(product_id, token, weight)``. Documents are
-    all products (n), as in the reference."""
+    all products (n), as in the reference; weights are computed once per
+    distinct text and joined back."""
     texts = product_text(pf)
-    sig = tfidf_by_signature(texts)
+    sig = _signature_table(texts)
     return texts.join(sig, "text").select("product_id", "token", "weight")
 
 
-def tfidf_by_signature(texts: DataFrame) -> DataFrame:
-    """TF-IDF weights per distinct text, with document frequencies counted
-    over products (a text used by k products counts k times)."""
-    per_text = texts.groupBy("text").agg(F.count(F.lit(1)).alias("_k"))
-    tok = (per_text.select("text", "_k", F.explode(F.regexp_extract_all(F.lower(F.col("text")),
-                                                                        F.lit(TOKEN_PATTERN), 0)).alias("token")))
-    tf = tok.groupBy("text", "token").agg(F.count(F.lit(1)).alias("tf"), F.first("_k").alias("_k"))
-    n = per_text.agg(F.sum("_k").alias("_n"))
-    dfreq = tf.groupBy("token").agg(F.sum("_k").alias("_df"))
-    idf = dfreq.crossJoin(F.broadcast(n)).select("token", (F.log((1 + F.col("_n")) / (1 + F.col("_df"))) + 1).alias("_idf"))
-    w = tf.join(idf, "token").withColumn("_w", F.col("tf") * F.col("_idf"))
-    norm = F.sqrt(F.sum(F.col("_w") * F.col("_w")).over(Window.partitionBy("text")))
-    return w.select("text", "token", (F.col("_w") / norm).alias("weight"))
-
-
 def _signature_table(texts: DataFrame) -> DataFrame:
     """Per distinct text: token, tf, normalised weight and the raw vector
     norm (document frequencies over products)."""

@@ -146,11 +146,16 @@ def training_set(pos: DataFrame, neg: DataFrame, ft: FeatureTables) -> DataFrame
 
 # ---------------------------------------------------------------- R14
 def stratified_split(df: DataFrame, test_fraction: float = 0.2, seed: int = 42) -> DataFrame:
-    """Adds ``is_test``: within each label, the lowest
-    ``test_fraction`` by a seeded hash (the training set is bounded by the
-    user sample, so the per-label window is bounded too)."""
-    w = Window.partitionBy("label").orderBy(_h(USER, ITEM, seed=seed), USER, ITEM)
-    return df.withColumn("is_test", F.percent_rank().over(w) < test_fraction)
+    """Adds ``is_test``: within each label exactly
+    ``ceil(test_fraction * n_label)`` rows, the lowest by a seeded hash.
+    Selected with the bucketed per-group limit, so a label holding half
+    the rows is never ranked in one task."""
+    n = df.groupBy("label").agg(F.ceil(F.count(F.lit(1)) * F.lit(test_fraction)).cast("bigint").alias("_k"))
+    d = df.join(F.broadcast(n), "label").withColumn("_key", _h(USER, ITEM, seed=seed))
+    test = limit_per_group(d, ["label"], "_k", [F.col("_key"), F.col(USER), F.col(ITEM)], hash_bucket(F.col("_key"), 16))
+    flags = test.select(USER, ITEM, "label").withColumn("is_test", F.lit(True))
+    return (df.join(flags, [USER, ITEM, "label"], "left")
+            .withColumn("is_test", F.coalesce(F.col("is_test"), F.lit(False))))
 
 
 # ---------------------------------------------------------------- R15-R17
