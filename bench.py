@@ -35,7 +35,9 @@ def main() -> None:
     from mercato.sources.fixtures import bronze_layer
     from mercato.sources.io import load_layer, write_table
 
-    out = tempfile.mkdtemp(prefix="mercato-bench-", dir="/tmp")
+    # a fresh scratch folder per run (on a cluster: BENCH_OUT_DIR on shared storage)
+    base = os.environ.get("BENCH_OUT_DIR")
+    out = f"{base.rstrip('/')}/run-{int(time.time())}" if base else tempfile.mkdtemp(prefix="mercato-bench-", dir="/tmp")
     times: dict[str, float] = {}
 
     def timed(name, fn):

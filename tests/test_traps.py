@@ -7,7 +7,7 @@ import math
 import pytest
 from pyspark.sql import functions as F
 
-from mercato.functions import floor_days_between, haversine_km, norm_state, norm_zip, price_band
+from mercato.functions import haversine_km, norm_state, norm_zip, price_band
 from mercato.plans import gold, silver
 from mercato.plans.recommend import content
 
