@@ -28,77 +28,15 @@ SKIP_ML = os.environ.get("BENCH_SKIP_ML", "0") == "1"
 def main() -> None:
     from mercato.session import get_session
     spark = get_session(f"local[{CPUS}]", app="mercato-bench", shuffle_partitions=max(8, CPUS * 2))
-    from pyspark.sql import functions as F
-
-    from mercato.plans import dashboards, details, explore, gold, graph, silver
-    from mercato.plans.recommend import als, cold_start, content, copurchase, router
+    from mercato import jobs
     from mercato.sources.fixtures import bronze_layer
-    from mercato.sources.io import load_layer, write_table
 
     # a fresh scratch folder per run (on a cluster: BENCH_OUT_DIR on shared storage)
     base = os.environ.get("BENCH_OUT_DIR")
     out = f"{base.rstrip('/')}/run-{int(time.time())}" if base else tempfile.mkdtemp(prefix="mercato-bench-", dir="/tmp")
     times: dict[str, float] = {}
-
-    def timed(name, fn):
-        t = time.time()
-        fn()
-        times[name] = round(time.time() - t, 3)
-
-    def noop(df):
-        df.write.format("noop").mode("overwrite").save()
-
-    bronze = bronze_layer(spark, SF_DIR)
-    # silver layer: one job per table
-    for name, df in silver.build(bronze).items():
-        timed(f"silver_{name}", lambda df=df, name=name: write_table(df, f"{out}/silver/{name}"))
-    s = load_layer(spark, f"{out}/silver")
-    # gold layer
-    g = gold.build(s)
-    for name in ["user_product_interactions", "product_features", "customer_profile", "category_affinity",
-                 "product_cooccurrence"]:
-        timed(f"gold_{name}", lambda name=name: write_table(g[name], f"{out}/gold/{name}"))
-    gl = load_layer(spark, f"{out}/gold")
-    timed("gold_top_products_by_segment",
-          lambda: write_table(gold.top_by_segment(s, gl["product_features"]), f"{out}/gold/top_products_by_segment"))
-    gl = load_layer(spark, f"{out}/gold")
-    # details (bronze base tables + gold, like the reference)
-    timed("details_delivery", lambda: write_table(details.delivery(bronze), f"{out}/details/delivery"))
-    dl = spark.read.parquet(f"{out}/details/delivery")
-    timed("details_sellers", lambda: write_table(details.sellers_details(bronze), f"{out}/details/sellers"))
-    timed("details_customers", lambda: write_table(details.customer_details(bronze, gl["customer_profile"], dl),
-                                                   f"{out}/details/customers"))
-    timed("details_products", lambda: write_table(details.product_details(bronze, gl["product_features"]),
-                                                  f"{out}/details/products"))
-    timed("details_density_corr", lambda: (noop(details.density_grid(dl)), noop(details.distance_time_corr(dl))))
-    # explorations / dashboards / graph
-    timed("explore_silver", lambda: [noop(f(s)) for f in (
-        explore.revenue_by_state, explore.delivery_days_by_state, explore.late_rate_by_state,
-        explore.purchases_by_weekday, explore.late_pct_by_month, explore.approval_outliers, explore.days_to_arrive)])
-    timed("dashboards", lambda: [noop(dashboards.price_vs_rating(gl["product_features"])),
-                                 noop(dashboards.top_categories(gl["product_features"])),
-                                 noop(dashboards.by_state(gl["customer_profile"])),
-                                 noop(dashboards.by_payment(bronze["payments"]))])
-    nodes = graph.nodes(s)
-    timed("graph_edges", lambda: write_table(graph.edges(nodes), f"{out}/graph/edges"))
-    e = spark.read.parquet(f"{out}/graph/edges")
-    timed("graph_queries", lambda: [noop(graph.top_sellers_by_revenue(nodes, e)),
-                                    noop(graph.top_categories_by_review(nodes, e)),
-                                    noop(graph.multi_state_buyers(nodes, e)), noop(graph.category_pairs(s))])
-    # recommenders
-    pf, top, inter = gl["product_features"], gl["top_products_by_segment"], gl["user_product_interactions"]
-    timed("rec_content_similar", lambda: write_table(content.similar(pf, 10), f"{out}/rec/similar"))
-    req = gl["customer_profile"].select("customer_unique_id", F.col("customer_state").alias("state"),
-                                        F.col("preferred_category").alias("category"))
-    timed("rec_cold_start", lambda: noop(cold_start.recommend(req, top)))
-    timed("rec_also_bought", lambda: noop(copurchase.also_bought(gl["product_cooccurrence"])))
-    timed("rec_cross_category", lambda: noop(router.cross_category(gl["category_affinity"], top, inter)))
-    if not SKIP_ML:
-        def cf():
-            idx = als.index_interactions(inter)
-            model = als.fit(idx)
-            write_table(als.recommend(model, idx, 10), f"{out}/rec/cf")
-        timed("rec_als_fit_recommend", cf)
+    jobs.run(spark, bronze_layer(spark, SF_DIR), out, timer=lambda n, s: times.__setitem__(n, round(s, 3)),
+             ml=not SKIP_ML)
     total = round(sum(times.values()), 3)
     sf = os.path.basename(SF_DIR.rstrip("/")).replace("sf", "")
     print(json.dumps({"metric": "end_to_end_seconds", "value": total, "unit": "sec", "queries": times,

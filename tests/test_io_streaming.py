@@ -60,3 +60,15 @@ def test_persist_roundtrip(spark):
     assert set(paths) == {"als", "items"}
     assert got["items"].count() == 5
     assert got["als"].userFactors.count() == model.userFactors.count()
+
+
+def test_batch_job_writes_every_layer(spark):
+    from mercato import jobs
+    from mercato.sources.fixtures import bronze_layer
+    from tests.conftest import SF_SMALL
+    d = tempfile.mkdtemp(dir="/tmp")
+    done = []
+    jobs.run(spark, bronze_layer(spark, SF_SMALL), d, timer=lambda n, s: done.append(n), reports=False, ml=False)
+    assert {"silver", "gold", "details", "rec"} <= set(os.listdir(d))
+    assert spark.read.parquet(f"{d}/gold/top_products_by_segment").count() > 0
+    assert "rec_cross_category" in done
