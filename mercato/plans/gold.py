@@ -121,9 +121,10 @@ def customer_profile(layer: dict[str, DataFrame]) -> DataFrame:
     cust = layer["customers"]
     spine = keep_first(cust.select("customer_unique_id", "customer_id", "customer_city", "customer_state"),
                        ["customer_unique_id"], ["customer_id"]).drop("customer_id")
-    op = order_person(layer)
+    # orders x customers once; every per-person branch reuses it
     orders = layer["orders"].select("order_id", "customer_id", "delivery_days", "is_late").join(
         cust.select("customer_id", "customer_unique_id"), "customer_id", "left")
+    op = orders.select("order_id", "customer_unique_id")
     order_agg = orders.where(F.col("customer_unique_id").isNotNull()).groupBy("customer_unique_id").agg(
         F.count("order_id").alias("total_orders"), F.avg("delivery_days").alias("avg_delivery_days"),
         F.avg(F.col("is_late").cast("int")).alias("is_late_buyer_pct"))
