@@ -186,7 +186,7 @@ def multi_state_buyers(n: dict[str, DataFrame], e: DataFrame, min_states: int =
     return (agg.where(F.size("_st") >= min_states)
             .join(n["Customer"].select(F.col("customer_id").alias("customer"), F.col("state").alias("customer_state")),
                   "customer")
-            .select(F.col("customer").alias("customer_id"), "customer_state", F.size("_st").alias("n_states"),
+            .select(F.col("customer").alias("customer_id"), "customer_state", F.size("_st").cast("bigint").alias("n_states"),
                     F.array_join("_st", ",").alias("states")))
 
 
