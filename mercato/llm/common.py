@@ -8,8 +8,11 @@ hashes; two different words share one with probability 2^-64 a pair.
 
 from __future__ import annotations
 
+import os
+import tempfile
 import uuid
-from collections.abc import Iterator
+import zipfile
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -38,6 +41,33 @@ def cut(df: DataFrame, name: str = "cut") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors' Python, once an application, as
+    ``--py-files`` would: tasks import the operators by name."""
+    sc = spark.sparkContext
+    if sc.applicationId in _shipped:
+        return
+    top = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    path = os.path.join(tempfile.mkdtemp(), f"{os.path.basename(top)}.zip")
+    with zipfile.ZipFile(path, "w") as z:
+        for folder, _, names in os.walk(top):
+            for n in sorted(names):
+                if n.endswith(".py"):
+                    full = os.path.join(folder, n)
+                    z.write(full, os.path.relpath(full, os.path.dirname(top)))
+    sc.addPyFile(path)
+    _shipped.add(sc.applicationId)
+
+
+def map_arrow(df: DataFrame, fn: Callable, schema) -> DataFrame:
+    """``df.mapInArrow`` with this package at hand in the tasks."""
+    ship(df.sparkSession)
+    return df.mapInArrow(fn, schema)
+
+
 def crc_mod(id_col: str, n: int):
     """crc32(id as text) mod n; null for a null id."""
     return F.crc32(F.col(id_col).cast("string")) % F.lit(n)
@@ -172,3 +202,94 @@ def shingle_hashes(words: np.ndarray, first: np.ndarray, size: int = 5):
 
 def arrow_strings(values) -> pa.Array:
     return pa.array(values, pa.string())
+
+
+def whole_groups(batches: Iterator[pa.RecordBatch], keys: list[str], rows: int = 20_000) -> Iterator[pa.Table]:
+    """Tables of about ``rows`` rows that never end inside a group; the input
+    must be sorted by ``keys``. The rest of an open group is carried on."""
+    held: list[pa.Table] = []
+    n = 0
+    for batch in batches:
+        held.append(pa.Table.from_batches([batch]))
+        n += batch.num_rows
+        if n < rows:
+            continue
+        t = pa.concat_tables(held).combine_chunks()
+        change = np.zeros(t.num_rows, bool)
+        for k in keys:
+            v = t.column(k).to_numpy()
+            change[1:] |= v[1:] != v[:-1]
+        at = np.flatnonzero(change)
+        if len(at) == 0:
+            held = [t]
+            continue
+        yield t.slice(0, at[-1])
+        held, n = [t.slice(at[-1])], t.num_rows - int(at[-1])
+    if held:
+        t = pa.concat_tables(held).combine_chunks()
+        if t.num_rows:
+            yield t
+
+
+def group_starts(t: pa.Table, keys: list[str]) -> np.ndarray:
+    """Index of the first row of each group of a sorted table."""
+    change = np.zeros(t.num_rows, bool)
+    change[:1] = True
+    for k in keys:
+        v = t.column(k).to_numpy()
+        change[1:] |= v[1:] != v[:-1]
+    return np.flatnonzero(change)
+
+
+def forest(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Smallest member index of the component of each of n nodes (edges a-b)."""
+    root = np.arange(n)
+    while len(a):
+        ra, rb = root[a], root[b]
+        low, high = np.minimum(ra, rb), np.maximum(ra, rb)
+        open_ = low < high
+        if not open_.any():
+            break
+        a, b = a[open_], b[open_]
+        np.minimum.at(root, high[open_], low[open_])
+        while True:
+            up = root[root]
+            if (up == root).all():
+                break
+            root = up
+    return root
+
+
+def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
+    """(a, b) edges between bigint nodes -> (node, root): smallest node of each
+    connected component, for every node on an edge.
+
+    Alternating large-star and small-star rounds; every round is written, so a
+    lost executor repeats one round at most. A node with very many neighbours
+    is only ever aggregated (map-side) and joined, never collected.
+    """
+    edges = cut(edges.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
+                .distinct(), "edges")
+
+    def stamp(e: DataFrame):
+        return tuple(e.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
+
+    seen = stamp(edges)
+    for _ in range(max_rounds):
+        both = edges.union(edges.select(F.col("b"), F.col("a"))).toDF("u", "v")
+        low = both.groupBy("u").agg(F.least("u", F.min("v")).alias("m"))
+        large = (both.filter("v > u").join(low, "u").filter("v <> m")
+                 .select(F.col("v").alias("a"), F.col("m").alias("b")).distinct())
+        low = large.groupBy("a").agg(F.min("b").alias("m"))
+        pairs = large.join(low, "a")
+        small = (pairs.select("a", F.col("m").alias("b")).union(pairs.filter("b <> m").select(F.col("b"), F.col("m")))
+                 .distinct())
+        edges = cut(small, "edges")
+        now = stamp(edges)
+        if now == seen:
+            break
+        seen = now
+    else:
+        raise RuntimeError("components did not settle")
+    return (edges.select(F.col("a").alias("node"), F.col("b").alias("root"))
+            .union(edges.select(F.col("b"), F.col("b")).distinct()))

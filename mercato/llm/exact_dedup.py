@@ -55,7 +55,8 @@ def directory(histogram: DataFrame, capacity: int, max_depth: int) -> DataFrame:
     by_prefix = (histogram.select("cell", "n", depths).select("cell", "n", "depth", prefix))
     filled = by_prefix.groupBy("depth", "prefix").agg(F.sum("n").alias("filled"))
     fits = filled.filter((F.col("filled") <= capacity) | (F.col("depth") == max_depth))
-    return (by_prefix.join(fits, ["depth", "prefix"])
+    # fewer than 2^(max_depth + 1) rows, whatever the input
+    return (by_prefix.join(F.broadcast(fits), ["depth", "prefix"])
             .groupBy("cell").agg(F.min(F.struct("depth", "prefix")).alias("leaf"))
             .select("cell", F.col("leaf.depth").alias("depth"),
                     F.concat_ws("/", F.col("leaf.depth"), F.col("leaf.prefix")).alias("bucket")))

@@ -9,8 +9,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from mercato.llm import exact_dedup, mixing
+from mercato.llm import decontaminate, exact_dedup, jaccard_join, mixing, quality_fm
+from mercato.llm.common import held_out
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -21,11 +23,30 @@ def op2_mixing(spark, sf_dir):
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
+def op4_jaccard_join(spark, sf_dir):
+    return jaccard_join.links(table(spark, sf_dir, "documents"))
+
+
+def op7_quality(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    model = quality_fm.train(docs, table(spark, sf_dir, "labels"))
+    return (quality_fm.score(docs, model)
+            .select("doc_id", held_out("doc_id", 3, 1).alias("held_out"), "score",
+                    (F.col("score") >= 0.5).cast("int").alias("predicted")))
+
+
+def op8_decontaminate(spark, sf_dir):
+    return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op9_exact_dedup(spark, sf_dir):
     return exact_dedup.groups(table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_mixing": op2_mixing,
+    "op4_jaccard_join": op4_jaccard_join,
+    "op7_quality": op7_quality,
+    "op8_decontaminate": op8_decontaminate,
     "op9_exact_dedup": op9_exact_dedup,
 }
