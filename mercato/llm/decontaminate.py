@@ -52,9 +52,10 @@ def stride(c: int) -> int:
     return int(np.ceil(2 ** (c / 2) - 1e-9))
 
 
-def keys_of(minima: np.ndarray, k: int, c) -> np.ndarray:
-    """Key of MinHash value k in size class c."""
-    return mix(minima + U64(k + 1) * U64(0xC2B2AE3D27D4EB4F) + np.asarray(c).astype(U64) * U64(0x165667B19E3779F9))
+def keys_of(minima: np.ndarray, k: int, c: int) -> np.ndarray:
+    """Keys of values of MinHash function k in size class c."""
+    tag = (k + 1) * 0xC2B2AE3D27D4EB4F + c * 0x165667B19E3779F9
+    return mix(minima + U64(tag & 0xFFFFFFFFFFFFFFFF))
 
 
 def _shingles(data, off):
@@ -79,8 +80,8 @@ def _items(batches):
                 if len(own) == 0:
                     continue
                 c = int(size_class(np.array([len(own)]))[0])
-                keys = [int(keys_of((own * _MULT[k]).min(), k, c).view(np.int64)) for k in range(HASHES)]
-                out.append((i + r, c, keys, own.view(np.int64)))
+                keys = np.concatenate([keys_of(np.min(own * _MULT[k], keepdims=True), k, c) for k in range(HASHES)])
+                out.append((i + r, c, keys.view(np.int64), own.view(np.int64)))
             if out:
                 rows = pa.array([o[0] for o in out], pa.int64())
                 yield pa.RecordBatch.from_arrays([

@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mercato.llm import decontaminate, exact_dedup, jaccard_join, mixing, quality_fm
+from mercato.llm import decontaminate, exact_dedup, hmm_lm, jaccard_join, langid, mixing, quality_fm
 from mercato.llm.common import held_out
 
 
@@ -23,10 +23,20 @@ def op2_mixing(spark, sf_dir):
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
+def op3_langid(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    return (langid.predict(docs, langid.train(docs))
+            .select("doc_id", held_out("doc_id", 5, 0).alias("held_out"), "lang_pred", "score"))
+
+
 def op4_jaccard_join(spark, sf_dir):
     return jaccard_join.links(table(spark, sf_dir, "documents"))
 
 
+def op5_hmm_lm(spark, sf_dir):
+    return hmm_lm.score(table(spark, sf_dir, "documents"))
+
+
 def op7_quality(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     model = quality_fm.train(docs, table(spark, sf_dir, "labels"))
@@ -45,7 +55,9 @@ def op9_exact_dedup(spark, sf_dir):
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_mixing": op2_mixing,
+    "op3_langid": op3_langid,
     "op4_jaccard_join": op4_jaccard_join,
+    "op5_hmm_lm": op5_hmm_lm,
     "op7_quality": op7_quality,
     "op8_decontaminate": op8_decontaminate,
     "op9_exact_dedup": op9_exact_dedup,
