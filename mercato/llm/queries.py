@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mercato.llm import decontaminate, exact_dedup, hmm_lm, jaccard_join, langid, mixing, quality_fm
+from mercato.llm import decontaminate, exact_dedup, hmm_lm, jaccard_join, langid, mixing, quality_fm, secret_scan
 from mercato.llm.common import held_out
 
 
@@ -53,6 +53,11 @@ def op9_exact_dedup(spark, sf_dir):
     return exact_dedup.groups(table(spark, sf_dir, "documents"))
 
 
+def op10_secret_scan(spark, sf_dir):
+    return (secret_scan.scan(table(spark, sf_dir, "documents"))
+            .select("doc_id", "n_assign", "n_access", "n_hex", "n_random", "base_sha256", "spans"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_mixing": op2_mixing,
     "op3_langid": op3_langid,
@@ -61,4 +66,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_quality": op7_quality,
     "op8_decontaminate": op8_decontaminate,
     "op9_exact_dedup": op9_exact_dedup,
+    "op10_secret_scan": op10_secret_scan,
 }
