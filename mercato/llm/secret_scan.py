@@ -11,10 +11,10 @@ is a test:
   middle of the alphabet and a lag-1 serial correlation test give three p-values
   under "uniformly random"; Fisher's method combines them. Below ``GATE`` the
   run isn't random and is let go;
-* what is left gets a p-value under "ordinary text": how likely a run of its
-  length, drawn from the corpus's own character frequencies, is as uniform as
-  that (normal approximation with the exact mean and variance of the
-  chi-squared statistic under those frequencies, so the length counts);
+* what is left gets a p-value under "ordinary text", characters drawn with the
+  corpus's own frequencies of the encoding's alphabet: one over the likelihood
+  ratio of uniform to ordinary, which under ordinary text exceeds 1/p with
+  probability at most p, so that evidence grows with the length;
 * over all tests of the whole corpus, a weighted Benjamini-Hochberg step (a
   run's weight is its length over the mean length) keeps the false-discovery
   rate at ``FDR``. The step needs only counts of p-values on a fixed grid,
@@ -115,7 +115,7 @@ def patterns(data: np.ndarray, off: np.ndarray) -> list[tuple[int, int, int]]:
 
 
 def battery(data: np.ndarray, starts: np.ndarray, ends: np.ndarray):
-    """(encoding, chi-squared, combined p-value under randomness) of byte runs."""
+    """(encoding, combined p-value under randomness) of byte runs."""
     n = ends - starts
     m = len(n)
     run = np.repeat(np.arange(m), n)
@@ -152,26 +152,21 @@ def battery(data: np.ndarray, starts: np.ndarray, ends: np.ndarray):
     p3 = np.where(var > 0, _erfc(np.abs(r + 1 / n) * np.sqrt(n) / math.sqrt(2)), 0.0)
 
     half = -(np.log(np.maximum(p1, 1e-300)) + np.log(np.maximum(p2, 1e-300)) + np.log(np.maximum(p3, 1e-300)))
-    return encoding, chi2, np.exp(-half) * (1 + half + half * half / 2)
+    return encoding, np.exp(-half) * (1 + half + half * half / 2)
 
 
-def ordinary_p(chi2: np.ndarray, n: np.ndarray, encoding: np.ndarray, freq: np.ndarray) -> np.ndarray:
-    """How likely a run of n characters, drawn with the corpus frequencies of
-    its encoding's characters, has a chi-squared statistic as small as that."""
-    q2, q3 = np.zeros(len(ENCODINGS)), np.zeros(len(ENCODINGS))
+def ordinary_p(data: np.ndarray, n: np.ndarray, encoding: np.ndarray, freq: np.ndarray) -> np.ndarray:
+    """p-values under ordinary text of runs of n bytes that lie end to end."""
+    ratio = np.zeros((len(ENCODINGS), 256))
     for e, (_, a) in enumerate(ENCODINGS):
         q = freq[list(a)] + 1.0
-        q = q / q.sum()
-        q2[e], q3[e] = (q ** 2).sum(), (q ** 3).sum()
-    k, q2, q3 = _SIZE[encoding], q2[encoding], q3[encoding]
-    mean = k * (1 + (n - 1) * q2) - n
-    var = 4 * n * (n - 1) * (n - 2) * q3 + 2 * n * (n - 1) * q2 - 2 * n * (n - 1) * (2 * n - 3) * q2 ** 2
-    sd = np.sqrt(np.maximum(var, 1e-9)) * k / n
-    return _erfc(np.clip((mean - chi2) / sd, -30, 30) / math.sqrt(2)) / 2
+        ratio[e, list(a)] = -np.log(len(a) * q / q.sum())
+    run = np.repeat(np.arange(len(n)), n)
+    return np.exp(-np.clip(np.bincount(run, weights=ratio[encoding[run], data], minlength=len(n)), 0, 690))
 
 
 _SCHEMA = ("base_start array<int>, base_kind array<int>, base_end array<int>, run_start array<int>, run_end array<int>, "
-           "run_code array<int>, run_chi2 array<double>, tests long, length long, bytes binary")
+           "run_code array<int>, run_text array<string>, tests long, length long, bytes binary")
 
 
 def _scan(batches):
@@ -194,16 +189,16 @@ def _scan(batches):
             tests = np.bincount(doc, minlength=n)
             length = np.bincount(doc, weights=ends - starts, minlength=n).astype(np.int64)
             if len(starts):
-                code, chi2, p = battery(own, starts, ends)
+                code, p = battery(own, starts, ends)
                 # pattern spans are known secrets: no overlap with them
                 covered = np.zeros(len(own) + 1, np.int64)
                 np.add.at(covered, bs, 1)
                 np.add.at(covered, be, -1)
                 inside = np.concatenate([[0], np.cumsum(np.cumsum(covered[:-1]) > 0)])
                 ok = (p >= GATE) & (inside[ends] == inside[starts])
-                starts, ends, doc, code, chi2 = starts[ok], ends[ok], doc[ok], code[ok], chi2[ok]
+                starts, ends, doc, code = starts[ok], ends[ok], doc[ok], code[ok]
             else:
-                code, chi2 = np.zeros(0, int), np.zeros(0)
+                code = np.zeros(0, int)
             lead = point[at[:-1]]
             b_first, r_first = np.searchsorted(row, np.arange(n + 1)), np.searchsorted(doc, np.arange(n + 1))
             counts = [None] * n
@@ -213,7 +208,7 @@ def _scan(batches):
                 lists(b_first, point[bs] - lead[row], pa.int32()), lists(b_first, bk, pa.int32()),
                 lists(b_first, point[be] - lead[row], pa.int32()),
                 lists(r_first, point[starts] - lead[doc], pa.int32()), lists(r_first, point[ends] - lead[doc], pa.int32()),
-                lists(r_first, code, pa.int32()), lists(r_first, chi2, pa.float64()),
+                lists(r_first, code, pa.int32()), lists(r_first, [own[p:q].tobytes().decode() for p, q in zip(starts, ends, strict=True)], pa.string()),
                 pa.array(tests.astype(np.int64)), pa.array(length), pa.array(counts, pa.binary())],
                 ["doc_id", *(c.split()[0] for c in _SCHEMA.split(", "))])
 
@@ -229,9 +224,10 @@ def _byte_counts(batches):
 
 def _places(batch: pa.RecordBatch, freq: np.ndarray, mean: float) -> np.ndarray:
     """Grid place of the weighted p-value of every run of a batch."""
-    flat = {c: batch.column(c).flatten().to_numpy(zero_copy_only=False) for c in ("run_start", "run_end", "run_code", "run_chi2")}
-    n = (flat["run_end"] - flat["run_start"]).astype(float)
-    p = ordinary_p(flat["run_chi2"], n, flat["run_code"], freq) / (n / mean)
+    code = batch.column("run_code").flatten().to_numpy(zero_copy_only=False)
+    data, off = text_bytes(batch.column("run_text").flatten())
+    n = np.diff(off)
+    p = ordinary_p(data, n, code, freq) / (n / mean)
     return np.floor(-np.log(np.clip(p, 1e-300, 1.0)) * GRID).astype(np.int64)
 
 
@@ -257,7 +253,7 @@ def scan(docs: DataFrame, *, fdr: float = FDR, id_col: str = "doc_id", text_col:
             yield pa.RecordBatch.from_arrays([pa.array(place), pa.array(n)], ["place", "n"])
 
     # at most as many rows as the grid has places
-    grid = (rows.select("run_start", "run_end", "run_code", "run_chi2").filter("size(run_start) > 0")
+    grid = (rows.select("run_code", "run_text").filter("size(run_code) > 0")
             .transform(map_arrow, place_counts, "place long, n long").groupBy("place").agg(F.sum("n").alias("n"))
             .orderBy(F.desc("place")).collect())
     cutoff, so_far = math.inf, 0
