@@ -11,14 +11,27 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mercato.llm import decontaminate, exact_dedup, hmm_lm, jaccard_join, langid, mixing, quality_fm, secret_scan
-from mercato.llm.common import held_out
+from mercato.llm import chat_format, decontaminate, exact_dedup, hmm_lm, jaccard_join, langid, mixing, quality_fm, secret_scan
+from mercato.llm.common import held_out, learnable
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_chat_format(spark, sf_dir):
+    """The conversations as transcripts that name the speaker of every other
+    turn only (by hash); the role column trains the model on four fifths of
+    the conversations and is no input of the decoding."""
+    c = table(spark, sf_dir, "conversations")
+    named = F.crc32(F.concat_ws(":", F.col("conv_id").cast("string"), F.col("turn").cast("string"))) % 2 == 0
+    shown = F.when(named & F.col("role").isNotNull(), F.concat(F.initcap("role"), F.lit(": "), F.coalesce("text", F.lit(""))))
+    transcripts = c.select("conv_id", "turn", "role", F.coalesce(shown, "text").alias("text"))
+    learn = c.filter(learnable("conv_id", 5, 0)).select("conv_id")
+    turns = chat_format.parse(transcripts, learn=learn, role_col="role")
+    return turns.withColumn("held_out", held_out("conv_id", 5, 0))
+
+
 def op2_mixing(spark, sf_dir):
     return mixing.mix(table(spark, sf_dir, "documents"))
 
@@ -59,6 +72,7 @@ def op10_secret_scan(spark, sf_dir):
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_chat_format": op1_chat_format,
     "op2_mixing": op2_mixing,
     "op3_langid": op3_langid,
     "op4_jaccard_join": op4_jaccard_join,
