@@ -293,3 +293,40 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
         raise RuntimeError("components did not settle")
     return (edges.select(F.col("a").alias("node"), F.col("b").alias("root"))
             .union(edges.select(F.col("b"), F.col("b")).distinct()))
+
+
+# ------------------------------------------------- Bloom filter of fixed size
+BLOOM_BITS = 24
+BLOOM_PROBES = 3
+
+
+def _probe(keys: np.ndarray, k: int) -> np.ndarray:
+    """Bit position of probe k."""
+    return (keys >> U64(k * 20)) & U64((1 << BLOOM_BITS) - 1) if k < 2 else mix(keys) & U64((1 << BLOOM_BITS) - 1)
+
+
+def bloom(keys: DataFrame) -> np.ndarray:
+    """Bloom filter bits of the bigint column ``key``, as bytes: built by an aggregate over words of 64 bits,
+    of which there are 2^BLOOM_BITS / 64 whatever the number of keys."""
+
+    def places(batches):
+        for batch in batches:
+            k = batch.column("key").to_numpy(zero_copy_only=False).view(U64)
+            pos = np.unique(np.concatenate([_probe(k, i) for i in range(BLOOM_PROBES)])).view(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(pos >> 6), pa.array(pos & 63)], ["word", "bit"])
+
+    words = (keys.transform(map_arrow, places, "word long, bit long").groupBy("word")
+             .agg(F.bit_or(F.expr("shiftleft(1L, cast(bit as int))")).alias("bits")).toArrow())
+    bits = np.zeros((1 << BLOOM_BITS) // 64, np.int64)
+    if words.num_rows:
+        bits[words.column("word").to_numpy()] = words.column("bits").to_numpy()
+    return bits.view(np.uint8)
+
+
+def bloom_hits(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """Indices of the keys that pass the filter."""
+    at = np.arange(len(keys))
+    for k in range(BLOOM_PROBES):
+        pos = _probe(keys[at], k)
+        at = at[(bits[pos >> U64(3)] >> (pos & U64(7)).astype(np.uint8)) & 1 == 1]
+    return at

@@ -13,7 +13,7 @@ it, so sizes are brought together first:
 2. An item and a window meet if one of ``HASHES`` MinHash values agrees
    (a miss has probability (1 - 0.26)^32 < 1e-4 for an item at the threshold,
    and far less for a whole copy). The items' MinHash keys are put into a Bloom
-   filter of fixed size (``BLOOM_BITS`` bits, 2 MB), the only thing that is
+   filter of fixed size (2 MB), the only thing that is
    broadcast; window keys that pass it are joined to the items' keys by an
    ordinary join, so a filter overfull of items costs time, never results.
 3. Candidate (document, item) pairs are verified by the exact share of the
@@ -33,12 +33,10 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from mercato.llm.common import ALNUM, U64, blocks, cut, map_arrow, mix, shingle_hashes, text_bytes, word_hashes
+from mercato.llm.common import ALNUM, U64, blocks, bloom, bloom_hits, cut, map_arrow, mix, shingle_hashes, text_bytes, word_hashes
 
 THRESHOLD = 0.8
 HASHES = 32
-BLOOM_BITS = 24
-BLOOM_PROBES = 3
 
 _MULT = mix(np.arange(1, HASHES + 1, dtype=U64) * U64(0x9FB21C651E98DF25)) | U64(1)
 
@@ -92,38 +90,6 @@ def _items(batches):
                 seen += len(out)
 
 
-def _probe(keys: np.ndarray, k: int) -> np.ndarray:
-    """Bit position of probe k."""
-    return (keys >> U64(k * 20)) & U64((1 << BLOOM_BITS) - 1) if k < 2 else mix(keys) & U64((1 << BLOOM_BITS) - 1)
-
-
-def bloom(keys: DataFrame) -> np.ndarray:
-    """Bits of all keys as bytes: built by an aggregate over words of 64 bits,
-    of which there are 2^BLOOM_BITS / 64 whatever the number of keys."""
-
-    def places(batches):
-        for batch in batches:
-            k = batch.column("key").to_numpy(zero_copy_only=False).view(U64)
-            pos = np.unique(np.concatenate([_probe(k, i) for i in range(BLOOM_PROBES)])).view(np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(pos >> 6), pa.array(pos & 63)], ["word", "bit"])
-
-    words = (keys.transform(map_arrow, places, "word long, bit long").groupBy("word")
-             .agg(F.bit_or(F.expr("shiftleft(1L, cast(bit as int))")).alias("bits")).toArrow())
-    bits = np.zeros((1 << BLOOM_BITS) // 64, np.int64)
-    if words.num_rows:
-        bits[words.column("word").to_numpy()] = words.column("bits").to_numpy()
-    return bits.view(np.uint8)
-
-
-def _hits(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
-    """Indices of the keys that pass the filter."""
-    at = np.arange(len(keys))
-    for k in range(BLOOM_PROBES):
-        pos = _probe(keys[at], k)
-        at = at[(bits[pos >> U64(3)] >> (pos & U64(7)).astype(np.uint8)) & 1 == 1]
-    return at
-
-
 def _search(shared, classes: list[int]):
     def run(batches):
         bits = shared.value
@@ -152,7 +118,7 @@ def _search(shared, classes: list[int]):
                         wide = least.copy()
                         wide[pair] = np.minimum(least[pair], least[pair + 1])
                         own = keys_of(wide, k, c)
-                        hit = _hits(bits, own)
+                        hit = bloom_hits(bits, own)
                         docs.append(doc[hit])
                         keys.append(own[hit])
                 if not docs:

@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mercato.llm import chat_format, decontaminate, exact_dedup, hmm_lm, jaccard_join, langid, mixing, quality_fm, secret_scan
+from mercato.llm import chat_format, decontaminate, exact_dedup, hmm_lm, jaccard_join, langid, mixing, quality_fm, secret_scan, suffix_dedup
 from mercato.llm.common import held_out, learnable
 
 
@@ -50,6 +50,10 @@ def op5_hmm_lm(spark, sf_dir):
     return hmm_lm.score(table(spark, sf_dir, "documents"))
 
 
+def op6_suffix_dedup(spark, sf_dir):
+    return suffix_dedup.removals(table(spark, sf_dir, "documents")).drop("spans")
+
+
 def op7_quality(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     model = quality_fm.train(docs, table(spark, sf_dir, "labels"))
@@ -77,6 +81,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_langid": op3_langid,
     "op4_jaccard_join": op4_jaccard_join,
     "op5_hmm_lm": op5_hmm_lm,
+    "op6_suffix_dedup": op6_suffix_dedup,
     "op7_quality": op7_quality,
     "op8_decontaminate": op8_decontaminate,
     "op9_exact_dedup": op9_exact_dedup,
