@@ -254,6 +254,20 @@ def r3(spark, sf_dir):
     return content.similar(_assets(spark, sf_dir)["pf"], n=10)
 
 
+def words_features(pf):
+    """Product features with several words a category, a repeated token, and
+    products without category, without seller state, or without both."""
+    pid = F.col("product_id").cast("string")
+    words = F.concat(F.replace("product_category_name_english", F.lit("_"), F.lit(" ")), F.lit(" unknown line of unknown make"))
+    return (pf.withColumn("product_category_name_english", F.when(pid.endswith("7"), None).otherwise(words))
+            .withColumn("seller_state", F.when(pid.endswith("7") | pid.endswith("3"), None).otherwise(F.col("seller_state"))))
+
+
+@register("r3_similar_words")
+def r3_words(spark, sf_dir):
+    return content.similar(words_features(_assets(spark, sf_dir)["pf"]), n=10)
+
+
 @register("r4_density")
 def r4_density(spark, sf_dir):
     return als.density_report(als.index_interactions(_assets(spark, sf_dir)["inter"]))

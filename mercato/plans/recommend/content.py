@@ -7,7 +7,7 @@ raw counts, ``idf = ln((1 + n) / (1 + df)) + 1``, L2-normalised rows).
 R3 ranks, for every product, the most similar other products. A product's
 vector depends only on its text, so products collapse into distinct texts
 ("signatures"), whose number is bounded by the attribute domains, not by
-the catalogue size. Candidate signatures come from an exact subset lookup
+the catalogue size. Candidate signatures come from an exact prefix filter
 (see ``similar``), never from all signature pairs; the best ``n + 2``
 signatures per signature are expanded to products, ties in score broken by
 product_id ascending (T18).
@@ -56,17 +56,25 @@ def _signature_table(texts: DataFrame) -> DataFrame:
     return w.select("text", "token", "tf", (F.col("_w") / norm).alias("weight"), np_round(norm, 12).alias("norm"))
 
 
-def _subset_keys(sig: DataFrame, max_tokens: int = 8) -> DataFrame:
-    """Every non-empty subset of a text's distinct (token, tf) pairs as a
-    string key. R1 texts have five fields, so at most 31 keys per text."""
-    arr = sig.groupBy("text").agg(F.array_sort(F.collect_list(F.struct("token", "tf"))).alias("_a"),
-                                  F.first("norm").alias("norm"))
-    arr = arr.where(F.size("_a") <= max_tokens)
-    masks = F.explode(F.expr("sequence(1, shiftleft(1, size(_a)) - 1)")).alias("_mask")
-    sub = arr.select("text", "norm", "_a", masks)
-    chosen = F.expr("filter(_a, (x, i) -> (shiftright(_mask, i) & 1) = 1)")
-    key = F.concat_ws("|", F.transform(chosen, lambda x: F.concat(x["token"], F.lit(":"), x["tf"].cast("string"))))
-    return sub.select("text", "norm", key.alias("_key"))
+def _near_keys(sig: DataFrame) -> DataFrame:
+    """Keys of a text: its tokens but one, its tokens but two, and each token
+    alone; quadratic in the number of tokens. Texts that share a key are likely
+    neighbours; the keys only serve to find a lower bound (see ``similar``)."""
+    arr = sig.groupBy("text").agg(F.array_sort(F.collect_set("token")).alias("_a"), F.first("norm").alias("norm"))
+    out = F.expr("""concat(
+        transform(_a, x -> x),
+        flatten(transform(_a, (x, i) -> transform(filter(_a, (y, j) -> j >= i),
+                (y, j) -> array_join(filter(_a, z -> z <> x AND z <> y), '|')))))""")
+    return arr.select("text", "norm", F.explode(F.array_distinct(out)).alias("_key")).where(F.col("_key") != "")
+
+
+def _cosines(pairs: DataFrame, sig: DataFrame) -> DataFrame:
+    """Exact cosine of every (s1, s2) pair, rounded at 1e-12 so that float
+    noise never decides a tie."""
+    w1 = sig.select(F.col("text").alias("s1"), "token", F.col("weight").alias("_w1"))
+    w2 = sig.select(F.col("text").alias("s2"), "token", F.col("weight").alias("_w2"))
+    return (pairs.join(w1, "s1").join(w2, ["s2", "token"]).groupBy("s1", "s2")
+            .agg(np_round(F.sum(F.col("_w1") * F.col("_w2")), 12).alias("cos")))
 
 
 def similar(pf: DataFrame, n: int = 10, requests: DataFrame | None = None) -> DataFrame:
@@ -74,26 +82,37 @@ def similar(pf: DataFrame, n: int = 10, requests: DataFrame | None = None) -> Da
     the ``n`` most similar other products: ``(product_id, rank,
     similar_product_id, similarity)`` with similarity rounded to 4.
 
-    Candidate signatures come from an exact subset lookup instead of all
-    pairs: for a query text s and a shared (token, tf) set C, cosine is
-    ``sum_C w_s(t) tf(t) idf(t) / |v_s2|`` -- decreasing in the candidate's
-    norm. So for every subset key C, only the ``n + 2`` smallest-norm texts
-    containing C (rank(), ties kept) can reach s's top list: any text left
-    out is beaten strictly by ``n + 2`` others. Work is ``texts x 31 x (n+2)``
-    instead of ``texts^2``; exact cosines are then computed for the
-    candidates only."""
+    Candidate texts come from an exact prefix filter instead of all pairs:
+
+    1. Texts with all tokens but one or two in common (``n + 2`` per key) give
+       a lower bound ``floor`` of each text's (n + 2)-th best cosine; a text
+       with fewer such candidates has the bound 0.
+    2. A text's tokens are ordered from rare to common. By Cauchy-Schwarz a
+       neighbour that shares none of the first i of them has a cosine of at
+       most the norm of the rest. So every neighbour at or above ``floor``
+       shares a token before the point where that norm falls below it; only
+       those tokens are joined to the texts that hold them, then the cosines
+       are exact.
+    """
     texts = product_text(pf)
     sig = _signature_table(texts)
-    keys = _subset_keys(sig)
-    lists = (keys.withColumn("_r", F.rank().over(Window.partitionBy("_key").orderBy("norm")))
-             .where(F.col("_r") <= n + 2).select("_key", F.col("text").alias("s2")))
-    cand = keys.select(F.col("text").alias("s1"), "_key").join(lists, "_key").select("s1", "s2").distinct()
-    w1 = sig.select(F.col("text").alias("s1"), "token", F.col("weight").alias("_w1"))
-    w2 = sig.select(F.col("text").alias("s2"), "token", F.col("weight").alias("_w2"))
-    # scores are compared at 1e-12 so that float noise never decides a tie
-    both = (cand.join(w1, "s1").join(w2, ["s2", "token"]).groupBy("s1", "s2")
-            .agg(np_round(F.sum(F.col("_w1") * F.col("_w2")), 12).alias("cos")))
-    best_sigs = top_n_per_group(both, ["s1"], [F.col("cos").desc()], n + 2, "_r")
+    keys = _near_keys(sig)
+    lists = top_n_per_group(keys, ["_key"], [F.col("norm").asc(), F.col("text").asc()], n + 2, "_r")
+    some = (keys.select(F.col("text").alias("s1"), "_key").join(lists.select("_key", F.col("text").alias("s2")), "_key")
+            .select("s1", "s2").distinct())
+    nth = top_n_per_group(_cosines(some, sig), ["s1"], [F.col("cos").desc(), F.col("s2").asc()], n + 2, "_r")
+    floor = nth.where(F.col("_r") == n + 2).select(F.col("s1").alias("text"), F.col("cos").alias("floor"))
+    held = sig.groupBy("token").agg(F.count(F.lit(1)).alias("_held"))
+    rest = Window.partitionBy("text").orderBy("_held", "token").rowsBetween(Window.currentRow, Window.unboundedFollowing)
+    prefix = (sig.join(held, "token").join(floor, "text", "left")
+              .withColumn("_rest", F.sqrt(F.sum(F.col("weight") * F.col("weight")).over(rest)))
+              .where(F.col("_rest") >= F.coalesce("floor", F.lit(0.0)) - 1e-9))
+    cand = (prefix.select(F.col("text").alias("s1"), "token").join(sig.select(F.col("text").alias("s2"), "token"), "token")
+            .select("s1", "s2").distinct())
+    both = _cosines(cand, sig)
+    # equal cosines: the text with the smaller first product goes first
+    lead = texts.groupBy(F.col("text").alias("s2")).agg(F.min("product_id").alias("_lead"))
+    best_sigs = top_n_per_group(both.join(lead, "s2"), ["s1"], [F.col("cos").desc(), F.col("_lead").asc()], n + 2, "_r")
     # first n + 1 product ids of each signature are all that can ever be used
     members = top_n_per_group(texts, ["text"], [F.col("product_id").asc()], n + 1, "_m")
     cand_p = best_sigs.join(members.select(F.col("text").alias("s2"), F.col("product_id").alias("cand")), "s2")

@@ -3,6 +3,8 @@ R21, R23, R26), written by brute force where the Spark plan prunes."""
 
 from __future__ import annotations
 
+import re
+
 from oracles.base import npr
 
 DBL = "CAST({} AS DOUBLE)".format
@@ -151,10 +153,26 @@ r_cross AS (
   WHERE rank <= 10
 )"""
 
+# the similarity chain over features with several words a category (see words_features)
+_WORDS = re.sub(r"\br_", "rw_", RECS[RECS.index("r_text AS"):RECS.index("r_req AS")].rstrip().rstrip(","))
+_WORDS = _WORDS.replace("g_product_features", "rw_features")
+RECS += f""",
+rw_features AS (
+  SELECT * REPLACE (
+    CASE WHEN CAST(product_id AS VARCHAR) LIKE '%7' THEN NULL
+         ELSE replace(product_category_name_english, '_', ' ') || ' unknown line of unknown make' END
+      AS product_category_name_english,
+    CASE WHEN CAST(product_id AS VARCHAR) LIKE '%7' OR CAST(product_id AS VARCHAR) LIKE '%3' THEN NULL
+         ELSE seller_state END AS seller_state)
+  FROM g_product_features
+),
+{_WORDS}"""
+
 R = {
     "r1_product_text": "SELECT * FROM r_text",
     "r2_tfidf": "SELECT * FROM r_tfidf",
     "r3_similar_products": "SELECT * FROM r_similar",
+    "r3_similar_words": "SELECT * FROM rw_similar",
     "r4_density": f"""SELECT users, items, interactions, CAST(interactions AS DOUBLE) * {DBL('100.0')} / (users * items) AS density_pct
         FROM (SELECT count(DISTINCT customer_unique_id) AS users, count(DISTINCT product_id) AS items, count(*) AS interactions
               FROM g_interactions)""",
