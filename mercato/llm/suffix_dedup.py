@@ -46,10 +46,10 @@ from pyspark.sql import functions as F
 from mercato.llm.common import U64, blocks, bloom, bloom_hits, cut, map_arrow, mix, powers, ship, span_hashes, text_bytes
 
 LENGTH = 50
-KMER = 24
-BUCKET_BYTES = 16 << 20
+KMER = 20
+BUCKET_BYTES = 8 << 20
 BLOCK_BYTES = 16 << 20
-CHUNK = 3 << 20
+CHUNK = 900_000
 _LIVE = np.uint32(0xFFFFFFFF)
 
 
@@ -83,6 +83,35 @@ def window_runs(data: np.ndarray, off: np.ndarray, length: int = LENGTH, kmer: i
     return text[first], first, last, mix(h[place[first]] ^ U64(0x2545F4914F6CDD1D))
 
 
+def _pack(values: np.ndarray) -> bytes:
+    """Bytes of a column for a shuffle: length, then compressed."""
+    raw = values.tobytes()
+    return len(raw).to_bytes(8, "little") + pa.compress(raw, codec="zstd", asbytes=True)
+
+
+def _unpack(value, kind) -> np.ndarray:
+    raw = value.as_buffer()
+    size = int.from_bytes(raw[:8].to_pybytes(), "little")
+    return np.frombuffer(pa.decompress(raw[8:], size, codec="zstd"), kind)
+
+
+def _column(t: pa.Table, name: str, kind) -> np.ndarray:
+    """A column's packed values of all rows, end to end."""
+    parts = [_unpack(v, kind) for v in t.column(name) if v.is_valid and len(v.as_buffer())]
+    return np.concatenate(parts) if parts else np.zeros(0, kind)
+
+
+def argsort(key: np.ndarray, bits: int) -> np.ndarray:
+    """Stable argsort of keys below 2^bits: by sorting key and place as one
+    64-bit number where they fit."""
+    place = max(1, (len(key) - 1).bit_length())
+    if bits + place > 64:
+        return np.argsort(key, kind="stable")
+    both = (key.astype(U64) << U64(place)) | np.arange(len(key), dtype=U64)
+    both.sort()
+    return (both & U64((1 << place) - 1)).astype(np.int64)
+
+
 def _groups(values: np.ndarray):
     """(starts, ends) of the runs of equal values."""
     if len(values) == 0:
@@ -104,7 +133,7 @@ def _deal(kind: int, bucket: np.ndarray, columns: list[np.ndarray], extra: bytes
     own = bucket[order]
     at, end = _groups(own)
     columns = [c[order] for c in columns]
-    rows = [(kind, int(own[p]), *(c[p:q].tobytes() for c in columns), extra) for p, q in zip(at, end, strict=True)]
+    rows = [(kind, int(own[p]), *(_pack(c[p:q]) for c in columns), extra) for p, q in zip(at, end, strict=True)]
     return rows
 
 
@@ -134,8 +163,13 @@ def _minimizers(buckets: int):
             return []
         live = np.minimum.reduceat(tid, at) != np.maximum.reduceat(tid, at)
         first = np.where(live, _LIVE, text[at].astype(np.uint32)).astype(np.uint32)
-        rows = _deal(0, (key[at] >> U64(32)).astype(np.int64), [(key[at] & U64(0xFFFFFFFF)).astype(np.uint32), first],
-                     tids.tobytes())
+        # ascending hashes of a bucket travel as steps
+        bucket = (key[at] >> U64(32)).astype(np.int64)
+        low = (key[at] & U64(0xFFFFFFFF)).astype(np.uint32)
+        step = np.diff(low, prepend=np.uint32(0))
+        head = _groups(bucket)[0]
+        step[head] = low[head]
+        rows = _deal(0, bucket, [step, first], _pack(tids))
         own = np.repeat(live, end - at)
         pair = np.unique(np.stack([tid[own], key[own]], 1), axis=0) if own.any() else np.zeros((0, 2), U64)
         return rows + _deal(1, (pair[:, 0] % U64(buckets)).astype(np.int64), [pair[:, 0].copy(), pair[:, 1].copy()])
@@ -158,10 +192,6 @@ def _minimizers(buckets: int):
     return run
 
 
-def _column(t: pa.Table, name: str, kind):
-    return np.frombuffer(b"".join(t.column(name).to_pylist()), kind)
-
-
 def _live(buckets: int):
     """One bucket of minimizers -> (text id, key) of those in two texts."""
     def run(t: pa.Table) -> pa.Table:
@@ -170,9 +200,8 @@ def _live(buckets: int):
         bucket = t.column("key")[0].as_py()
         low, tid, known = [], [], []
         for r in range(t.num_rows):
-            row = np.frombuffer(t.column("c1")[r].as_buffer(), np.uint32)
-            ids = np.frombuffer(t.column("c2")[r].as_buffer(), U64)
-            low.append(np.frombuffer(t.column("c0")[r].as_buffer(), np.uint32))
+            row, ids = _unpack(t.column("c1")[r], np.uint32), _unpack(t.column("c2")[r], U64)
+            low.append(np.cumsum(_unpack(t.column("c0")[r], np.uint32), dtype=np.uint32))
             known.append(row == _LIVE)
             tid.append(ids[np.where(known[-1], 0, row)])
         low, tid, known = (np.concatenate(x) for x in (low, tid, known))
@@ -237,7 +266,8 @@ def _strings(buckets: int):
         b = bucket[stay]
         for p, q in zip(*_groups(b), strict=True):
             some = stay[p:q]
-            rows.append((0, int(b[p]), meta[some].tobytes(), _copy_spans(data, off[some], meta[some, 3]).tobytes(), b""))
+            rows.append((0, int(b[p]), _pack(np.ascontiguousarray(meta[some].T)),
+                         _pack(_copy_spans(data, off[some], meta[some, 3])), b""))
         return [(r + (b"",))[:5] for r in rows]
 
     def run(batches):
@@ -268,31 +298,36 @@ def _strings(buckets: int):
 
 
 # ---------------------------------------------------------------- the transform
-def suffix_order(sym: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """Suffixes sorted by their first 56 symbols or up to their string's end
-    (symbol 0; ends are ordered by place). Prefix doubling from 7 symbols."""
+def suffix_order(sym: np.ndarray, end: np.ndarray, depth: int) -> np.ndarray:
+    """Suffixes sorted by their first ``depth`` symbols at least, or up to their
+    string's end (symbol 0; ends are ordered by place), by prefix doubling."""
     n = len(sym)
-    padded = np.concatenate([sym.astype(U64), np.zeros(7, U64)])
+    # symbols numbered densely: as many in the first key as fit beside a place
+    seen = np.flatnonzero(np.bincount(sym, minlength=1))
+    dense = np.zeros(int(seen[-1]) + 1, U64)
+    dense[seen] = np.arange(len(seen))
+    bits = max(1, (len(seen) - 1).bit_length())
+    lead = max(1, min(14, (64 - max(1, n.bit_length())) // bits))
+    padded = np.concatenate([dense[sym], np.zeros(lead, U64)])
     key = np.zeros(n, U64)
-    for k in range(7):
-        key = (key << U64(9)) | padded[k:n + k]
+    for k in range(lead):
+        key = (key << U64(bits)) | padded[k:n + k]
     left = end - np.arange(n)
-    closed = left < 7
-    spare = (9 * (6 - left[closed])).astype(U64)
+    closed = left < lead
+    spare = (bits * (lead - 1 - left[closed])).astype(U64)
     key[closed] = (key[closed] >> spare) << spare
-    order = np.argsort(key, kind="stable")
+    order = argsort(key, bits * lead)
     ranked = key[order]
     new = np.ones(n, bool)
     new[1:] = (ranked[1:] != ranked[:-1]) | closed[order][1:]
     rank = np.empty(n, np.int64)
     rank[order] = np.maximum.accumulate(np.where(new, np.arange(n), 0))
-    alone = new & np.append(new[1:], True)
-    at = np.flatnonzero(~alone)
-    h = 7
-    while h < 56 and len(at):
+    at = np.flatnonzero(~(new & np.append(new[1:], True)))
+    h, wide = lead, n.bit_length()
+    while h < depth and len(at):
         p = order[at]
-        pair = (rank[p] << 32) | rank[p + h]
-        by = np.argsort(pair, kind="stable")
+        pair = (rank[p] << wide) | rank[p + h]
+        by = argsort(pair, 2 * wide)
         p, pair = p[by], pair[by]
         order[at] = p
         new = np.ones(len(at), bool)
@@ -313,16 +348,16 @@ def equal_windows(data: np.ndarray, size: np.ndarray, length: int = LENGTH):
     inside = np.ones(len(sym), bool)
     inside[stop] = False
     sym[inside] = data.astype(np.uint16) + 1
-    string = np.repeat(np.arange(m), size + 1)
-    order = suffix_order(sym, stop[string])
+    string = np.repeat(np.arange(m, dtype=np.int32), size + 1)
+    order = suffix_order(sym, stop[string], length)
     transform = sym[order - 1]
-    follow = np.argsort(transform, kind="stable")  # row of the suffix one byte later
+    follow = np.argsort(transform, kind="stable").astype(np.int32)  # row of the suffix one byte later
     first = sym[order]
     # value 1: intervals of equal first bytes; every end is alone
     new = np.ones(len(sym), bool)
     new[1:] = (first[1:] != first[:-1]) | (first[1:] == 0)
-    group = np.maximum.accumulate(np.where(new, np.arange(len(sym)), 0))
-    rows = np.flatnonzero(~(new & np.append(new[1:], True)))
+    group = np.maximum.accumulate(np.where(new, np.arange(len(sym), dtype=np.int32), 0))
+    rows = np.flatnonzero(~(new & np.append(new[1:], True))).astype(np.int32)
     for _ in range(length - 1):
         if len(rows) == 0:
             break
@@ -341,7 +376,7 @@ def _compare(buckets: int):
     def run(t: pa.Table) -> pa.Table:
         if t.column("kind")[0].as_py() == 1:
             return t
-        meta = _column(t, "c0", np.int64).reshape(-1, 5)
+        meta = np.concatenate([_unpack(v, np.int64).reshape(5, -1).T for v in t.column("c0")])
         data = _column(t, "c1", np.uint8)
         off = np.concatenate([[0], np.cumsum(meta[:, 3])])
         h = np.concatenate([span_hashes(data[off[i]:off[j]], off[i:j] - off[i], off[i + 1:j + 1] - off[i])
@@ -475,7 +510,7 @@ def removals(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text")
              .groupBy("kind", "key").applyInArrow(_live(buckets), _SHAPE))
     live = found.groupBy("key").applyInArrow(_by_text, "tid long, live binary")
     live = cut(live.join(first.select("tid", F.col("first").alias("ord")), "tid"), "live")
-    ranges = (wanted(live.select("tid")).join(live, ["tid", "ord"])
+    ranges = (texts.join(live, ["tid", "ord"])
               .transform(map_arrow, _strings(buckets), _SHAPE)
               .groupBy("kind", "key").applyInArrow(_compare(buckets), _SHAPE))
     spans = cut(ranges.groupBy("key").applyInArrow(_merged, "tid long, spans binary")
