@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import unicodedata
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -117,14 +119,23 @@ def haversine_km(lat1, lon1, lat2, lon2, radius_km: float = 6371.0) -> Column:
     return F.lit(radius_km) * 2 * F.atan2(F.sqrt(a), F.sqrt(1 - a))
 
 
-# Accented Latin letters and their plain forms.
-_ACCENTED = "áàâãäåéèêëíìîïóòôõöúùûüçñýÿÁÀÂÃÄÅÉÈÊËÍÌÎÏÓÒÔÕÖÚÙÛÜÇÑÝ"
-_PLAIN = "aaaaaaeeeeiiiiooooouuuucnyyAAAAAAEEEEIIIIOOOOOUUUUCNY"
+def _plain_letters() -> tuple[str, str]:
+    """Characters whose compatibility decomposition is one ASCII character
+    and marks, and that character (F6)."""
+    found = {}
+    for code in (*range(0xA0, 0x250), *range(0x1E00, 0x1F00)):
+        plain = "".join(c for c in unicodedata.normalize("NFKD", chr(code)) if ord(c) < 128)
+        if len(plain) == 1:
+            found[chr(code)] = plain
+    return "".join(found), "".join(found.values())
+
+
+_ACCENTED, _PLAIN = _plain_letters()
 
 
 def strip_accents(c) -> Column:
-    """lower-case and drop Latin diacritics."""
-    return F.lower(F.translate(_c(c), _ACCENTED, _PLAIN))
+    """lower-case, marks dropped, and whatever is left outside ASCII dropped."""
+    return F.lower(F.regexp_replace(F.translate(_c(c), _ACCENTED, _PLAIN), r"[^\x00-\x7F]", ""))
 
 
 # Dashboard price bands, left-closed.

@@ -3,23 +3,66 @@
 
 Global statistics are one ``agg`` returning one row that is broadcast back
 (its size is one row by construction); nothing is collected to the driver.
-Exact quantiles use ``percentile``, whose buffer is a value->count map: its
-size is the number of *distinct* values (bounded for cents, integer counts
-and days); pass ``exact=False`` to switch to a bounded-memory sketch
-(``percentile_approx``) on continuous columns at extreme scale.
+Exact quantiles never gather the distinct values in one task (``quantiles``).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def quantile(c: str | Column, q, exact: bool = True, accuracy: int = 100_000) -> Column:
-    col = F.col(c) if isinstance(c, str) else c
-    if exact:
-        return F.percentile(col, q)
-    return F.percentile_approx(col, q, accuracy)
+def quantiles(df: DataFrame, specs: dict[str, tuple[str | Column, float]], by: Sequence[str] = (),
+              accuracy: int = 100_000) -> DataFrame:
+    """Exact quantiles with linear interpolation: one row (per group ``by``)
+    with a column for each ``name: (column, q)``; nulls are ignored.
+
+    Two passes of bounded memory: a sketch with rank error ``1 / accuracy``
+    brackets each quantile; then values below the bracket are counted and only
+    the different values inside it, a share of ``4 / accuracy`` of the rows, are
+    put in order.
+    """
+    by, eps = list(by), 2.0 / accuracy
+    cols = {k: (F.col(c) if isinstance(c, str) else c).cast("double") for k, (c, _) in enumerate(specs.values())}
+    base = df.select(*by, *[c.alias(f"_v{k}") for k, c in cols.items()])
+    aggs, parts = [], []
+    for k, (_, q) in enumerate(specs.values()):
+        v = F.col(f"_v{k}")
+        low = F.percentile_approx(v, q - eps, accuracy) if q - eps > 0 else F.min(v)
+        high = F.percentile_approx(v, q + eps, accuracy) if q + eps < 1 else F.max(v)
+        aggs += [low.alias(f"_lo{k}"), high.alias(f"_hi{k}"), F.count(v).alias(f"_n{k}")]
+        parts.append(F.struct(F.lit(k).alias("k"), F.lit(float(q)).alias("q"), v.alias("v"), F.col(f"_lo{k}").alias("lo"),
+                              F.col(f"_hi{k}").alias("hi"), F.col(f"_n{k}").alias("n")))
+    bracket = base.groupBy(*by).agg(*aggs)
+    if by:
+        named = bracket.select(*[F.col(c).alias(f"_by{i}") for i, c in enumerate(by)], *bracket.columns[len(by):])
+        same = [F.col(c).eqNullSafe(F.col(f"_by{i}")) for i, c in enumerate(by)]
+        wide = base.join(named, same)
+    else:
+        wide = base.crossJoin(F.broadcast(bracket))
+    long = wide.select(*by, F.explode(F.array(*parts)).alias("x")).select(*by, "x.*").where("v is not null")
+    # below the bracket, each value inside it, above it; the value next to the bracket on
+    # either side is kept too, as the sketch's ranks may differ by one from ours
+    zone = F.when(F.col("v") < F.col("lo"), 0).when(F.col("v") > F.col("hi"), 2).otherwise(1)
+    inside = F.when((F.col("v") >= F.col("lo")) & (F.col("v") <= F.col("hi")), F.col("v"))
+    counts = (long.groupBy(*by, "k", "q", "n", zone.alias("zone"), inside.alias("in"))
+              .agg(F.count(F.lit(1)).alias("c"), F.min("v").alias("least"), F.max("v").alias("most")))
+    order = Window.partitionBy(*by, "k").orderBy("zone", "in")
+    run = counts.withColumn("upto", F.sum("c").over(order)).withColumn("pos", F.col("q") * (F.col("n") - 1))
+
+    def at(rank):
+        first = (F.col("upto") > rank) & (F.col("upto") - F.col("c") <= rank)
+        return F.max(F.when(first & (F.col("zone") == 1), F.col("in"))
+                     .when(first & (F.col("zone") == 0) & (rank == F.col("upto") - 1), F.col("most"))
+                     .when(first & (F.col("zone") == 2) & (rank == F.col("upto") - F.col("c")), F.col("least")))
+
+    ends = run.groupBy(*by, "k").agg(F.first("pos").alias("pos"), at(F.floor("pos")).alias("a"), at(F.ceil("pos")).alias("b"))
+    pos, a, b = F.col("pos"), F.col("a"), F.col("b")
+    value = F.when(a == b, a).otherwise((F.ceil(pos) - pos) * a + (pos - F.floor(pos)) * b)
+    return ends.withColumn("value", value).groupBy(*by).agg(
+        *[F.max(F.when(F.col("k") == k, F.col("value"))).alias(name) for k, name in enumerate(specs)])
 
 
 def global_row(df: DataFrame, *aggs: Column) -> DataFrame:
@@ -66,10 +109,10 @@ def value_counts(df: DataFrame, c: str, name: str | None = None, share: bool = T
 def describe(df: DataFrame, c: str) -> DataFrame:
     """Count, mean, std, min, quartiles, max (exact, like pandas)."""
     x = F.col(c)
-    return df.agg(F.count(x).alias("count"), F.avg(x).alias("mean"), F.stddev_samp(x).alias("std"),
-                  F.min(x).cast("double").alias("min"), F.percentile(x, 0.25).alias("p25"),
-                  F.percentile(x, 0.5).alias("p50"), F.percentile(x, 0.75).alias("p75"),
-                  F.max(x).cast("double").alias("max"))
+    basic = df.agg(F.count(x).alias("count"), F.avg(x).alias("mean"), F.stddev_samp(x).alias("std"),
+                   F.min(x).cast("double").alias("min"), F.max(x).cast("double").alias("max"))
+    quart = quantiles(df, {"p25": (c, 0.25), "p50": (c, 0.5), "p75": (c, 0.75)})
+    return with_global(basic, quart).select("count", "mean", "std", "min", "p25", "p50", "p75", "max")
 
 
 def profile(df: DataFrame, name: str) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from mercato.functions import (cents_sum, clip, floor_days_between, hours_between, month_bucket, np_round,
                                strip_accents)
-from mercato.operators import describe, histogram, value_counts, with_global  # noqa: F401
+from mercato.operators import describe, histogram, quantiles, value_counts, with_global  # noqa: F401
 
 
 def _rank(df: DataFrame, order: list[Column], limit: int | None = None) -> DataFrame:
@@ -108,25 +108,26 @@ def late_pct_by_month(layer) -> DataFrame:
             .agg(np_round(F.avg(F.col("is_late").cast("int")) * 100.0, 6).alias("late_pct")))
 
 
-def approval_outliers(layer) -> DataFrame:
-    """E9 (A9): approval hours; IQR fences over all orders; per approval
+def approval_outliers(layer, fence: float = 1.5) -> DataFrame:
+    """E9 (A9): approval hours; IQR fences (``fence`` times) over all orders; per approval
     month with outliers: outlier/regular counts, outlier/regular ratio %
     (denominator regular rows; null when none) and the outliers' box
     statistics."""
     o = layer["orders"].select(
         hours_between("order_purchase_timestamp", "order_approved_at").alias("h"),
         month_bucket("order_approved_at").alias("month_year"))
-    q = o.agg(F.percentile("h", 0.25).alias("q1"), F.percentile("h", 0.75).alias("q3"))
-    q = q.select((F.col("q1") - 1.5 * (F.col("q3") - F.col("q1"))).alias("lo"),
-                 (F.col("q3") + 1.5 * (F.col("q3") - F.col("q1"))).alias("hi"))
+    q = quantiles(o, {"q1": ("h", 0.25), "q3": ("h", 0.75)})
+    q = q.select((F.col("q1") - fence * (F.col("q3") - F.col("q1"))).alias("lo"),
+                 (F.col("q3") + fence * (F.col("q3") - F.col("q1"))).alias("hi"))
     t = with_global(o.where(F.col("h").isNotNull()), q)
     out = (F.col("h") < F.col("lo")) | (F.col("h") > F.col("hi"))
     reg = (F.col("h") >= F.col("lo")) & (F.col("h") <= F.col("hi"))
     oh = F.when(out, F.col("h"))
     agg = t.groupBy("month_year").agg(
         F.count_if(out).alias("outliers"), F.count_if(reg).alias("regulars"),
-        F.min(oh).alias("out_min"), F.percentile(oh, 0.25).alias("out_q1"), F.percentile(oh, 0.5).alias("out_median"),
-        F.percentile(oh, 0.75).alias("out_q3"), F.max(oh).alias("out_max"))
+        F.min(oh).alias("out_min"), F.max(oh).alias("out_max"))
+    box = quantiles(t.where(out), {"out_q1": ("h", 0.25), "out_median": ("h", 0.5), "out_q3": ("h", 0.75)}, ["month_year"])
+    agg = agg.join(box.withColumnRenamed("month_year", "_m"), F.col("month_year").eqNullSafe(F.col("_m"))).drop("_m")
     agg = agg.where(F.col("outliers") > 0).withColumn(
         "outlier_ratio_pct", np_round(F.try_divide(F.col("outliers") * 100.0, F.col("regulars").cast("double")), 6))
     for c in ("out_min", "out_q1", "out_median", "out_q3", "out_max"):
@@ -160,11 +161,13 @@ CAPITALS = {
 }
 
 
-def capital_share(layer) -> DataFrame:
-    """E11 (F6, F12): Capital vs Interior share of geolocation rows."""
+def capital_share(layer, capitals: DataFrame | None = None) -> DataFrame:
+    """E11 (F6, F12): Capital vs Interior share of geolocation rows.
+    ``capitals`` (geolocation_state, capital) replaces the fixed list."""
     spark = layer["geolocation"].sparkSession
-    caps = spark.createDataFrame(list(CAPITALS.items()), "geolocation_state string, capital string")
-    g = layer["geolocation"].join(F.broadcast(caps), "geolocation_state", "left")
+    if capitals is None:
+        capitals = F.broadcast(spark.createDataFrame(list(CAPITALS.items()), "geolocation_state string, capital string"))
+    g = layer["geolocation"].join(capitals, "geolocation_state", "left")
     kind = F.when(F.col("capital") == strip_accents("geolocation_city"), "Capital").otherwise("Interior")
     return value_counts(g.select(kind.alias("location")), "location")
 
@@ -206,7 +209,7 @@ def product_stats(pf: DataFrame) -> DataFrame:
 
 def clipped_price_histogram(pf: DataFrame, q: float = 0.95, bins: int = 40) -> DataFrame:
     """E13 (A9, P15, A13): p95-clipped average price histogram."""
-    p = pf.agg(np_round(F.percentile("avg_price", q), 6).alias("_p"))
+    p = quantiles(pf, {"_q": ("avg_price", q)}).select(np_round("_q", 6).alias("_p"))
     clipped = with_global(pf, p).select(
         F.when(F.col("avg_price").isNull(), None).otherwise(F.least("avg_price", "_p")).alias("avg_price"))
     return histogram(clipped, "avg_price", bins)

@@ -87,6 +87,18 @@ register("e9_approval_outliers")(_silver(explore.approval_outliers))
 register("e10_days_to_arrive")(_silver(explore.days_to_arrive))
 register("e10_undelivered")(_silver(explore.undelivered))
 register("e11_capital_share")(_silver(explore.capital_share))
+register("e9_approval_outliers_narrow")(_silver(lambda s: explore.approval_outliers(s, fence=0.1)))
+
+
+def _accented_capitals(s):
+    """E11 with the first city of each state as its capital, cities accented."""
+    g = s["geolocation"]
+    caps = g.groupBy("geolocation_state").agg(F.min("geolocation_city").alias("capital"))
+    accented = g.withColumn("geolocation_city", F.translate("geolocation_city", "aeiou", "áéíõü"))
+    return explore.capital_share({"geolocation": accented}, caps)
+
+
+register("e11_capital_share_accented")(_silver(_accented_capitals))
 register("e12_interaction_stats")(_silver(lambda s: explore.interaction_stats(gold.interactions(s))))
 register("e12_implicit_histogram")(_silver(lambda s: histogram(gold.interactions(s), "implicit_score", 30)))
 register("e12_sentiment_mix")(_silver(lambda s: explore.sentiment_mix(gold.interactions(s))))
@@ -297,6 +309,27 @@ def r8(spark, sf_dir):
     return cold_start.recommend_serving(_profile_requests(a), a["top"], n=10)
 
 
+def _mixed_requests(a):
+    """Requests with missing and unknown states and categories, by the last
+    character of the customer id, so that every level answers some."""
+    last = F.substring(F.col("customer_unique_id").cast("string"), -1, 1)
+    r = _profile_requests(a)
+    return (r.withColumn("state", F.when(last.isin("0", "1", "3"), None).when(last == "2", "ZZ").otherwise(F.col("state")))
+            .withColumn("category", F.when(last == "1", None).when(last == "3", "nope").otherwise(F.col("category"))))
+
+
+@register("r7_cold_start_mixed")
+def r7_mixed(spark, sf_dir):
+    a = _assets(spark, sf_dir)
+    return cold_start.recommend(_mixed_requests(a), a["top"], n=10)
+
+
+@register("r8_cold_start_serving_mixed")
+def r8_mixed(spark, sf_dir):
+    a = _assets(spark, sf_dir)
+    return cold_start.recommend_serving(_mixed_requests(a), a["top"], n=10)
+
+
 @register("r9_also_bought")
 def r9(spark, sf_dir):
     return copurchase.also_bought(_assets(spark, sf_dir)["cooc"], n=10)
@@ -382,6 +415,17 @@ def r20_routing(spark, sf_dir):
     return router.route(req, a["inter"], a["profile"])
 
 
+@register("r20_routing_mixed")
+def r20_routing_mixed(spark, sf_dir):
+    """Routing with customers that lost their profile, and ids never seen."""
+    a = _assets(spark, sf_dir)
+    ids = a["bronze"]["customers"].select(F.col("customer_unique_id").cast("string").alias("customer_unique_id")).distinct()
+    unseen = ids.select(F.concat(F.lit("new-"), F.col("customer_unique_id")).alias("customer_unique_id"))
+    text = lambda d: d.withColumn("customer_unique_id", F.col("customer_unique_id").cast("string"))
+    profile = text(a["profile"]).where(~F.col("customer_unique_id").endswith("4"))
+    return router.route(ids.unionByName(unseen), text(a["inter"]), profile)
+
+
 @register("r20_recommendations")
 def r20(spark, sf_dir):
     a = _assets(spark, sf_dir)

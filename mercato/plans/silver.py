@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from mercato.functions import (SENTIMENT_LABELS, blank_to_null, clip, floor_days_between, norm_city,
                                norm_state, norm_zip, np_round, sentiment_of, strip, to_num, to_ts)
-from mercato.operators import keep_first, with_global
+from mercato.operators import keep_first, quantiles, with_global
 
 
 def _str_cols(df: DataFrame, names) -> list[str]:
@@ -76,7 +76,7 @@ def clean_products(df: DataFrame) -> DataFrame:
     df = keep_first(df, ["product_id"])
     for c in PRODUCT_NUMERIC:
         df = df.withColumn(c, to_num(c))
-    med = df.agg(*[F.median(c).alias(f"_m_{c}") for c in PRODUCT_DIMS])
+    med = quantiles(df, {f"_m_{c}": (c, 0.5) for c in PRODUCT_DIMS})
     df = with_global(df, med)
     for c in PRODUCT_DIMS:
         df = df.withColumn(c, F.coalesce(F.col(c), F.col(f"_m_{c}")))
@@ -87,7 +87,7 @@ def clean_products(df: DataFrame) -> DataFrame:
                   & (F.col("product_width_cm") > 0) & (F.col("product_width_cm") <= 200))
     df = df.withColumn("product_photos_qty", F.coalesce("product_photos_qty", F.lit(0.0)))
     lens = ["product_name_lenght", "product_description_lenght"]
-    med2 = df.agg(*[F.median(c).alias(f"_m_{c}") for c in lens])
+    med2 = quantiles(df, {f"_m_{c}": (c, 0.5) for c in lens})
     df = with_global(df, med2)
     for c in lens:
         df = df.withColumn(c, F.coalesce(F.col(c), F.col(f"_m_{c}")))
@@ -130,10 +130,10 @@ def clean_order_items(df: DataFrame, outlier_quantile: float = 0.999) -> DataFra
             .withColumn("shipping_limit_date", to_ts("shipping_limit_date")))
     df = df.dropna(subset=["order_id", "order_item_id", "product_id", "seller_id", "price"])
     df = df.where(F.col("price") > 0)
-    df = with_global(df, df.agg(F.median("freight_value").alias("_mf")))
+    # filling and clipping the freight removes no row: one set of statistics serves both
+    df = with_global(df, quantiles(df, {"_mf": ("freight_value", 0.5), "_p": ("price", outlier_quantile)}))
     df = df.withColumn("freight_value", clip(F.coalesce(F.col("freight_value"), F.col("_mf")), lower=0)).drop("_mf")
     df = df.withColumn("total_item_value", F.col("price") + F.col("freight_value"))
-    df = with_global(df, df.agg(F.percentile("price", outlier_quantile).alias("_p")))
     df = df.withColumn("is_price_outlier", F.col("price") > F.col("_p")).drop("_p")
     df = df.where(~F.col("is_price_outlier"))
     for c in ("price", "freight_value", "total_item_value"):
@@ -151,7 +151,7 @@ def clean_payments(df: DataFrame) -> DataFrame:
             .withColumn("payment_value", to_num("payment_value")))
     df = df.dropna(subset=["order_id", "payment_sequential", "payment_type", "payment_value"])
     df = df.where(F.col("payment_value") > 0)
-    df = with_global(df, df.agg(F.median("payment_installments").alias("_mi")))
+    df = with_global(df, quantiles(df, {"_mi": ("payment_installments", 0.5)}))
     inst = clip(F.coalesce(F.col("payment_installments"), F.col("_mi")), lower=1)
     df = df.withColumn("payment_installments", F.rint(inst).cast("int")).drop("_mi")
     df = keep_first(df, ["order_id", "payment_sequential"], ["payment_value"])

@@ -268,3 +268,9 @@ K = {
     "k14_payment_revenue": f"""SELECT payment_type, {npr(fsum('payment_value', 4), 2)} AS revenue FROM s_payments
         WHERE payment_type IS NOT NULL GROUP BY 1""",
 }
+
+E["e9_approval_outliers_narrow"] = E["e9_approval_outliers"].replace("1.5 *", "0.1 *")
+E["e11_capital_share_accented"] = vc("""(SELECT CASE WHEN c.capital = lower(g.geolocation_city) THEN 'Capital'
+    ELSE 'Interior' END AS location FROM s_geolocation g LEFT JOIN
+    (SELECT geolocation_state AS st, min(geolocation_city) AS capital FROM s_geolocation GROUP BY 1) c
+    ON g.geolocation_state = c.st)""", "location")

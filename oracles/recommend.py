@@ -168,6 +168,18 @@ rw_features AS (
 ),
 {_WORDS}"""
 
+# the cold-start chain over requests with gaps (see _mixed_requests)
+_GAPS = re.sub(r"\br(8?)_", r"rq\1_", RECS[RECS.index("r_cold AS"):RECS.index("r_also AS")].rstrip().rstrip(","))
+_LAST = "right(CAST(customer_unique_id AS VARCHAR), 1)"
+RECS += f""",
+rq_req AS (
+  SELECT customer_unique_id,
+    CASE WHEN {_LAST} IN ('0', '1', '3') THEN NULL WHEN {_LAST} = '2' THEN 'ZZ' ELSE customer_state END AS state,
+    CASE WHEN {_LAST} = '1' THEN NULL WHEN {_LAST} = '3' THEN 'nope' ELSE preferred_category END AS category
+  FROM g_customer_profile
+),
+{_GAPS}"""
+
 R = {
     "r1_product_text": "SELECT * FROM r_text",
     "r2_tfidf": "SELECT * FROM r_tfidf",
@@ -180,6 +192,16 @@ R = {
         FROM (SELECT DISTINCT product_id FROM g_interactions WHERE product_id IS NOT NULL)""",
     "r7_cold_start": "SELECT * FROM r_cold",
     "r8_cold_start_serving": "SELECT * FROM r_cold_serving",
+    "r7_cold_start_mixed": "SELECT * FROM rq_cold",
+    "r8_cold_start_serving_mixed": "SELECT * FROM rq_cold_serving",
+    "r20_routing_mixed": """SELECT r.customer_unique_id,
+        CASE WHEN h.id IS NOT NULL AND p.id IS NOT NULL THEN 'hybrid' WHEN h.id IS NOT NULL THEN 'cf'
+             ELSE 'cold_start' END AS strategy
+      FROM (SELECT DISTINCT CAST(customer_unique_id AS VARCHAR) AS customer_unique_id FROM m_customers
+            UNION ALL SELECT DISTINCT 'new-' || CAST(customer_unique_id AS VARCHAR) FROM m_customers) r
+      LEFT JOIN (SELECT DISTINCT CAST(customer_unique_id AS VARCHAR) AS id FROM g_interactions) h ON r.customer_unique_id = h.id
+      LEFT JOIN (SELECT DISTINCT CAST(customer_unique_id AS VARCHAR) AS id FROM g_customer_profile
+                 WHERE CAST(customer_unique_id AS VARCHAR) NOT LIKE '%4') p ON r.customer_unique_id = p.id""",
     "r9_also_bought": "SELECT * FROM r_also",
     "r12_label_codes": "SELECT * FROM r_codes",
     "r20_routing": "SELECT * FROM r_routing",
