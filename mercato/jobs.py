@@ -120,12 +120,17 @@ def main(argv=None) -> None:
     ap.add_argument("--bronze", required=True, help="folder with one CSV (or Parquet) per bronze table")
     ap.add_argument("--format", default="csv")
     ap.add_argument("--out", required=True)
+    ap.add_argument("--name", action="append", default=[], metavar="FILE=TABLE",
+                    help="file or folder name of a bronze table, where it differs from the table's name")
     ap.add_argument("--no-ml", action="store_true")
+    ap.add_argument("--no-reports", action="store_true")
     a = ap.parse_args(argv)
     from mercato.session import get_session
     spark = get_session()
-    bronze = load_layer(spark, a.bronze, fmt=a.format)
-    run(spark, bronze, a.out, timer=lambda n, s: print(f"{n}: {s:.1f}s"), ml=not a.no_ml)
+    bronze = load_layer(spark, a.bronze, fmt=a.format, names=dict(x.split("=", 1) for x in a.name),
+                        expected=silver.CLEANERS)
+    run(spark, bronze, a.out, timer=lambda n, s: print(f"{n}: {s:.1f}s"), ml=not a.no_ml,
+        reports=not a.no_reports)
 
 
 if __name__ == "__main__":

@@ -24,16 +24,18 @@ def save(path: str, als_model: ALSModel | None = None, ranker: PipelineModel | N
     return out
 
 
+def _exists(spark: SparkSession, path: str) -> bool:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
 def load(spark: SparkSession, path: str, names: list[str] = ()) -> dict:
+    """What ``save`` wrote: a model that was not saved is absent, one that
+    can't be read is an error."""
     got = {}
-    try:
-        got["als"] = ALSModel.load(f"{path}/als")
-    except Exception:  # noqa: BLE001 - absent model is allowed
-        pass
-    try:
-        got["ranker"] = PipelineModel.load(f"{path}/ranker")
-    except Exception:  # noqa: BLE001
-        pass
+    for name, cls in (("als", ALSModel), ("ranker", PipelineModel)):
+        if _exists(spark, f"{path}/{name}"):
+            got[name] = cls.load(f"{path}/{name}")
     for n in names:
         got[n] = spark.read.parquet(f"{path}/{n}")
     return got

@@ -202,8 +202,11 @@ CLEANERS = {
 
 
 def build(bronze: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    """The whole silver layer, lazily."""
-    return {name: CLEANERS[name](df) for name, df in bronze.items() if name in CLEANERS}
+    """The whole silver layer, lazily; a table without a cleaner is an error."""
+    unknown = sorted(set(bronze) - set(CLEANERS))
+    if unknown:
+        raise ValueError(f"unknown bronze tables {unknown}; known are {sorted(CLEANERS)}")
+    return {name: CLEANERS[name](df) for name, df in bronze.items()}
 
 
 __all__ = ["build", "CLEANERS", "SENTIMENT_LABELS"] + [f.__name__ for f in CLEANERS.values()]

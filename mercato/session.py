@@ -36,7 +36,7 @@ def get_session(master: str | None = None, app: str = "mercato",
         b = b.master(master)
     for k, v in _DEFAULTS.items():
         b = b.config(k, v)
-    b = b.config("spark.driver.memory", os.environ.get("MERCATO_DRIVER_MEMORY", "16g"))
+    b = b.config("spark.driver.memory", os.environ.get("MERCATO_DRIVER_MEMORY", "8g"))
     if shuffle_partitions:
         b = b.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     for k, v in (extra or {}).items():
@@ -49,7 +49,7 @@ def get_session(master: str | None = None, app: str = "mercato",
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Use ``spark.checkpoint.dir`` from the session; set a scratch one only
-    when it is unset (local tests). Reliable checkpoints are what cut
+    when it is unset in local mode; on a cluster that is an error. Reliable checkpoints are what cut
     lineage here -- never ``localCheckpoint``."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -57,6 +57,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
     if not conf_dir:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         conf_dir = tempfile.mkdtemp(prefix="mercato-ckpt-", dir="/tmp")
     sc.setCheckpointDir(conf_dir)
     return sc.getCheckpointDir() or conf_dir

@@ -1,44 +1,58 @@
 """Layer IO (S1-S5): CSV/Parquet readers with explicit schemas, the
 UTF-8 -> Latin-1 fallback, layer listing and writing.
 
+CSV follows the common dialect: quoted fields may hold commas, line breaks and
+doubled quotes. A file with quoted line breaks can't be split, so a big table
+should be many files, each read by one task.
+
 Spark's CSV reader never raises on bad bytes; it substitutes U+FFFD. The
-fallback therefore probes for that character (a short-circuiting scan) and
-re-reads as ISO-8859-1 when it shows up.
+fallback is decided per file: files whose rows show that character are read
+again as ISO-8859-1, the others stay UTF-8.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-REPLACEMENT = "�"
+REPLACEMENT = "\ufffd"
 
 
-def _csv(spark: SparkSession, path: str, schema: StructType | None, encoding: str) -> DataFrame:
-    r = spark.read.option("header", True).option("encoding", encoding).option("multiLine", False)
+def _csv(spark: SparkSession, path: str | list[str], schema: StructType | None, encoding: str) -> DataFrame:
+    r = (spark.read.option("header", True).option("encoding", encoding).option("multiLine", True)
+         .option("quote", '"').option("escape", '"'))
     r = r.schema(schema) if schema is not None else r.option("inferSchema", False)
-    df = r.csv(path)
-    # S3: header names trimmed (the source carries a BOM / stray blanks)
-    return df.toDF(*[c.strip().lstrip("﻿") for c in df.columns])
+    return r.csv(path)
+
+
+def _trimmed(df: DataFrame) -> DataFrame:
+    """S3: header names trimmed (the source carries a BOM / stray blanks)."""
+    return df.toDF(*[c.strip().lstrip("\ufeff").strip() for c in df.columns])
 
 
 def read_table(spark: SparkSession, path: str, schema: StructType | None = None, fmt: str | None = None) -> DataFrame:
-    """Read one table. CSV is read as UTF-8, and re-read as Latin-1
-    if decoding produced replacement characters."""
+    """Read one table, a file or a folder of files. CSV files are read as
+    UTF-8, those with undecodable bytes as Latin-1."""
     fmt = fmt or ("csv" if path.endswith(".csv") else "parquet")
     if fmt == "parquet":
         df = spark.read.parquet(path)
         return df if schema is None else df.select(*[F.col(f.name).cast(f.dataType) for f in schema.fields])
     df = _csv(spark, path, schema, "UTF-8")
     strings = [f.name for f in df.schema.fields if f.dataType.simpleString() == "string"]
-    if strings:
-        bad = reduce(lambda a, b: a | b, [F.col(c).contains(REPLACEMENT) for c in strings])
-        if df.where(bad).limit(1).count() > 0:
-            df = _csv(spark, path, schema, "ISO-8859-1")
-    return df
+    if not strings:
+        return _trimmed(df)
+    bad = reduce(lambda a, b: a | b, [F.col(f"`{c}`").contains(REPLACEMENT) for c in strings])
+    # at most one row a file
+    files = sorted(r[0] for r in df.where(bad).select(F.col("_metadata.file_path")).distinct().collect())
+    if not files:
+        return _trimmed(df)
+    good = _trimmed(df.where(~F.col("_metadata.file_path").isin(files)))
+    again = _trimmed(_csv(spark, files, schema, "ISO-8859-1"))
+    return good.unionByName(again) if set(good.columns) == set(again.columns) else good.union(again)
 
 
 def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite",
@@ -48,41 +62,46 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "ove
     if partition_by:
         w = w.partitionBy(*partition_by)
     if fmt == "csv":
-        w.option("header", True).csv(path)
+        w.option("header", True).option("escape", '"').csv(path)
     else:
         w.format(fmt).save(path)
 
 
-def list_tables(spark: SparkSession, path: str) -> list[str]:
-    """Sorted table names (files or directories) under a layer path;
-    a missing path is an error."""
+def _listing(spark: SparkSession, path: str) -> dict[str, str]:
+    """Table name -> path of every file or folder under ``path``."""
     jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
     p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(conf)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     if not fs.exists(p):
         raise FileNotFoundError(path)
-    names = []
+    out = {}
     for st in fs.listStatus(p):
         name = st.getPath().getName()
         if name.startswith(("_", ".")):
             continue
-        names.append(name.rsplit(".", 1)[0] if not st.isDirectory() and "." in name else name)
-    return sorted(set(names))
+        out[name.rsplit(".", 1)[0] if not st.isDirectory() and "." in name else name] = f"{path}/{name}"
+    return out
 
 
-def load_layer(spark: SparkSession, path: str, fmt: str = "parquet",
-               schemas: dict[str, StructType] | None = None) -> dict[str, DataFrame]:
-    """One lazily read DataFrame per table of the layer."""
-    out = {}
-    for name in list_tables(spark, path):
-        suffix = ".csv" if fmt == "csv" else (".parquet" if fmt == "parquet" else "")
-        full = f"{path}/{name}{suffix}"
-        try:
-            out[name] = read_table(spark, full, (schemas or {}).get(name), fmt)
-        except Exception:  # noqa: BLE001 - directory-style tables have no suffix
-            out[name] = read_table(spark, f"{path}/{name}", (schemas or {}).get(name), fmt)
-    return out
+def list_tables(spark: SparkSession, path: str) -> list[str]:
+    """Sorted table names (files or directories) under a layer path;
+    a missing path is an error."""
+    return sorted(_listing(spark, path))
+
+
+def load_layer(spark: SparkSession, path: str, fmt: str = "parquet", schemas: dict[str, StructType] | None = None,
+               names: dict[str, str] | None = None, expected: Iterable[str] | None = None) -> dict[str, DataFrame]:
+    """One lazily read DataFrame per table of the layer.
+
+    ``names`` maps file (or folder) names to table names. With ``expected``,
+    a missing table and a file that maps to no expected table are errors.
+    """
+    found = {(names or {}).get(n, n): full for n, full in _listing(spark, path).items()}
+    if expected is not None:
+        missing, unknown = sorted(set(expected) - set(found)), sorted(set(found) - set(expected))
+        if missing or unknown:
+            raise ValueError(f"{path}: missing tables {missing}, unknown tables {unknown}")
+    return {n: read_table(spark, full, (schemas or {}).get(n), fmt) for n, full in sorted(found.items())}
 
 
 def head(df: DataFrame, key: list[str], n: int = 5) -> DataFrame:

@@ -20,11 +20,10 @@ def _batch_writer(target: str, key: list[str], order: list[str],
         spark = batch.sparkSession
         b = transform(batch) if transform else batch
         b = keep_first(b, key, order)
-        try:
-            existing = spark.read.parquet(target).select(*key)
-            b = b.join(existing, key, "left_anti")
-        except Exception:  # noqa: BLE001 - first batch: target does not exist yet
-            pass
+        # only a target that isn't there yet is a first batch; any read error rises
+        p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(target)
+        if p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p):
+            b = b.join(spark.read.parquet(target).select(*key), key, "left_anti")
         b.write.mode("append").parquet(target)
     return write
 

@@ -72,3 +72,57 @@ def test_batch_job_writes_every_layer(spark):
     assert {"silver", "gold", "details", "rec"} <= set(os.listdir(d))
     assert spark.read.parquet(f"{d}/gold/top_products_by_segment").count() > 0
     assert "rec_cross_category" in done
+
+
+def test_csv_quotes_line_breaks_and_latin1_by_file(spark):
+    d = tempfile.mkdtemp(dir="/tmp")
+    folder = os.path.join(d, "reviews.csv")
+    os.mkdir(folder)
+    with open(os.path.join(folder, "a.csv"), "wb") as f:
+        f.write('id,message\n1,"first line\nsecond, line"\n2,"said ""good, fine"" ok"\n3,maçã\n'.encode())
+    with open(os.path.join(folder, "b.csv"), "wb") as f:
+        f.write('id,message\n4,"São\nPaulo"\n'.encode("latin-1"))
+    got = {r.id: r.message for r in io.read_table(spark, folder, fmt="csv").collect()}
+    assert got == {"1": "first line\nsecond, line", "2": 'said "good, fine" ok', "3": "maçã", "4": "São\nPaulo"}
+
+
+def test_layer_names_and_missing_tables(spark):
+    import pytest
+    d = tempfile.mkdtemp(dir="/tmp")
+    df = spark.createDataFrame([(1, "a")], "id long, v string")
+    io.write_table(df, f"{d}/raw_alpha_dataset")
+    io.write_table(df, f"{d}/beta")
+    layer = io.load_layer(spark, d, names={"raw_alpha_dataset": "alpha"}, expected=["alpha", "beta"])
+    assert sorted(layer) == ["alpha", "beta"]
+    with pytest.raises(ValueError, match="missing tables .'alpha'.*unknown tables .'raw_alpha_dataset'"):
+        io.load_layer(spark, d, expected=["alpha", "beta"])
+
+
+def test_unknown_bronze_table_is_an_error(spark):
+    import pytest
+    from mercato.plans import silver
+    with pytest.raises(ValueError, match="unknown bronze tables"):
+        silver.build({"nonsense": spark.range(1)})
+
+
+def test_job_from_csv_with_renamed_files(spark):
+    from mercato import jobs
+    from mercato.sources.fixtures import bronze_layer
+    from tests.conftest import SF_SMALL
+    d = tempfile.mkdtemp(dir="/tmp")
+    names = []
+    for name, df in bronze_layer(spark, SF_SMALL).items():
+        io.write_table(df.coalesce(1), f"{d}/bronze/shop_{name}_dataset", fmt="csv")
+        names += ["--name", f"shop_{name}_dataset={name}"]
+    jobs.main(["--bronze", f"{d}/bronze", "--out", f"{d}/out", "--no-ml", "--no-reports", *names])
+    assert spark.read.parquet(f"{d}/out/silver/orders").count() > 0
+
+
+def test_corrupt_model_is_an_error(spark):
+    import pytest
+    from mercato.plans.recommend import persist
+    d = tempfile.mkdtemp(dir="/tmp")
+    assert persist.load(spark, d) == {}
+    os.makedirs(f"{d}/als")
+    with pytest.raises(Exception):  # noqa: B017
+        persist.load(spark, d)
