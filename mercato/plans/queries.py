@@ -233,7 +233,7 @@ def _training(spark, sf_dir):
         a = _assets(spark, sf_dir)
         ft = hybrid.feature_tables(a["cust_details"], a["prod_details"])
         sample = hybrid.user_sample(a["profile"], a["inter"])
-        pos = a["inter"].join(sample, "customer_unique_id", "left_semi").select("customer_unique_id", "product_id")
+        pos = a["inter"].join(sample, "customer_unique_id", "left_semi").select("customer_unique_id", "product_id").distinct()
         neg = hybrid.negatives(pos, a["inter"].select("product_id"))
         split = hybrid.stratified_split(hybrid.training_set(pos, neg, ft)).checkpoint()
         _FITTED[key] = (ft, split)
@@ -345,7 +345,7 @@ def r10(spark, sf_dir):
 def r11(spark, sf_dir):
     a = _assets(spark, sf_dir)
     sample = hybrid.user_sample(a["profile"], a["inter"])
-    pos = a["inter"].join(sample, "customer_unique_id", "left_semi").select("customer_unique_id", "product_id")
+    pos = a["inter"].join(sample, "customer_unique_id", "left_semi").select("customer_unique_id", "product_id").distinct()
     return hybrid.negatives(pos, a["inter"].select("product_id"))
 
 

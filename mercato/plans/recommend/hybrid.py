@@ -3,7 +3,7 @@ encoding, training-set assembly, stratified split, boosted trees,
 evaluation, feature importance, batch hybrid recommendations and the
 serving variant with request context.
 
-Randomness is replaced by seeded hashes (``xxhash64(key, seed)``), so every
+Randomness is replaced by seeded hashes (MD5 of seed and key), so every
 sample is reproducible and survives task retries without checkpoints.
 """
 
@@ -16,17 +16,23 @@ from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from mercato.operators import dense_index, top_n_per_group
-from mercato.operators.sampling import explode_range, hash_bucket, limit_per_group
+from mercato.operators.sampling import explode_range, limit_per_group
 
 USER, ITEM = "customer_unique_id", "product_id"
 
 
 def _h(*cols, seed: int = 42):
-    return F.xxhash64(*[F.col(c) if isinstance(c, str) else c for c in cols], F.lit(seed))
+    """Seeded random order: hex MD5 of the seed and the values."""
+    return F.md5(F.concat_ws(":", F.lit(str(seed)), *[F.col(c).cast("string") for c in cols]))
+
+
+def _leading(key: Column, digits: int) -> Column:
+    """The first hex digits of a key as a number (monotone in the key)."""
+    return F.conv(F.substring(key, 1, digits), 16, 10).cast("long")
 
 
 # ---------------------------------------------------------------- R10
@@ -38,66 +44,44 @@ def user_sample(profile: DataFrame, inter: DataFrame, size: int = 5000, seed: in
 
 
 # ---------------------------------------------------------------- R11
-def negatives(pos: DataFrame, catalogue: DataFrame, seed: int = 42, oversample: int = 3) -> DataFrame:
+def negatives(pos: DataFrame, catalogue: DataFrame, seed: int = 42) -> DataFrame:
     """For each user in ``pos`` (``customer_unique_id, product_id``) as
-    many catalogue products they did not buy as they bought (all of them
-    if fewer remain), uniformly without replacement and without a cross
-    join: draw hashed positions into a dense catalogue index, drop
-    duplicates and bought items, keep the first n by hash. Users left short
-    are topped up by a larger draw; users needing half the catalogue or
-    more enumerate it (their rows are bounded by their own history)."""
-    cat = dense_index(catalogue.select(ITEM).distinct(), ITEM, "_pidx")
+    many catalogue products they did not buy as they bought (all of them if
+    fewer remain), uniformly without replacement and without a cross join.
+
+    Every user reads the same dense catalogue index (in hashed order) around a
+    circle from an own hashed start: the first ``2 n`` products from there hold
+    at least ``n`` that were not bought, or all that remain. The first n not
+    bought ones are the sample; one scheme for light and heavy users."""
+    order = catalogue.select(ITEM).distinct().withColumn("_shuffled", F.concat(
+        _h(ITEM, seed=seed), F.lit(":"), F.col(ITEM).cast("string")))
+    cat = (dense_index(order, "_shuffled", "_pidx").join(order, "_shuffled").select(ITEM, "_pidx"))
     p_count = cat.agg(F.count(F.lit(1)).alias("_P"))
-    need = pos.groupBy(USER).agg(F.count(F.lit(1)).alias("_n")).crossJoin(F.broadcast(p_count))
     bought = pos.select(USER, ITEM).distinct()
-
-    def draw(users: DataFrame, factor: int, salt: int) -> DataFrame:
-        d = explode_range(users.select(USER, "_n", "_P"), F.lit(1), (F.col("_n") * factor + 20).cast("int"), "_j")
-        d = d.select(USER, "_n", F.pmod(_h(USER, "_j", F.lit(salt), seed=seed), F.col("_P")).cast("int").alias("_pidx"))
-        return d.join(cat, "_pidx").select(USER, "_n", ITEM).distinct()
-
-    def enumerate_all(users: DataFrame) -> DataFrame:
-        d = explode_range(users.select(USER, "_n", "_P"), F.lit(0), (F.col("_P") - 1).cast("int"), "_pidx")
-        return d.join(cat, "_pidx").select(USER, "_n", ITEM)
-
-    def finish(c: DataFrame) -> DataFrame:
-        # candidates are materialised once: the limit reads them twice
-        c = c.join(bought, [USER, ITEM], "left_anti").withColumn("_key", _h(USER, ITEM, seed=seed)).checkpoint()
-        return limit_per_group(c, [USER], "_n", [F.col("_key"), F.col(ITEM)], hash_bucket(F.col("_key"))).select(USER, ITEM)
-
-    def short_of(users: DataFrame, got: DataFrame) -> DataFrame:
-        g = got.groupBy(USER).agg(F.count(F.lit(1)).alias("_g"))
-        return (users.join(g, USER, "left").where(F.coalesce(F.col("_g"), F.lit(0)) < F.col("_n"))
-                .drop("_g").checkpoint())
-
-    heavy = need.where(F.col("_n") * 2 >= F.col("_P"))
-    light = need.where(F.col("_n") * 2 < F.col("_P"))
-    first = finish(draw(light, oversample, 1)).checkpoint()
-    short = short_of(light, first)
-    second = finish(draw(short, oversample * 4, 2)).checkpoint()
-    still = short_of(short, second)
-    done_first = first.join(short.select(USER), USER, "left_anti")
-    done_second = second.join(still.select(USER), USER, "left_anti")
-    full = finish(enumerate_all(heavy.unionByName(still)))
-    return done_first.unionByName(done_second).unionByName(full)
+    need = bought.groupBy(USER).agg(F.count(F.lit(1)).alias("_n")).crossJoin(F.broadcast(p_count))
+    walk = explode_range(need, F.lit(0), (F.least(F.col("_n") * 2, F.col("_P")) - 1).cast("int"), "_j")
+    walk = walk.withColumn("_pidx", F.pmod(_leading(_h(USER, seed=seed), 12) + F.col("_j"), F.col("_P")).cast("int"))
+    free = (walk.join(cat, "_pidx").join(bought, [USER, ITEM], "left_anti")
+            .select(USER, ITEM, "_n", "_j").checkpoint())  # the limit reads it twice
+    # a monotone bucket of the step, so that no user's walk is ranked in one task
+    return limit_per_group(free, [USER], "_n", [F.col("_j")], F.floor(F.col("_j") / 1024).cast("int")).select(USER, ITEM)
 
 
 # ---------------------------------------------------------------- R12
 def label_codes(df: DataFrame, col: str, unknown: str = "unknown") -> DataFrame:
     """Sorted-class label encoding (nulls -> ``unknown`` first):
-    ``(value, code)`` with code = dense rank - 1 over the distinct values
-    (a table bounded by the number of classes)."""
-    vals = df.select(F.coalesce(F.col(col).cast("string"), F.lit(unknown)).alias("value")).distinct()
-    return vals.withColumn("code", (F.dense_rank().over(Window.orderBy("value")) - 1).cast("int"))
+    ``(value, code)`` with code = position among the sorted distinct values."""
+    return dense_index(df.select(F.coalesce(F.col(col).cast("string"), F.lit(unknown)).alias("value")), "value", "code")
 
 
 def encode(df: DataFrame, col: str, codes: DataFrame, unknown: str = "unknown") -> DataFrame:
     v = F.coalesce(F.col(col).cast("string"), F.lit(unknown))
-    return (df.withColumn("_v", v).join(F.broadcast(codes.withColumnRenamed("value", "_v")), "_v", "left")
+    return (df.withColumn("_v", v).join(codes.withColumnRenamed("value", "_v"), "_v", "left")
             .drop("_v", col).withColumnRenamed("code", col))
 
 
 # ---------------------------------------------------------------- R13
+# The feature columns of R13, their order and names.
 CUSTOMER_FEATURES = ["customer_state", "total_orders", "total_spent", "avg_review_score", "preferred_category",
                      "preferred_payment_type", "avg_installments", "avg_delivery_distance"]
 PRODUCT_FEATURES = ["product_category_name_english", "avg_price", "avg_review_score", "total_orders",
@@ -152,7 +136,7 @@ def stratified_split(df: DataFrame, test_fraction: float = 0.2, seed: int = 42)
     the rows is never ranked in one task."""
     n = df.groupBy("label").agg(F.ceil(F.count(F.lit(1)) * F.lit(test_fraction)).cast("bigint").alias("_k"))
     d = df.join(F.broadcast(n), "label").withColumn("_key", _h(USER, ITEM, seed=seed))
-    test = limit_per_group(d, ["label"], "_k", [F.col("_key"), F.col(USER), F.col(ITEM)], hash_bucket(F.col("_key"), 16))
+    test = limit_per_group(d, ["label"], "_k", [F.col("_key"), F.col(USER), F.col(ITEM)], _leading(F.col("_key"), 4))
     flags = test.select(USER, ITEM, "label").withColumn("is_test", F.lit(True))
     return (df.join(flags, [USER, ITEM, "label"], "left")
             .withColumn("is_test", F.coalesce(F.col("is_test"), F.lit(False))))
@@ -226,8 +210,8 @@ def rerank_with_context(candidates: DataFrame, requests: DataFrame, ft: FeatureT
     sp = st.where(F.col("value") == default_state).select(F.col("code").alias("_sp"))
     first_cat = cat.agg(F.min("code").alias("_fc"))
     ctx = (requests.select(USER, "state", "category", "price")
-           .join(F.broadcast(st.select(F.col("value").alias("state"), F.col("code").alias("_st"))), "state", "left")
-           .join(F.broadcast(cat.select(F.col("value").alias("category"), F.col("code").alias("_ct"))), "category", "left")
+           .join(st.select(F.col("value").alias("state"), F.col("code").alias("_st")), "state", "left")
+           .join(cat.select(F.col("value").alias("category"), F.col("code").alias("_ct")), "category", "left")
            .crossJoin(F.broadcast(first_st)).crossJoin(F.broadcast(first_cat))
            .join(F.broadcast(sp), F.lit(True), "left"))
     ctx = ctx.select(USER, F.when(F.col("state").isNull(), None)

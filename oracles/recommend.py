@@ -180,6 +180,69 @@ rq_req AS (
 ),
 {_GAPS}"""
 
+# the ranker's sample, negatives, training set and split: the same seeded order, written set-wise
+_CODED = {"customer_state": "d_customer_details", "preferred_category": "d_customer_details",
+          "preferred_payment_type": "d_customer_details", "product_category_name_english": "d_product_details",
+          "seller_state": "d_product_details"}
+
+
+def _code(alias: str, col: str) -> str:
+    return (f"(SELECT code FROM r_codes k WHERE k.column_name = '{col}' "
+            f"AND k.value = coalesce(CAST({alias}.{col} AS VARCHAR), 'unknown'))")
+
+
+def _features() -> str:
+    cust = {"customer_state": "customer_state", "cliente_total_orders": "total_orders", "total_spent": "total_spent",
+            "cliente_avg_review_score": "avg_review_score", "preferred_category": "preferred_category",
+            "preferred_payment_type": "preferred_payment_type", "avg_installments": "avg_installments",
+            "avg_delivery_distance": "avg_delivery_distance"}
+    prod = {"product_category_name_english": "product_category_name_english", "avg_price": "avg_price",
+            "produto_avg_review_score": "avg_review_score", "produto_total_orders": "total_orders",
+            "positive_sentiment_ratio": "positive_sentiment_ratio", "seller_state": "seller_state",
+            "repeat_product": "repeat_product", "total_sellers": "total_sellers"}
+    out = []
+    for alias, cols in (("c", cust), ("p", prod)):
+        for name, col in cols.items():
+            value = f"CASE WHEN {alias}.id IS NOT NULL THEN {_code(alias, col)} END" if col in _CODED else f"{alias}.{col}"
+            out.append(f"coalesce(CAST({value} AS DOUBLE), CAST(0 AS DOUBLE)) AS {name}")
+    return ",\n    ".join(out)
+
+
+RECS += f""",
+rt_users AS (
+  SELECT customer_unique_id FROM (SELECT customer_unique_id FROM g_customer_profile
+                                  INTERSECT SELECT customer_unique_id FROM g_interactions)
+  ORDER BY md5('42:' || CAST(customer_unique_id AS VARCHAR)), customer_unique_id LIMIT 5000
+),
+rt_pos AS (SELECT DISTINCT customer_unique_id, product_id FROM g_interactions SEMI JOIN rt_users USING (customer_unique_id)),
+rt_cat AS (
+  SELECT product_id, row_number() OVER (ORDER BY md5('42:' || CAST(product_id AS VARCHAR)) || ':' || CAST(product_id AS VARCHAR)) - 1
+    AS i, count(*) OVER () AS n FROM (SELECT DISTINCT product_id FROM g_interactions)
+),
+rt_neg AS (
+  SELECT customer_unique_id, product_id FROM (
+    SELECT u.customer_unique_id, c.product_id, u.k, row_number() OVER (
+             PARTITION BY u.customer_unique_id ORDER BY (c.i - u.start % c.n + c.n) % c.n) AS pos
+    FROM (SELECT customer_unique_id, count(*) AS k,
+            CAST('0x' || substr(md5('42:' || CAST(customer_unique_id AS VARCHAR)), 1, 12) AS BIGINT) AS start
+          FROM rt_pos GROUP BY 1) u, rt_cat c
+    WHERE NOT EXISTS (SELECT 1 FROM rt_pos b WHERE b.customer_unique_id = u.customer_unique_id AND b.product_id = c.product_id))
+  WHERE pos <= k
+),
+rt_set AS (
+  SELECT r.customer_unique_id, r.product_id, CAST(r.label AS DOUBLE) AS label,
+    {_features()}
+  FROM (SELECT *, 1 AS label FROM rt_pos UNION ALL SELECT *, 0 FROM rt_neg) r
+  LEFT JOIN (SELECT customer_unique_id AS id, * FROM d_customer_details) c ON r.customer_unique_id = c.id
+  LEFT JOIN (SELECT product_id AS id, * FROM d_product_details) p ON r.product_id = p.id
+),
+rt_split AS (
+  SELECT label, row_number() OVER (PARTITION BY label ORDER BY
+      md5('42:' || CAST(customer_unique_id AS VARCHAR) || ':' || CAST(product_id AS VARCHAR)), customer_unique_id, product_id)
+    <= ceil(count(*) OVER (PARTITION BY label) * CAST(0.2 AS DOUBLE)) AS is_test
+  FROM rt_set
+)"""
+
 R = {
     "r1_product_text": "SELECT * FROM r_text",
     "r2_tfidf": "SELECT * FROM r_tfidf",
@@ -203,6 +266,10 @@ R = {
       LEFT JOIN (SELECT DISTINCT CAST(customer_unique_id AS VARCHAR) AS id FROM g_customer_profile
                  WHERE CAST(customer_unique_id AS VARCHAR) NOT LIKE '%4') p ON r.customer_unique_id = p.id""",
     "r9_also_bought": "SELECT * FROM r_also",
+    "r10_user_sample": "SELECT * FROM rt_users",
+    "r11_negatives": "SELECT * FROM rt_neg",
+    "r13_training_set": "SELECT * FROM rt_set",
+    "r14_split_counts": "SELECT label, is_test, count(*) AS rows FROM rt_split GROUP BY 1, 2",
     "r12_label_codes": "SELECT * FROM r_codes",
     "r20_routing": "SELECT * FROM r_routing",
     "r21_content_precision": "SELECT * FROM r_content_precision",
