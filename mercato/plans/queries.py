@@ -167,6 +167,8 @@ register("k14_payment_revenue")(_silver(graph.payment_revenue))
 from mercato.plans.recommend import als, cold_start, content, copurchase, evaluate, hybrid, router  # noqa: E402
 
 _FITTED: dict = {}
+#: Fitted models and training sets kept at once; older ones are dropped.
+_KEPT = 8
 
 
 class _Assets(dict):
@@ -212,41 +214,53 @@ def _profile_requests(a):
                                F.col("preferred_category").alias("category"))
 
 
-def _key(spark, *parts):
-    """Cache key: fitted models belong to one application (session)."""
-    return (spark.sparkContext.applicationId, *parts)
+def _state_of(spark, sf_dir) -> tuple:
+    """Name, length and modification time of every file under ``sf_dir``."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(sf_dir)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    found, files = [], fs.listFiles(p, True)
+    while files.hasNext():
+        f = files.next()
+        found.append((f.getPath().toString(), f.getLen(), f.getModificationTime()))
+    return tuple(sorted(found))
 
 
-def _als(spark, sf_dir):
-    key = _key(spark, "als", sf_dir)
+def _fitted(spark, sf_dir, name, make):
+    """A fitted model or training set of one application and one state of
+    the files it is made of: changed data are fitted anew."""
+    key = (spark.sparkContext.applicationId, name, _state_of(spark, sf_dir))
     if key not in _FITTED:
-        a = _assets(spark, sf_dir)
-        idx = als.index_interactions(a["inter"])
-        _FITTED[key] = (idx, als.fit(idx))
+        value = make()
+        while len(_FITTED) >= _KEPT:
+            _FITTED.pop(next(iter(_FITTED)))
+        _FITTED[key] = value
     return _FITTED[key]
 
 
+def _als(spark, sf_dir):
+    def make():
+        idx = als.index_interactions(_assets(spark, sf_dir)["inter"])
+        return idx, als.fit(idx)
+    return _fitted(spark, sf_dir, "als", make)
+
+
 def _training(spark, sf_dir):
     """Sample, negatives, features, split (materialised once)."""
-    key = _key(spark, "training", sf_dir)
-    if key not in _FITTED:
+    def make():
         a = _assets(spark, sf_dir)
         ft = hybrid.feature_tables(a["cust_details"], a["prod_details"])
         sample = hybrid.user_sample(a["profile"], a["inter"])
         pos = a["inter"].join(sample, "customer_unique_id", "left_semi").select("customer_unique_id", "product_id").distinct()
         neg = hybrid.negatives(pos, a["inter"].select("product_id"))
-        split = hybrid.stratified_split(hybrid.training_set(pos, neg, ft)).checkpoint()
-        _FITTED[key] = (ft, split)
-    return _FITTED[key]
+        return ft, hybrid.stratified_split(hybrid.training_set(pos, neg, ft)).checkpoint()
+    return _fitted(spark, sf_dir, "training", make)
 
 
 def _ranker(spark, sf_dir, trees: int = 200):
-    key = _key(spark, "gbt", sf_dir, trees)
-    if key not in _FITTED:
+    def make():
         ft, split = _training(spark, sf_dir)
-        model = hybrid.train(split.where(~F.col("is_test")), trees=trees)
-        _FITTED[key] = (ft, split, model)
-    return _FITTED[key]
+        return ft, split, hybrid.train(split.where(~F.col("is_test")), trees=trees)
+    return _fitted(spark, sf_dir, f"gbt{trees}", make)
 
 
 @register("r1_product_text")
@@ -477,6 +491,56 @@ def r26(spark, sf_dir):
     return router.cross_category(a["aff"], a["top"], a["inter"])
 
 
+# What must hold of the learned outputs whatever the model: each has a SQL twin.
+def _lists(recs, *by):
+    """Users, rows, and users whose ranks are not 1 .. n without gaps."""
+    per = recs.groupBy(*by, "customer_unique_id").agg(F.count(F.lit(1)).alias("n"), F.max("rank").alias("top"),
+                                                     F.count_distinct("product_id").alias("items"))
+    return per.groupBy(*by).agg(F.count(F.lit(1)).alias("users"), F.sum("n").alias("rows"),
+                                F.count_if((F.col("top") != F.col("n")) | (F.col("items") != F.col("n"))).alias("broken"))
+
+
+@register("r6_cf_invariants")
+def r6_invariants(spark, sf_dir):
+    recs = r6(spark, sf_dir)
+    bought = recs.join(_assets(spark, sf_dir)["inter"], ["customer_unique_id", "product_id"], "left_semi")
+    return _lists(recs).crossJoin(F.broadcast(bought.agg(F.count(F.lit(1)).alias("bought"))))
+
+
+@register("r16_ranker_invariants")
+def r16_invariants(spark, sf_dir):
+    ok = lambda c: F.col(c).isNull() | F.col(c).between(0, 1)
+    return r16(spark, sf_dir).select("class", "support", (ok("precision") & ok("recall") & ok("f1")
+                                                          & F.col("roc_auc").between(0, 1)).alias("valid"))
+
+
+@register("r17_importance_invariants")
+def r17_invariants(spark, sf_dir):
+    imp = r17(spark, sf_dir)
+    return imp.crossJoin(F.broadcast(imp.agg(F.round(F.sum("importance"), 6).alias("total")))).select(
+        "feature", (F.col("importance") >= 0).alias("valid"), "total")
+
+
+@register("r18_hybrid_invariants")
+def r18_invariants(spark, sf_dir):
+    return _lists(r18(spark, sf_dir), "strategy")
+
+
+@register("r19_serving_invariants")
+def r19_invariants(spark, sf_dir):
+    return _lists(r19(spark, sf_dir))
+
+
+@register("r20_recommendation_invariants")
+def r20_invariants(spark, sf_dir):
+    return _lists(r20(spark, sf_dir).where("strategy <> 'also_bought'"), "strategy")
+
+
+@register("r22_evaluation_invariants")
+def r22_invariants(spark, sf_dir):
+    return r24(spark, sf_dir).select("method", "users_evaluated", F.col("precision_at_k").between(0, 1).alias("valid"))
+
+
 # ---------------------------------------------------------------- quality
 from mercato.plans import quality  # noqa: E402
 

