@@ -8,10 +8,7 @@ hashes; two different words share one with probability 2^-64 a pair.
 
 from __future__ import annotations
 
-import os
-import tempfile
 import uuid
-import zipfile
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -20,12 +17,12 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mercato.session import ensure_checkpoint_dir
+from mercato.session import ensure_checkpoint_dir, ship
 
 U64 = np.uint64
 
 #: Bytes of text handled at once inside a task (one longer text is its own block).
-BLOCK_BYTES = 2 << 20
+BLOCK_BYTES = 1_000_000
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
@@ -41,27 +38,6 @@ def cut(df: DataFrame, name: str = "cut") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-_shipped: set[str] = set()
-
-
-def ship(spark: SparkSession) -> None:
-    """Send this package to the executors' Python, once an application, as
-    ``--py-files`` would: tasks import the operators by name."""
-    sc = spark.sparkContext
-    if sc.applicationId in _shipped:
-        return
-    top = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
-    path = os.path.join(tempfile.mkdtemp(), f"{os.path.basename(top)}.zip")
-    with zipfile.ZipFile(path, "w") as z:
-        for folder, _, names in os.walk(top):
-            for n in sorted(names):
-                if n.endswith(".py"):
-                    full = os.path.join(folder, n)
-                    z.write(full, os.path.relpath(full, os.path.dirname(top)))
-    sc.addPyFile(path)
-    _shipped.add(sc.applicationId)
-
-
 def map_arrow(df: DataFrame, fn: Callable, schema) -> DataFrame:
     """``df.mapInArrow`` with this package at hand in the tasks."""
     ship(df.sparkSession)
