@@ -171,12 +171,12 @@ def repeat_summary(repeat: DataFrame) -> DataFrame:
     """H9 (A15): products, repeatable products and share, mean ratio among
     repeatable products."""
     rep = F.col("repeat_buyers") > 0
+    # one row a product: counting rows is counting products
+    total, repeatable = F.count("product_id"), F.count_if(rep & F.col("product_id").isNotNull())
     return repeat.agg(
-        F.count_distinct("product_id").alias("total_products"),
-        F.count_distinct(F.when(rep, F.col("product_id"))).alias("repeatable_products"),
-        (F.count_distinct("product_id") - F.count_distinct(F.when(rep, F.col("product_id")))).alias("non_repeatable_products"),
-        np_round(F.count_distinct(F.when(rep, F.col("product_id"))) * 100.0 / F.count_distinct("product_id"), 6)
-        .alias("repeatable_pct"),
+        total.alias("total_products"), repeatable.alias("repeatable_products"),
+        (total - repeatable).alias("non_repeatable_products"),
+        np_round(repeatable * 100.0 / total, 6).alias("repeatable_pct"),
         np_round(F.avg(F.when(rep, F.col("repeat_product"))), 6).alias("average_repeat_chance"))
 
 

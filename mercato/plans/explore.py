@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from mercato.functions import (cents_sum, clip, floor_days_between, hours_between, month_bucket, np_round,
                                strip_accents)
-from mercato.operators import describe, histogram, quantiles, value_counts, with_global  # noqa: F401
+from mercato.operators import describe, histogram, quantiles, top_n_per_group, value_counts, with_global  # noqa: F401
 
 
 def _rank(df: DataFrame, order: list[Column], limit: int | None = None) -> DataFrame:
@@ -74,8 +74,9 @@ def estimated_vs_real(layer) -> DataFrame:
 
 def late_rate_by_state(layer, min_orders: int = 100, top: int = 5) -> DataFrame:
     """Late rate % per state among states with > min_orders, top 5."""
-    o = estimated_vs_real(layer).select("order_id", "is_late")
-    o = o.join(layer["orders"].select("order_id", "customer_id"), "order_id").join(
+    both = (floor_days_between("order_purchase_timestamp", "order_delivered_customer_date").isNotNull()
+            & floor_days_between("order_purchase_timestamp", "order_estimated_delivery_date").isNotNull())
+    o = layer["orders"].where(both).select("customer_id", "is_late").join(
         layer["customers"].select("customer_id", "customer_state"), "customer_id")
     agg = (o.where(F.col("customer_state").isNotNull()).groupBy("customer_state")
            .agg(F.count("is_late").alias("total_orders"), F.count_if(F.col("is_late")).alias("total_late"))
@@ -259,6 +260,20 @@ def cooccurrence_count_histogram(cooc: DataFrame, cap: int = 20, bins: int = 20)
     return histogram(c, "cooccurrence_count", bins)
 
 
+def segment_samples(top: DataFrame, segments: int = 3, n: int = 5) -> DataFrame:
+    """E17 (A17, W2): the first ``segments`` segment values of each type and
+    their ``n`` best products, and the product ranked first overall."""
+    names = top.select("segment_type", "segment_value").distinct()
+    some = top_n_per_group(names, ["segment_type"], [F.col("segment_value").asc()], segments, "_s").drop("_s")
+    rows = top.join(some, ["segment_type", "segment_value"]).where(F.col("rank") <= n).select(
+        "segment_type", "segment_value", F.col("rank").cast("bigint").alias("rank"), "product_id", "total_orders")
+    lead = top.where(F.col("total_orders").isNotNull()).groupBy().agg(F.max("total_orders").alias("m"))
+    first = (top.join(F.broadcast(lead), F.col("total_orders") == F.col("m")).agg(F.min("product_id").alias("product_id"),
+                                                                                  F.max("m").alias("total_orders")))
+    return rows.unionByName(first.select(F.lit("best").alias("segment_type"), F.lit("all").alias("segment_value"),
+                                         F.lit(1).cast("bigint").alias("rank"), "product_id", "total_orders"))
+
+
 def segment_coverage(top: DataFrame) -> DataFrame:
     """E17 (A3): distinct segment values per segment type."""
     return top.groupBy("segment_type").agg(F.count_distinct("segment_value").alias("segments"))

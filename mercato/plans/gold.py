@@ -206,28 +206,29 @@ def cooccurrence(layer: dict[str, DataFrame], bucket_rows: int = 2048) -> DataFr
 
 
 # ---------------------------------------------------------------- G6
-def segment_item_rows(layer: dict[str, DataFrame]) -> DataFrame:
-    """Item rows tagged with every segment they belong to: global 'all',
-    the buyer's state, the product's English category (nulls skipped)."""
-    items = layer["order_items"].select("order_id", "product_id")
-    fact = (items.join(order_person(layer, "customer_state"), "order_id", "left")
-            .join(categories(layer).select("product_id", "product_category_name_english"), "product_id", "left"))
+def segment_counts(layer: dict[str, DataFrame]) -> DataFrame:
+    """Item rows per segment and product: counted by (product, state) first,
+    then each count is dealt to the global, the state and the category segment
+    (nulls skipped) and summed."""
+    items = layer["order_items"].select("order_id", "product_id").where(F.col("product_id").isNotNull())
+    fact = items.join(order_person(layer, "customer_state"), "order_id", "left")
+    per = (fact.groupBy("product_id", "customer_state").agg(F.count("order_id").alias("_c"))
+           .join(categories(layer).select("product_id", "product_category_name_english"), "product_id", "left"))
     segs = F.filter(F.array(
         F.struct(F.lit("global").alias("t"), F.lit("all").alias("v")),
         F.struct(F.lit("state").alias("t"), F.col("customer_state").cast("string").alias("v")),
         F.struct(F.lit("category").alias("t"), F.col("product_category_name_english").alias("v"))),
         lambda s: s["v"].isNotNull())
-    return fact.select("order_id", "product_id", F.explode(segs).alias("_seg")).select(
-        F.col("_seg.t").alias("segment_type"), F.col("_seg.v").alias("segment_value"), "order_id", "product_id")
+    return (per.select("product_id", "_c", F.explode(segs).alias("_seg"))
+            .groupBy(F.col("_seg.t").alias("segment_type"), F.col("_seg.v").alias("segment_value"), "product_id")
+            .agg(F.sum("_c").alias("_seg_orders")))
 
 
 def top_by_segment(layer: dict[str, DataFrame], product_feats: DataFrame | None = None, n: int = 10) -> DataFrame:
     """Top-n products per segment by segment item rows desc, then product
     mean review desc (null last), then product_id asc."""
     pf = product_feats if product_feats is not None else product_features(layer)
-    counts = (segment_item_rows(layer).where(F.col("product_id").isNotNull())
-              .groupBy("segment_type", "segment_value", "product_id")
-              .agg(F.count("order_id").alias("_seg_orders")))
+    counts = segment_counts(layer)
     ranked = top_n_per_group(
         counts.join(pf.select("product_id", "product_category_name_english", "avg_review_score", "avg_price",
                               "total_orders", "positive_sentiment_ratio"), "product_id", "left"),

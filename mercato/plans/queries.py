@@ -120,6 +120,7 @@ register("e15_top_affinity_categories")(_silver(lambda s: explore.top_affinity_c
 register("e16_top_cooccurrence")(_silver(lambda s: explore.top_cooccurrence(gold.cooccurrence(s))))
 register("e16_count_histogram")(_silver(lambda s: explore.cooccurrence_count_histogram(gold.cooccurrence(s))))
 register("e16_score_histogram")(_silver(lambda s: histogram(gold.cooccurrence(s), "cooccurrence_score", 30)))
+register("e17_segment_samples")(_silver(lambda s: explore.segment_samples(gold.top_by_segment(s))))
 register("e17_segment_coverage")(_silver(lambda s: explore.segment_coverage(gold.top_by_segment(s))))
 
 # ---------------------------------------------------------------- dashboards
@@ -550,6 +551,18 @@ def q1(spark, sf_dir):
     return quality.profile(silver_layer(spark, sf_dir)["order_items"], "order_items")
 
 
+@register("q1_profile_all")
+def q1_all(spark, sf_dir):
+    """Every table before and after cleaning."""
+    parts = [quality.profile(df, f"{when}.{name}") for when, layer in (("before", bronze(spark, sf_dir)),
+                                                                      ("after", silver_layer(spark, sf_dir)))
+             for name, df in layer.items()]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
 @register("q2_missing_share")
 def q2(spark, sf_dir):
     b = bronze(spark, sf_dir)["products"]

@@ -7,6 +7,7 @@ deployment, and the session is taken as it is.
 
 from __future__ import annotations
 
+import io
 import os
 import tempfile
 import zipfile
@@ -85,12 +86,17 @@ def ship(spark: SparkSession) -> None:
     if sc.applicationId in _shipped:
         return
     top = os.path.dirname(os.path.abspath(__file__))
-    path = os.path.join(tempfile.mkdtemp(), f"{os.path.basename(top)}.zip")
-    with zipfile.ZipFile(path, "w") as z:
+    packed = io.BytesIO()
+    with zipfile.ZipFile(packed, "w") as z:
         for folder, _, names in os.walk(top):
             for n in sorted(names):
                 if n.endswith(".py"):
                     full = os.path.join(folder, n)
                     z.write(full, os.path.relpath(full, os.path.dirname(top)))
-    sc.addPyFile(path)
+    # in the shared folder, like everything else that is written
+    path = sc._jvm.org.apache.hadoop.fs.Path(f"{ensure_checkpoint_dir(spark)}/{os.path.basename(top)}.zip")
+    out = path.getFileSystem(sc._jsc.hadoopConfiguration()).create(path, True)
+    out.write(packed.getvalue())
+    out.close()
+    sc.addPyFile(path.toString())
     _shipped.add(sc.applicationId)

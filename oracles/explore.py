@@ -274,3 +274,11 @@ E["e11_capital_share_accented"] = vc("""(SELECT CASE WHEN c.capital = lower(g.ge
     ELSE 'Interior' END AS location FROM s_geolocation g LEFT JOIN
     (SELECT geolocation_state AS st, min(geolocation_city) AS capital FROM s_geolocation GROUP BY 1) c
     ON g.geolocation_state = c.st)""", "location")
+E["e17_segment_samples"] = """SELECT segment_type, segment_value, CAST(rank AS BIGINT) AS rank, product_id, total_orders
+    FROM g_top_products_by_segment SEMI JOIN (
+      SELECT segment_type, segment_value FROM (SELECT segment_type, segment_value,
+          row_number() OVER (PARTITION BY segment_type ORDER BY segment_value) AS k
+        FROM (SELECT DISTINCT segment_type, segment_value FROM g_top_products_by_segment)) WHERE k <= 3)
+      USING (segment_type, segment_value) WHERE rank <= 5
+    UNION ALL SELECT 'best', 'all', CAST(1 AS BIGINT), min(product_id), max(total_orders) FROM g_top_products_by_segment
+      WHERE total_orders = (SELECT max(total_orders) FROM g_top_products_by_segment)"""
