@@ -35,6 +35,20 @@ GOLD_COLUMNS = {
 }
 
 
+def _profile_all() -> str:
+    """Every mapped and every cleaned table, whatever its columns."""
+    parts = []
+    for when, prefix in (("before", "m"), ("after", "s")):
+        for t in ("customers", "sellers", "translation", "products", "orders", "order_items", "payments", "reviews",
+                  "geolocation"):
+            parts.append(f"""SELECT '{when}.{t}' AS "table", "column", nulls, (SELECT count(*) FROM {prefix}_{t}) AS rows,
+              count(*) OVER () AS columns,
+              (SELECT count(*) FROM {prefix}_{t}) - (SELECT count(*) FROM (SELECT DISTINCT * FROM {prefix}_{t})) AS duplicate_rows
+            FROM (UNPIVOT (SELECT count(CASE WHEN COLUMNS('(.*)') IS NULL THEN 1 END) AS "\\1" FROM {prefix}_{t})
+                  ON COLUMNS(*) INTO NAME "column" VALUE nulls)""")
+    return "\nUNION ALL\n".join(parts)
+
+
 def _q1() -> str:
     parts = [f"SELECT 'order_items' AS \"table\", '{c}' AS \"column\", count(*) FILTER (WHERE {c} IS NULL) AS nulls, "
              f"count(*) AS rows, CAST({len(ITEM_COLS)} AS BIGINT) AS columns, "
@@ -67,6 +81,7 @@ def _q3() -> str:
 
 
 Q = {
+    "q1_profile_all": _profile_all(),
     "q1_profile_items": _q1(),
     "q2_missing_share": _q2(),
     "q2_quality_score": _q2s(),
