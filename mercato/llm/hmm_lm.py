@@ -62,9 +62,9 @@ END = 0
 PASSES = 2
 SAMPLE_DOCS = 400
 SAMPLE_ROUNDS = 15
-BLOCK_TEXT = 16 << 20
+BLOCK_TEXT = 12 << 20
 #: Tokens of forward-backward at once inside a task.
-CHUNK = 1_000_000
+CHUNK = 400_000
 #: Weight of the corpus class share in every state's emissions, in tokens.
 PRIOR = 50.0
 
@@ -104,8 +104,8 @@ def time_major(first: np.ndarray):
     return order, active, at, source, place, rank
 
 
-def forward(m: Hmm, tokens: np.ndarray, active, at, dtype=np.float64):
-    """Scaled forward variables and scales of time-major tokens."""
+def forward(m: Hmm, tokens: np.ndarray, active, at, dtype=np.float32):
+    """Emission probabilities, scaled forward variables and scales of time-major tokens."""
     emit = np.ascontiguousarray(m.emit.T, dtype=dtype)[tokens]
     move = m.move.astype(dtype)
     alpha = np.empty_like(emit)
@@ -126,7 +126,7 @@ def expected(m: Hmm, classes: np.ndarray, first: np.ndarray):
     _, active, at, source, place, _ = time_major(first)
     tokens = np.empty(len(classes), np.int64)
     tokens[place] = classes[source]
-    emit, alpha, scale = forward(m, tokens, active, at, np.float32)
+    emit, alpha, scale = forward(m, tokens, active, at)
     moves = np.zeros_like(m.move)
     back = m.move.T.astype(np.float32)
     steps = len(active)
@@ -150,15 +150,23 @@ def expected(m: Hmm, classes: np.ndarray, first: np.ndarray):
 
 
 def likelihoods(m: Hmm, classes: np.ndarray, first: np.ndarray) -> np.ndarray:
-    """log10 probability of each class sequence."""
+    """log10 probability of each class sequence; only the scales are kept."""
     out = np.zeros(len(first) - 1)
-    for i, j in blocks(first, CHUNK):
-        own = first[i:j + 1] - first[i]
+    by_size = np.argsort(-np.diff(first), kind="stable")  # long texts together: few steps with few texts
+    emit = np.ascontiguousarray(m.emit.T)
+    for i, j in blocks(np.concatenate([[0], np.cumsum(np.diff(first)[by_size])]), CHUNK):
+        some, own = _subset(classes, first, by_size[i:j])
         order, active, at, source, place, rank = time_major(own)
         tokens = np.empty(len(source), np.int64)
-        tokens[place] = classes[first[i]:first[j]][source]
-        _, _, scale = forward(m, tokens, active, at)
-        out[i:j][order] = np.bincount(rank, weights=np.log10(scale[place]), minlength=j - i)
+        tokens[place] = some[source]
+        scale = np.empty(len(tokens))
+        a = None
+        for p, q in zip(at[:-1], at[1:], strict=True):
+            a = (m.start[None] if a is None else a[:q - p] @ m.move) * emit[tokens[p:q]]
+            s = a.sum(1)
+            a /= s[:, None]
+            scale[p:q] = s
+        out[by_size[i:j][order]] = np.bincount(rank, weights=np.log10(scale[place]), minlength=j - i)
     return out
 
 
