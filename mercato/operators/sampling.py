@@ -16,6 +16,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from mercato.operators.indexing import dense_index
+
 
 def explode_range(df: DataFrame, start: Column, stop: Column, out: str, chunk: int = 100_000,
                   partitions: int | None = None) -> DataFrame:
@@ -53,15 +55,9 @@ def hash_bucket(key: Column, bits: int = 10) -> Column:
     return F.shiftright(key, 64 - bits).cast("int")
 
 
-def with_id_bucket(df: DataFrame, col: str, out: str, parts: int = 1024) -> DataFrame:
-    """Coarse monotone bucket of an id column: equal-width ranges between the
-    global min and max for numbers, the first two characters for strings
-    (one scalar row is broadcast, no driver collect)."""
-    dtype = dict(df.dtypes)[col]
-    if dtype in ("string",):
-        return df.withColumn(out, F.substring(F.col(col), 1, 2))
-    stats = df.agg(F.min(col).cast("double").alias("_lo"), F.max(col).cast("double").alias("_hi"))
-    width = F.greatest((F.col("_hi") - F.col("_lo")) / F.lit(float(parts)), F.lit(1.0))
-    return (df.crossJoin(F.broadcast(stats))
-            .withColumn(out, F.floor((F.col(col).cast("double") - F.col("_lo")) / width).cast("int"))
-            .drop("_lo", "_hi"))
+def with_id_bucket(df: DataFrame, col: str, out: str, size: int = 4096) -> DataFrame:
+    """Coarse monotone bucket of an id column of any type: ``size`` neighbouring
+    ids each, by their dense position, so that ids with a common prefix or a
+    gap in their range don't share a bucket."""
+    place = dense_index(df, col, "_place")
+    return df.join(place, col, "left").withColumn(out, F.floor(F.col("_place") / size).cast("int")).drop("_place")

@@ -423,6 +423,20 @@ def r19(spark, sf_dir):
     return hybrid.rerank_with_context(cand, req, ft, ranker)
 
 
+@register("r19_serving_mixed")
+def r19_mixed(spark, sf_dir):
+    """Serving with gaps in the context, and customers never seen."""
+    a = _assets(spark, sf_dir)
+    idx, model = _als(spark, sf_dir)
+    ft, _, ranker = _ranker(spark, sf_dir)
+    text = lambda d: d.withColumn("customer_unique_id", F.col("customer_unique_id").cast("string"))
+    req = text(_mixed_requests(a)).withColumn("price", F.lit(99.9))
+    req = req.unionByName(req.withColumn("customer_unique_id", F.concat(F.lit("new-"), F.col("customer_unique_id"))))
+    own = hybrid.FeatureTables(text(ft.customers), ft.products, ft.codes)
+    return hybrid.serve(req, text(als.recommend(model, idx, n=50)), text(idx.users),
+                        cold_start.recommend_serving(req, a["top"], n=10), own, ranker)
+
+
 @register("r20_routing")
 def r20_routing(spark, sf_dir):
     a = _assets(spark, sf_dir)
@@ -532,6 +546,11 @@ def r19_invariants(spark, sf_dir):
     return _lists(r19(spark, sf_dir))
 
 
+@register("r19_serving_mixed_invariants")
+def r19_mixed_invariants(spark, sf_dir):
+    return _lists(r19_mixed(spark, sf_dir), "strategy")
+
+
 @register("r20_recommendation_invariants")
 def r20_invariants(spark, sf_dir):
     return _lists(r20(spark, sf_dir).where("strategy <> 'also_bought'"), "strategy")

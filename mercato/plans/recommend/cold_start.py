@@ -42,7 +42,16 @@ def recommend_serving(requests: DataFrame, top: DataFrame, n: int = 10, key: str
     """R8, the serving variant: state matches ``segment_value`` exactly in any
     segment; category matches the *product's* category in any segment; the
     fallback is the whole table; each level is ordered by total_orders desc
-    (ties -> product_id), a product appears once."""
+    (ties -> product_id), a product appears once. Lists are ranked once for each
+    different (state, category), then joined to the requests."""
+    gap = F.lit("\u0000")
+    context = F.concat(F.coalesce("state", gap), F.lit("\u0001"), F.coalesce("category", gap)).alias("_ctx")
+    own = requests.select(key, "state", "category", context)
+    lists = _serving_lists(own.select("_ctx", "state", "category").distinct(), top, n, "_ctx")
+    return own.select(key, "_ctx").distinct().join(lists, "_ctx").drop("_ctx")
+
+
+def _serving_lists(requests: DataFrame, top: DataFrame, n: int, key: str) -> DataFrame:
     prod = top.select("segment_value", "product_id", "product_category_name_english", "total_orders")
     r = requests.select(key, "state", "category")
     by_state = r.join(prod, r["state"] == prod["segment_value"]).select(key, "product_id", "total_orders",

@@ -192,19 +192,22 @@ def importances(model: PipelineModel) -> DataFrame:
 # ---------------------------------------------------------------- R18 / R19
 def rerank(candidates: DataFrame, ft: FeatureTables, model: PipelineModel, n: int = 10) -> DataFrame:
     """Score ALS candidates (``customer_unique_id, product_id``) with
-    the classifier and keep the n best per user."""
+    the classifier and keep the n best per user, with the product's category
+    code, price and rating as the classifier saw them."""
     t = (candidates.select(USER, ITEM).join(ft.customers, USER, "left").join(ft.products, ITEM, "left")
          .select(USER, ITEM, *[F.coalesce(F.col(c), F.lit(0.0)).alias(c) for c in FEATURES]))
     s = score(model, t, "score_hybrid")
     top = top_n_per_group(s, [USER], [F.col("score_hybrid").desc(), F.col(ITEM)], n)
-    return top.select(USER, F.col("rank").cast("bigint").alias("rank"), ITEM, "score_hybrid")
+    return top.select(USER, F.col("rank").cast("bigint").alias("rank"), ITEM, "score_hybrid",
+                      "product_category_name_english", "avg_price", F.col("produto_avg_review_score").alias("avg_review_score"))
 
 
 def rerank_with_context(candidates: DataFrame, requests: DataFrame, ft: FeatureTables, model: PipelineModel,
-                        n: int = 10, default_state: str = "SP") -> DataFrame:
+                        n: int = 10, default_state: str = "SP", default_rating: float = 4.0) -> DataFrame:
     """Like R18, with request context overriding the customer's state
     (unknown -> ``default_state``, or the first class if absent), preferred
-    category (unknown -> first class) and product price (T12)."""
+    category (unknown -> first class) and product price (T12); a product
+    without features counts as rated ``default_rating``."""
     st, cat = ft.codes["customer_state"], ft.codes["preferred_category"]
     first_st = st.agg(F.min("code").alias("_fs"))
     sp = st.where(F.col("value") == default_state).select(F.col("code").alias("_sp"))
@@ -222,9 +225,28 @@ def rerank_with_context(candidates: DataFrame, requests: DataFrame, ft: FeatureT
     t = (candidates.select(USER, ITEM).join(ft.customers, USER, "left").join(ft.products, ITEM, "left")
          .join(ctx, USER, "left"))
     over = {"customer_state": "_ctx_state", "preferred_category": "_ctx_cat", "avg_price": "_ctx_price"}
-    t = t.select(USER, ITEM, *[F.coalesce(F.col(over[c]) if c in over else F.lit(None), F.col(c), F.lit(0.0)).alias(c)
-                               for c in FEATURES])
+    default = {"produto_avg_review_score": default_rating}
+    t = t.select(USER, ITEM, *[F.coalesce(F.col(over[c]) if c in over else F.lit(None), F.col(c),
+                                          F.lit(default.get(c, 0.0))).alias(c) for c in FEATURES])
     s = score(model, t, "score")
     top = top_n_per_group(s, [USER], [F.col("score").desc(), F.col(ITEM)], n)
     return top.select(USER, F.col("rank").cast("bigint").alias("rank"), ITEM, "score",
-                      F.lit("xgboost_hybrid").alias("strategy"))
+                      F.lit(HYBRID).alias("strategy"))
+
+
+# The strategy labels of the serving contract.
+HYBRID, COLD_START, NO_CANDIDATES = "xgboost_hybrid", "cold_start", "fallback_hybrid"
+
+
+def serve(requests: DataFrame, candidates: DataFrame, known: DataFrame, cold: DataFrame, ft: FeatureTables,
+          model: PipelineModel, n: int = 10) -> DataFrame:
+    """R19 with its fallbacks: customers without history get the cold-start list
+    of their context, known customers without candidates too, under a label
+    of their own. ``known`` holds the customers with a history."""
+    ranked = rerank_with_context(candidates.join(requests.select(USER).distinct(), USER, "left_semi"), requests, ft, model, n)
+    rest = requests.select(USER).distinct().join(ranked.select(USER).distinct(), USER, "left_anti")
+    rest = rest.join(known.select(USER).distinct().withColumn("_known", F.lit(True)), USER, "left")
+    label = F.when(F.col("_known"), F.lit(NO_CANDIDATES)).otherwise(F.lit(COLD_START))
+    lists = rest.join(cold.select(USER, "rank", ITEM), USER).select(
+        USER, F.col("rank").cast("bigint").alias("rank"), ITEM, F.lit(None).cast("double").alias("score"), label.alias("strategy"))
+    return ranked.unionByName(lists)

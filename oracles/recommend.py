@@ -285,6 +285,12 @@ R = {
     "r19_serving_invariants": """SELECT count(*) AS users, CAST(sum(least(10, p - h)) AS BIGINT) AS rows, CAST(0 AS BIGINT) AS broken
       FROM (SELECT customer_unique_id, count(DISTINCT product_id) AS h FROM g_interactions GROUP BY 1),
            (SELECT count(DISTINCT product_id) AS p FROM g_interactions) WHERE p > h""",
+    "r19_serving_mixed_invariants": """SELECT 'xgboost_hybrid' AS strategy, count(*) AS users,
+        CAST(sum(least(10, p - h)) AS BIGINT) AS rows, CAST(0 AS BIGINT) AS broken
+      FROM (SELECT customer_unique_id, count(DISTINCT product_id) AS h FROM g_interactions SEMI JOIN g_customer_profile
+              USING (customer_unique_id) GROUP BY 1),
+           (SELECT count(DISTINCT product_id) AS p FROM g_interactions) WHERE p > h
+      UNION ALL SELECT 'cold_start', count(DISTINCT customer_unique_id), count(*), CAST(0 AS BIGINT) FROM rq_cold_serving""",
     "r20_recommendation_invariants": """SELECT strategy, count(*) AS users, CAST(sum(n) AS BIGINT) AS rows, CAST(0 AS BIGINT) AS broken
       FROM (SELECT r.strategy, r.customer_unique_id, CASE WHEN strategy = 'cold_start' THEN c.n ELSE least(10, p - h) END AS n
             FROM r_routing r
