@@ -31,7 +31,28 @@ g AS (SELECT *, sum(size) OVER (ORDER BY finish, key, doc_id, size, epoch
 n AS (SELECT rank, served, count(*) AS copies FROM g WHERE upto <= (SELECT sum(size) FROM d) GROUP BY rank, served)
 """
 
+#: Five-word shingles (alphanumeric words, A-Z lowered); fewer words make one shingle.
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_SHINGLES = f"""(SELECT DISTINCT id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+    ELSE [array_to_string(w[i:i + 4], ' ') for i in range(1, len(w) - 3)] END) AS g
+  FROM (SELECT {{id}} AS id, regexp_extract_all({_LOWER}, '[a-z0-9\\x{{{{80}}}}-\\x{{{{10FFFF}}}}]+') AS w FROM {{table}}))"""
+
 ORACLE: dict[str, str] = {
+    "op4_jaccard_join": f"""
+WITH RECURSIVE s AS {_SHINGLES.format(id="doc_id", table="documents")},
+n AS (SELECT id, count(*) AS n FROM s GROUP BY 1),
+l AS (SELECT a, b FROM (SELECT x.id AS a, y.id AS b, count(*) AS k FROM s x JOIN s y ON x.g = y.g AND x.id <> y.id GROUP BY 1, 2)
+      JOIN n na ON na.id = a JOIN n nb ON nb.id = b WHERE 10 * k >= 8 * (na.n + nb.n - k)),
+reach AS (SELECT doc_id AS a, doc_id AS b FROM documents UNION SELECT r.a, l.b FROM reach r JOIN l ON r.b = l.a),
+c AS (SELECT a AS doc_id, min(b) AS class_id, count(*) AS class_size FROM reach GROUP BY 1)
+SELECT c.doc_id, class_id, coalesce(k.n, 0) AS n_links, class_size, c.doc_id = class_id AS kept
+FROM c LEFT JOIN (SELECT a, count(*) AS n FROM l GROUP BY 1) k ON k.a = c.doc_id""",
+    "op8_decontaminate": f"""
+WITH d AS {_SHINGLES.format(id="doc_id", table="documents")}, i AS {_SHINGLES.format(id="item_id", table="benchmark")},
+n AS (SELECT id, count(*) AS n_item FROM i GROUP BY 1)
+SELECT doc_id, item_id, n_item, n_shared, n_shared / n_item AS containment
+FROM (SELECT d.id AS doc_id, i.id AS item_id, count(*) AS n_shared FROM d JOIN i ON d.g = i.g GROUP BY 1, 2)
+JOIN n ON n.id = item_id WHERE n_shared / n_item >= CAST(0.8 AS DOUBLE)""",
     "op2_mixing": MIX.format(docs="documents") + """
 SELECT doc_id, source, size, source_size, target,
        CAST(coalesce(CASE WHEN size > 0 THEN copies END, 0) AS BIGINT) AS copies,
