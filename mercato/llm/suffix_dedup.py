@@ -20,13 +20,21 @@ are found exactly, without sorting the suffixes of the whole corpus at once:
    first byte were together at value l - 1. Suffixes alone in their interval
    leave; the expansion stops at ``LENGTH``. What is left are the groups of
    equal windows; the smallest id in a group decides.
-4. Removed ranges go back to their documents and are merged.
+4. A minimizer with more than ``HOT_RUNS`` runs (a common phrase of some 25 to
+   49 bytes between different texts gives a different string a document) would
+   be one group as large as the phrase is common. Its windows are dealt one by
+   one, by a 128-bit hash of all their bytes, and the smallest id of equal
+   hashes decides. Which minimizers are hot is counted over the whole corpus
+   and kept in a Bloom filter; one that passes it by chance is only dealt the
+   dearer way, the same in every text.
+5. Removed ranges go back to their documents and are merged.
 
 Hot passages are collapsed before every shuffle: a block of texts reports one
 occurrence of a minimizer, and one occurrence of a string (its smallest id;
 occurrences with a larger id are removed on the spot), so that a passage in a
-third of all documents is one entry a block. Inside a bucket, strings are
-worked on ``CHUNK`` bytes at a time, cut between minimizers.
+third of all documents is one entry a block; so does a window of a hot
+minimizer. Inside a bucket, strings are worked on ``CHUNK`` bytes at a time,
+cut between minimizers, none of which has more strings than a chunk.
 
 Defined cases: a null text is empty; texts shorter than ``LENGTH`` lose
 nothing; a null id counts as larger than every other; rows with the same id
@@ -40,6 +48,7 @@ import math
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -50,7 +59,12 @@ KMER = 20
 BUCKET_BYTES = 8 << 20
 BLOCK_BYTES = 16 << 20
 CHUNK = 900_000
+#: Runs of a minimizer (of 2 * LENGTH - KMER bytes at most) that surely fit a chunk.
+HOT_RUNS = CHUNK // (2 * LENGTH - KMER)
+#: Bytes of a window dealt on its own: two hashes, ord, text id, start.
+WINDOW_BYTES = 40
 _LIVE = np.uint32(0xFFFFFFFF)
+_OTHER = np.random.default_rng(50).permutation(256).astype(np.uint8)
 
 
 # ------------------------------------------------------------------ minimizers
@@ -145,11 +159,12 @@ def _batch(rows: list[tuple], width: int) -> pa.RecordBatch:
 
 
 _SHAPE = "kind int, key long, c0 binary, c1 binary, c2 binary"
+_FOUND = _SHAPE + ", c3 binary"
 
 
 def _minimizers(buckets: int):
-    """(tid, text) -> minimizers to be checked (kind 0: hash, text number, and
-    the block's text ids) and those seen in two texts already (kind 1: text id, key)."""
+    """(tid, text) -> minimizers to be checked (kind 0: hash, text number, runs,
+    and the block's text ids) and those seen in two texts already (kind 1: text id, key)."""
     def flush(held):
         tids = np.concatenate([h[0] for h in held])
         lead = np.concatenate([[0], np.cumsum([len(h[0]) for h in held])])
@@ -169,10 +184,11 @@ def _minimizers(buckets: int):
         step = np.diff(low, prepend=np.uint32(0))
         head = _groups(bucket)[0]
         step[head] = low[head]
-        rows = _deal(0, bucket, [step, first], _pack(tids))
+        rows = _deal(0, bucket, [step, first, (end - at).astype(np.uint32)], _pack(tids))
         own = np.repeat(live, end - at)
         pair = np.unique(np.stack([tid[own], key[own]], 1), axis=0) if own.any() else np.zeros((0, 2), U64)
-        return rows + _deal(1, (pair[:, 0] % U64(buckets)).astype(np.int64), [pair[:, 0].copy(), pair[:, 1].copy()])
+        pairs = _deal(1, (pair[:, 0] % U64(buckets)).astype(np.int64), [pair[:, 0].copy(), pair[:, 1].copy()])
+        return rows + [(*r, b"") for r in pairs]
 
     def run(batches):
         held, size = [], 0
@@ -184,46 +200,61 @@ def _minimizers(buckets: int):
                 held.append((tid[i:j], text, _key(h, buckets)[2]))
                 size += off[j] - off[i]
                 if size >= BLOCK_BYTES:
-                    yield _batch(flush(held), 3)
+                    yield _batch(flush(held), 4)
                     held, size = [], 0
         if held:
-            yield _batch(flush(held), 3)
+            yield _batch(flush(held), 4)
 
     return run
 
 
-def _live(buckets: int):
-    """One bucket of minimizers -> (text id, key) of those in two texts."""
+def _live(buckets: int, hot_runs: int):
+    """One bucket of minimizers -> (text id, key) of those in two texts, and
+    (kind 2: key, runs) of the hot ones."""
     def run(t: pa.Table) -> pa.Table:
         if t.column("kind")[0].as_py() == 1:
             return t
         bucket = t.column("key")[0].as_py()
-        low, tid, known = [], [], []
+        low, tid, known, runs = [], [], [], []
         for r in range(t.num_rows):
-            row, ids = _unpack(t.column("c1")[r], np.uint32), _unpack(t.column("c2")[r], U64)
+            row, ids = _unpack(t.column("c1")[r], np.uint32), _unpack(t.column("c3")[r], U64)
+            runs.append(_unpack(t.column("c2")[r], np.uint32))
             low.append(np.cumsum(_unpack(t.column("c0")[r], np.uint32), dtype=np.uint32))
             known.append(row == _LIVE)
             tid.append(ids[np.where(known[-1], 0, row)])
-        low, tid, known = (np.concatenate(x) for x in (low, tid, known))
+        low, tid, known, runs = (np.concatenate(x) for x in (low, tid, known, runs))
         order = np.argsort(low)
-        low, tid, known = low[order], tid[order], known[order]
+        low, tid, known, runs = low[order], tid[order], known[order], runs[order].astype(np.int64)
         at, end = _groups(low)
         live = np.logical_or.reduceat(known, at) | (np.minimum.reduceat(tid, at) != np.maximum.reduceat(tid, at))
         ok = np.repeat(live, end - at) & ~known
-        keys = (U64(bucket) << U64(32)) | low[ok].astype(U64)
-        return pa.Table.from_batches([_batch(_deal(1, (tid[ok] % U64(buckets)).astype(np.int64), [tid[ok], keys]), 3)])
+        keys = (U64(bucket) << U64(32)) | low.astype(U64)
+        rows = _deal(1, (tid[ok] % U64(buckets)).astype(np.int64), [tid[ok], keys[ok]])
+        total = np.add.reduceat(runs, at)
+        hot = live & (total > hot_runs)
+        if hot.any():
+            rows += _deal(2, np.full(int(hot.sum()), bucket), [keys[at[hot]], total[hot]])
+        return pa.Table.from_batches([_batch([(*r, b"") for r in rows], 4)])
 
     return run
 
 
 def _by_text(t: pa.Table) -> pa.Table:
-    """(text id, key) pairs of one bucket of text ids -> keys of each text."""
+    """(text id, key) pairs of one bucket of text ids -> keys of each text; the
+    hot keys and their number of runs are a row without text id."""
+    hot = t.filter(pc.equal(t.column("kind"), 2))
+    t = t.filter(pc.equal(t.column("kind"), 1))
     tid, key = _column(t, "c0", U64), _column(t, "c1", U64)
     order = np.argsort(tid, kind="stable")
     tid, key = tid[order], key[order]
     at, end = _groups(tid)
-    return pa.table({"tid": pa.array(tid[at].view(np.int64)),
-                     "live": pa.array([np.unique(key[p:q]).tobytes() for p, q in zip(at, end, strict=True)], pa.binary())})
+    out, own = [np.unique(key[p:q]).tobytes() for p, q in zip(at, end, strict=True)], [*tid[at].view(np.int64)]
+    runs = [None] * len(out)
+    if hot.num_rows:
+        out.append(_column(hot, "c0", U64).tobytes())
+        own.append(None)
+        runs.append(int(_column(hot, "c1", np.int64).sum()))
+    return pa.table({"tid": pa.array(own, pa.int64()), "live": pa.array(out, pa.binary()), "runs": pa.array(runs, pa.int64())})
 
 
 # --------------------------------------------------------------------- strings
@@ -245,10 +276,54 @@ def _ranges(kind: int, buckets: int, tid: np.ndarray, start: np.ndarray, end: np
                  [tid, np.stack([start, end], 1).astype(np.uint32) if len(tid) else np.zeros((0, 2), np.uint32)])
 
 
-def _strings(buckets: int):
+def _joined(buckets: int, tid: np.ndarray, start: np.ndarray, length: int = LENGTH):
+    """Windows that are removed, as ranges: neighbours of a text are one."""
+    if len(tid) == 0:
+        return []
+    order = np.lexsort((start, tid))
+    tid, start = tid[order], start[order]
+    new = np.ones(len(tid), bool)
+    new[1:] = (tid[1:] != tid[:-1]) | (start[1:] > start[:-1] + length)
+    at = np.flatnonzero(new)
+    last = np.append(at[1:], len(tid)) - 1
+    return [(r + (b"",))[:5] for r in _ranges(1, buckets, tid[at], start[at], start[last] + length)]
+
+
+def _least(windows: np.ndarray):
+    """(hash, hash, ord, tid, start) of windows -> whether each is in the
+    smallest document of its equal ones."""
+    order = np.lexsort((windows[2], windows[1], windows[0]))
+    a, b, own = windows[:3, order]
+    new = np.ones(len(own), bool)
+    new[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1])
+    at = np.flatnonzero(new)
+    first = np.empty(len(own), bool)
+    first[order] = own == np.repeat(own[at], np.diff(np.append(at, len(own))))
+    return first
+
+
+def _lone(buckets: int, spread: int, windows: np.ndarray):
+    """Windows of hot minimizers of one block: (kind 2) those of the smallest
+    document, dealt by hash; the others are removed."""
+    first = _least(windows)
+    gone = windows[:, ~first]
+    windows = windows[:, first]
+    bucket = (windows[0].view(U64) % U64(spread)).astype(np.int64)
+    order = np.argsort(bucket, kind="stable")
+    rows = [(2, int(bucket[order[p]]), _pack(np.ascontiguousarray(windows[:, order[p:q]])), b"", b"")
+            for p, q in zip(*_groups(bucket[order]), strict=True)]
+    return rows + _joined(buckets, gone[3].view(U64), gone[4])
+
+
+def _strings(buckets: int, shared, spread: int):
     """(ord, tid, text, live) -> strings to compare (kind 0: five numbers each,
-    bytes) and ranges that are removed for sure (kind 1)."""
+    bytes), windows of hot minimizers (kind 2) and ranges that are removed for
+    sure (kind 1)."""
     def flush(held):
+        windows = np.concatenate([h[4] for h in held], 1)
+        return strings(held) + (_lone(buckets, spread, windows) if windows.shape[1] else [])
+
+    def strings(held):
         meta = np.concatenate([h[0] for h in held])
         data = np.concatenate([h[1] for h in held])
         bucket = np.concatenate([h[2] for h in held])
@@ -283,11 +358,22 @@ def _strings(buckets: int):
                 salt = mix(np.arange(j - i, dtype=U64) + U64(77))
                 known = mix(np.concatenate(live) ^ np.repeat(salt, [len(x) for x in live]))
                 ok = np.isin(mix(key ^ salt[text]), known)
-                text, first, last, bucket, low = text[ok], first[ok], last[ok], bucket[ok], low[ok]
+                text, first, last, bucket, low, key = text[ok], first[ok], last[ok], bucket[ok], low[ok], key[ok]
+                hot = bloom_hits(shared.value, mix(key))
+                lead = off[i:j] - off[i]
+                windows = np.zeros((5, 0), np.int64)
+                if len(hot):
+                    n = last[hot] - first[hot] + 1
+                    at = np.repeat(first[hot] - (np.cumsum(n) - n), n) + np.arange(n.sum())
+                    of = np.repeat(text[hot], n)
+                    windows = np.stack([span_hashes(own, at, at + LENGTH).view(np.int64),
+                                        span_hashes(_OTHER[own], at, at + LENGTH).view(np.int64),
+                                        ord_[i + of], tid[i + of].view(np.int64), at - lead[of]])
+                    text, first, last, bucket, low = (np.delete(x, hot) for x in (text, first, last, bucket, low))
                 n = last - first + LENGTH
-                held.append((_meta(ord_[i + text], tid[i + text], first - (off[i:j] - off[i])[text], n, low),
-                             _copy_spans(own, first, n), bucket, span_hashes(own, first, first + n)))
-                size += int(n.sum())
+                held.append((_meta(ord_[i + text], tid[i + text], first - lead[text], n, low),
+                             _copy_spans(own, first, n), bucket, span_hashes(own, first, first + n), windows))
+                size += int(n.sum()) + windows.shape[1] * WINDOW_BYTES
                 if size >= BLOCK_BYTES // 2:
                     yield _batch(flush(held), 3)
                     held, size = [], 0
@@ -372,10 +458,15 @@ def equal_windows(data: np.ndarray, size: np.ndarray, length: int = LENGTH):
 
 
 def _compare(buckets: int):
-    """One bucket of strings -> ranges that are removed."""
+    """One bucket of strings or windows -> ranges that are removed."""
     def run(t: pa.Table) -> pa.Table:
-        if t.column("kind")[0].as_py() == 1:
+        kind = t.column("kind")[0].as_py()
+        if kind == 1:
             return t
+        if kind == 2:
+            windows = np.concatenate([_unpack(v, np.int64).reshape(5, -1) for v in t.column("c0")], 1)
+            gone = windows[:, ~_least(windows)]
+            return pa.Table.from_batches([_batch(_joined(buckets, gone[3].view(U64), gone[4]), 3)])
         meta = np.concatenate([_unpack(v, np.int64).reshape(5, -1).T for v in t.column("c0")])
         data = _column(t, "c1", np.uint8)
         off = np.concatenate([[0], np.cumsum(meta[:, 3])])
@@ -485,6 +576,30 @@ def _mixed(batches):
         yield pa.RecordBatch.from_arrays([pa.array(mix(batch.column("tid").to_numpy().view(U64)).view(np.int64))], ["key"])
 
 
+def _hot_keys(batches):
+    for batch in batches:
+        for v in batch.column("live"):
+            key = np.frombuffer(v.as_buffer(), U64)
+            yield pa.RecordBatch.from_arrays([pa.array(mix(key).view(np.int64))], ["key"])
+
+
+def dealt(texts: DataFrame, first: DataFrame, buckets: int) -> DataFrame:
+    """(ord, tid, text) -> the strings, windows and ranges, one group of
+    (kind, key) a bucket."""
+    spark = texts.sparkSession
+    found = (texts.filter(F.octet_length("text") >= LENGTH).select("tid", "text")
+             .transform(map_arrow, _minimizers(buckets), _FOUND)
+             .groupBy("kind", "key").applyInArrow(_live(buckets, HOT_RUNS), _FOUND))
+    live = found.groupBy("key").applyInArrow(_by_text, "tid long, live binary, runs long")
+    live = cut(live.join(first.select("tid", F.col("first").alias("ord")), "tid", "left"), "live")
+    hot = live.filter("runs is not null")
+    runs = hot.agg(F.coalesce(F.sum("runs"), F.lit(0))).first()[0]
+    spread = max(1, math.ceil(runs * (LENGTH - KMER + 1) * WINDOW_BYTES / BUCKET_BYTES))
+    bits = spark.sparkContext.broadcast(bloom(hot.transform(map_arrow, _hot_keys, "key long")))
+    return (texts.join(live.filter("runs is null").drop("runs"), ["tid", "ord"])
+            .transform(map_arrow, _strings(buckets, bits, spread), _SHAPE))
+
+
 def removals(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row of ``docs``: doc_id, n_bytes, n_removed, n_spans,
     kept_sha256, spans (binary: removed byte ranges as pairs of int64; null if
@@ -505,14 +620,7 @@ def removals(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text")
         bits = spark.sparkContext.broadcast(bloom(keys.transform(map_arrow, _mixed, "key long")))
         return texts.transform(map_arrow, _passes(bits), texts.schema)
 
-    found = (texts.filter(F.octet_length("text") >= LENGTH).select("tid", "text")
-             .transform(map_arrow, _minimizers(buckets), _SHAPE)
-             .groupBy("kind", "key").applyInArrow(_live(buckets), _SHAPE))
-    live = found.groupBy("key").applyInArrow(_by_text, "tid long, live binary")
-    live = cut(live.join(first.select("tid", F.col("first").alias("ord")), "tid"), "live")
-    ranges = (texts.join(live, ["tid", "ord"])
-              .transform(map_arrow, _strings(buckets), _SHAPE)
-              .groupBy("kind", "key").applyInArrow(_compare(buckets), _SHAPE))
+    ranges = dealt(texts, first, buckets).groupBy("kind", "key").applyInArrow(_compare(buckets), _SHAPE)
     spans = cut(ranges.groupBy("key").applyInArrow(_merged, "tid long, spans binary")
                 .join(first.select("tid", F.col("first").alias("ord")), "tid"), "spans")
     left = (wanted(spans.select("tid")).join(spans, ["tid", "ord"])

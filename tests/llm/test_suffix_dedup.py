@@ -2,6 +2,7 @@ import hashlib
 import random
 
 import numpy as np
+import pyarrow as pa
 
 from mercato.llm import suffix_dedup as sd
 
@@ -99,3 +100,37 @@ def test_runs_cover_every_window_and_agree_across_texts():
 def test_empty(spark):
     assert run(spark, []) == []
     assert run(spark, [(1, None), (2, "short")]) == brute([(1, None), (2, "short")])
+
+
+def common_line(n):
+    """A 30-byte line between different texts; some have a neighbour's words beside it."""
+    rng = random.Random(21)
+    line = "All rights reserved 2024, ACME"
+    sides = [(prose(rng, 14, 3000), prose(rng, 14, 3000)) for _ in range(n)]
+    rows = [(i, f"{a} {line} {b}") for i, (a, b) in enumerate(sides)]
+    rows += [(n + i, f"{sides[i][0]} {line} {prose(rng, 14, 3000)}") for i in range(0, n, 9)]
+    return rows
+
+
+def test_windows_of_a_hot_minimizer_are_dealt_singly(spark, monkeypatch):
+    rows = common_line(600)
+    monkeypatch.setattr(sd, "HOT_RUNS", 50)
+    monkeypatch.setattr(sd, "BUCKET_BYTES", 100_000)
+    assert run(spark, rows) == brute(rows)
+    texts = docs(spark, rows).selectExpr("doc_id as ord", "xxhash64(text) as tid", "text")
+    groups = {}
+    for r in sd.dealt(texts, texts.selectExpr("tid", "ord as first"), 8).collect():
+        groups.setdefault((r.kind, r.key), []).append(bytes(r.c0))
+    strings = [np.concatenate([sd._unpack(pa.scalar(v, pa.binary()), np.int64).reshape(5, -1)[4] for v in own])
+               for (kind, _), own in groups.items() if kind == 0]
+    assert max(np.unique(s, return_counts=True)[1].max() for s in strings) <= 50
+    windows = [sum(sd._unpack(pa.scalar(v, pa.binary()), np.int64).size // 5 for v in own)
+               for (kind, _), own in groups.items() if kind == 2]
+    assert len(windows) > 1 and max(windows) < 2 * sum(windows) / len(windows)
+
+
+def test_all_minimizers_hot_gives_the_same(spark, monkeypatch):
+    rows = passages() + edge_rows()
+    monkeypatch.setattr(sd, "HOT_RUNS", 0)
+    monkeypatch.setattr(sd, "BUCKET_BYTES", 30_000)
+    assert run(spark, rows) == brute(rows)
