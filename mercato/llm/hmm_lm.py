@@ -19,11 +19,12 @@ times the product of the word shares.
 2. Word counts over the whole corpus: the dictionaries are dealt by word and
    summed, and the totals go back to the blocks; a very common word has one
    row a block, not one an occurrence.
-3. Baum-Welch: ``SAMPLE_DOCS`` training texts, taken by hash, only give the
-   starting point; then ``PASSES`` passes over all training texts compute
-   expected counts in every partition (forward-backward), a Spark aggregate
-   sums them by class, and the driver normalises (classes x states numbers,
-   whatever the corpus).
+3. Baum-Welch starts from the class counts of the whole corpus, times seeded
+   random weights. Every round is a pass over all training texts: expected
+   counts in every partition (forward-backward), a Spark aggregate sums them by
+   class, and the driver normalises (classes x states numbers, whatever the
+   corpus). Rounds end when the log-likelihood of the training texts gains less
+   than ``TOLERANCE`` of itself.
 4. Each block is scored with its dictionary's totals and the broadcast model.
 
 Defined cases: a null or empty text is its end token alone; rows without id
@@ -59,9 +60,8 @@ from mercato.llm.common import (
 STATES = 8
 CLASSES = 1 << 14
 END = 0
-PASSES = 2
-SAMPLE_DOCS = 400
-SAMPLE_ROUNDS = 15
+#: Least gain of a round, as a share of the training texts' log-likelihood.
+TOLERANCE = 1e-3
 BLOCK_TEXT = 12 << 20
 #: Tokens of forward-backward at once inside a task.
 CHUNK = 400_000
@@ -123,10 +123,16 @@ def forward(m: Hmm, tokens: np.ndarray, active, at, dtype=np.float32):
 
 def expected(m: Hmm, classes: np.ndarray, first: np.ndarray):
     """Baum-Welch expected counts of the sequences: starts, moves, emissions."""
+    return _expected(m, classes, first)[:3]
+
+
+def _expected(m: Hmm, classes: np.ndarray, first: np.ndarray):
+    """Expected counts, and the natural logarithm of the sequences' probability."""
     _, active, at, source, place, _ = time_major(first)
     tokens = np.empty(len(classes), np.int64)
     tokens[place] = classes[source]
     emit, alpha, scale = forward(m, tokens, active, at)
+    log = float(np.log(scale, dtype=np.float64).sum())
     moves = np.zeros_like(m.move)
     back = m.move.T.astype(np.float32)
     steps = len(active)
@@ -146,7 +152,7 @@ def expected(m: Hmm, classes: np.ndarray, first: np.ndarray):
     if steps > 1:
         gamma[:at[1]] *= carried
     counts = np.stack([np.bincount(tokens, weights=gamma[:, k], minlength=CLASSES) for k in range(STATES)])
-    return gamma[:at[1]].sum(0).astype(float) if steps else np.zeros(STATES), moves * m.move, counts
+    return gamma[:at[1]].sum(0).astype(float) if steps else np.zeros(STATES), moves * m.move, counts, log
 
 
 def likelihoods(m: Hmm, classes: np.ndarray, first: np.ndarray) -> np.ndarray:
@@ -178,14 +184,17 @@ def normalised(start, moves, counts, prior: float = PRIOR) -> Hmm:
     return Hmm(start / start.sum(), move / move.sum(1, keepdims=True), emit / emit.sum(1, keepdims=True))
 
 
-def first_model(sequences: list[np.ndarray], rounds: int = SAMPLE_ROUNDS, seed: int = 3) -> Hmm:
-    """Starting point: Baum-Welch on a few sequences from random emissions."""
-    rng = np.random.default_rng(seed)
+def seeded(base: np.ndarray, seed: int = 3) -> Hmm:
+    """Starting point: the counts of all classes, times random weights a state."""
+    counts = (base + 1e-3) * np.random.default_rng(seed).gamma(1.0, 1.0, (STATES, CLASSES))
+    return normalised(np.ones(STATES), np.eye(STATES) * 20 + 1, counts, 1.0)
+
+
+def first_model(sequences: list[np.ndarray], rounds: int = 15, seed: int = 3) -> Hmm:
+    """Baum-Welch on sequences in memory, from the seeded model."""
     first = np.concatenate([[0], np.cumsum([len(s) for s in sequences])]).astype(np.int64)
     classes = np.concatenate(sequences).astype(np.int64) if sequences else np.zeros(0, np.int64)
-    base = np.bincount(classes, minlength=CLASSES) + 1e-3
-    counts = base * rng.gamma(1.0, 1.0, (STATES, CLASSES))
-    m = normalised(np.ones(STATES), np.eye(STATES) * 20 + 1, counts, 1.0)
+    m = seeded(np.bincount(classes, minlength=CLASSES), seed)
     for _ in range(rounds if len(classes) else 0):
         m = normalised(*expected(m, classes, first), prior=5.0)
     return m
@@ -288,7 +297,7 @@ def _dictionary(batches):
 def _expect(shared):
     def run(batches):
         m = shared.value
-        start, moves, counts = np.zeros(STATES), np.zeros((STATES, STATES)), np.zeros((STATES, CLASSES))
+        start, moves, counts, log = np.zeros(STATES), np.zeros((STATES, STATES)), np.zeros((STATES, CLASSES)), 0.0
         for batch in batches:
             for r in range(batch.num_rows):
                 classes, first = _sequences(batch, r)
@@ -297,31 +306,35 @@ def _expect(shared):
                 rows = rows[np.argsort(-np.diff(first)[rows], kind="stable")]
                 classes, first = _subset(classes, first, rows)
                 for i, j in blocks(first, CHUNK):
-                    s, v, c = expected(m, classes[first[i]:first[j]], first[i:j + 1] - first[i])
+                    s, v, c, g = _expected(m, classes[first[i]:first[j]], first[i:j + 1] - first[i])
                     start += s
                     moves += v
                     counts += c
+                    log += g
         seen = np.flatnonzero(counts.any(0))
-        key = np.concatenate([seen, CLASSES + np.arange(STATES + 1)])
-        value = np.concatenate([counts[:, seen], moves.T, start[:, None]], 1)
+        key = np.concatenate([seen, CLASSES + np.arange(STATES + 2)])
+        value = np.concatenate([counts[:, seen], moves.T, start[:, None], np.full((STATES, 1), log)], 1)
         yield pa.RecordBatch.from_arrays(
             [pa.array(key), *(pa.array(v) for v in value)], ["key", *(f"s{k}" for k in range(STATES))])
 
     return run
 
 
-def _draw(shared):
-    def run(batches):
-        ids = shared.value
-        for batch in batches:
-            for r in range(batch.num_rows):
-                rows = [k for k, d in enumerate(batch.column("ids")[r].as_py()) if d in ids]
-                if rows:
-                    classes, first = _sequences(batch, r)
-                    yield pa.RecordBatch.from_arrays([pa.array(
-                        [classes[first[k]:first[k + 1]].astype(np.uint16).tobytes() for k in rows], pa.binary())], ["seq"])
-
-    return run
+def fit(coded: DataFrame, model: Hmm, tolerance: float = TOLERANCE):
+    """Baum-Welch over all learnable texts of the blocks until a round gains less
+    than the tolerance: (model, log-likelihood before each round)."""
+    sc = coded.sparkSession.sparkContext
+    names = [f"s{k}" for k in range(STATES)]
+    logs = []
+    while len(logs) < 2 or logs[-1] - logs[-2] > tolerance * abs(logs[-2]):
+        sums = (coded.select("learn", "count", "low", "high", "classes")
+                .transform(map_arrow, _expect(sc.broadcast(model)), "key long, " + ", ".join(f"{k} double" for k in names))
+                .groupBy("key").agg(*[F.sum(k).alias(k) for k in names]).toArrow())
+        table = np.zeros((STATES, CLASSES + STATES + 2))
+        table[:, sums.column("key").to_numpy()] = np.stack([sums.column(k).to_numpy() for k in names])
+        logs.append(float(table[0, -1]))
+        model = normalised(table[:, -2], table[:, CLASSES:CLASSES + STATES].T, table[:, :CLASSES])
+    return model, logs
 
 
 def _score(shared):
@@ -358,7 +371,7 @@ def _score(shared):
     return run
 
 
-def score(docs: DataFrame, *, folds: int = 7, held: int = 2, passes: int = PASSES, sample_docs: int = SAMPLE_DOCS,
+def score(docs: DataFrame, *, folds: int = 7, held: int = 2, tolerance: float = TOLERANCE,
           id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row of ``docs``: doc_id, held_out, n_tokens, n_known,
     train_tokens, base_score (unigram), score (hidden Markov model), log10."""
@@ -381,26 +394,18 @@ def score(docs: DataFrame, *, folds: int = 7, held: int = 2, passes: int = PASSE
                  .select("block", "pos", "class", "c", "one"), "counts")
     per_class = (looked.filter("one and c > 0").groupBy("class")
                  .agg(F.sum("c").alias("tokens"), F.count(F.lit(1)).alias("types")).collect())  # CLASSES rows at most
-    spread = np.ones(CLASSES)
+    spread, base = np.ones(CLASSES), np.zeros(CLASSES)
     for r in per_class:
         spread[r["class"]] += r["tokens"] + r["types"]
+        base[r["class"]] = r["tokens"]
     trained = rows.filter("learn").select("learn").count()
     n = sum(r["tokens"] for r in per_class) + trained
     v = sum(r["types"] for r in per_class) + (trained > 0)
 
-    ids = [r[0] for r in rows.filter("learn").select("doc_id").orderBy(F.md5(F.col("doc_id").cast("string")))
-           .limit(sample_docs).collect()]
-    some = sorted(bytes(r[0]) for r in coded.select("ids", "count", "low", "high", "classes")
-                  .transform(map_arrow, _draw(sc.broadcast(frozenset(ids))), "seq binary").collect())
-    model = first_model([np.frombuffer(s, np.uint16) for s in some])
-    names = [f"s{k}" for k in range(STATES)]
-    for _ in range(passes if trained else 0):
-        sums = (coded.select("learn", "count", "low", "high", "classes")
-                .transform(map_arrow, _expect(sc.broadcast(model)), "key long, " + ", ".join(f"{k} double" for k in names))
-                .groupBy("key").agg(*[F.sum(k).alias(k) for k in names]).toArrow())
-        table = np.zeros((STATES, CLASSES + STATES + 1))
-        table[:, sums.column("key").to_numpy()] = np.stack([sums.column(k).to_numpy() for k in names])
-        model = normalised(table[:, -1], table[:, CLASSES:CLASSES + STATES].T, table[:, :CLASSES])
+    base[END] = trained
+    model = seeded(base)
+    if trained:
+        model, _ = fit(coded, model, tolerance)
 
     shared = sc.broadcast((model, spread, (trained, int(trained > 0)), (n, v)))
     return (looked.select("block", "pos", "c").groupBy("block")

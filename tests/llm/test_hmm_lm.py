@@ -61,6 +61,42 @@ def test_scores_match_brute_force_counts(spark):
     assert all(g[6] < 0 for g in got)
 
 
+def test_every_round_counts_all_texts_until_the_gain_falls(spark):
+    # a rare vocabulary and an id of many rows, among more texts than a small sample holds
+    rng = random.Random(9)
+    rows = [(i, prose(rng, rng.randint(5, 30), 200)) for i in range(600)]
+    rows += [(1000 + i, " ".join(rng.choice(["zu", "xo", "qy"]) for _ in range(20))) for i in range(3)]
+    rows += [(2000, "same words " * 4)] * 300
+    got = sorted((r.doc_id, r.score) for r in lm.score(docs(spark, rows)).collect())
+
+    tokens = [words(r[1]) for r in rows]
+    learn = [crc(r[0], 7) != 2 for r in rows]
+    count = Counter(w for t, ok in zip(tokens, learn, strict=True) if ok for w in t)
+
+    def cls(w):
+        return int(lm.word_classes(np.frombuffer(w, np.uint8), np.array([0]), np.array([len(w)]))[0])
+
+    of = {w: cls(w) for t in tokens for w in t}
+    base, spread = np.zeros(lm.CLASSES), np.ones(lm.CLASSES)
+    for w, c in count.items():
+        base[of[w]] += c
+        spread[of[w]] += c + 1
+    base[lm.END] = sum(learn)
+    seqs = [np.array([of[w] for w in t] + [lm.END]) for t in tokens]
+    own = [q for q, ok in zip(seqs, learn, strict=True) if ok]
+    flat = np.concatenate(own).astype(np.int64), np.concatenate([[0], np.cumsum([len(q) for q in own])])
+    m, logs = lm.seeded(base), []
+    while len(logs) < 2 or logs[-1] - logs[-2] > lm.TOLERANCE * abs(logs[-2]):
+        logs.append(lm.likelihoods(m, *flat).sum())
+        m = lm.normalised(*lm.expected(m, *flat))
+    assert len(logs) > 3
+    want = lm.likelihoods(m, np.concatenate(seqs).astype(np.int64), np.concatenate([[0], np.cumsum([len(q) for q in seqs])]))
+    want = sorted((r[0], v + sum(math.log10(count[w] + 1) - math.log10(spread[of[w]]) for w in t))
+                  for r, t, v in zip(rows, tokens, want, strict=True))
+    assert [g[0] for g in got] == [w[0] for w in want]
+    assert [g[1] for g in got] == pytest.approx([w[1] for w in want], rel=1e-3)
+
+
 def test_word_distribution_is_proper():
     # shares of the words of one class and its unknown word add up to 1
     counts = {1: [3, 0, 5], 2: [1]}
