@@ -106,7 +106,8 @@ def patterns(data: np.ndarray, off: np.ndarray) -> list[tuple[int, int, int]]:
                     found.append((m.start(), 0, m.end()))
         at = raw.find(b"AKIA")
         if at >= 0:
-            for r in np.unique(np.searchsorted(off, [m.start() for m in re.finditer(b"AKIA", raw)], "right") - 1):
+            # zero-width: a match over the border of two texts must not eat the start of the second
+            for r in np.unique(np.searchsorted(off, [m.start() for m in re.finditer(b"(?=AKIA)", raw)], "right") - 1):
                 for m in ACCESS.finditer(raw, int(off[r]), int(off[r + 1])):
                     if m.end() - m.start() >= ACCESS_LEAST:
                         found.append((m.start(), 1, m.end()))
