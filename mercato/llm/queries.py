@@ -11,7 +11,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mercato.llm import chat_format, decontaminate, exact_dedup, hmm_lm, jaccard_join, langid, mixing, quality_fm, secret_scan, suffix_dedup
+from mercato.llm import (chat_format, decontaminate, exact_dedup, hmm_lm, jaccard_join, langid, mixing, periodic_runs, quality_fm,
+                         quality_rules, ranked_search, secret_scan, suffix_dedup)
 from mercato.llm.common import held_out, learnable
 
 
@@ -75,6 +76,19 @@ def op10_secret_scan(spark, sf_dir):
             .select("doc_id", "n_assign", "n_access", "n_hex", "n_random", "base_sha256", "spans"))
 
 
+def op11_quality_rules(spark, sf_dir):
+    return quality_rules.judge(table(spark, sf_dir, "documents"))
+
+
+def op12_ranked_search(spark, sf_dir):
+    index = ranked_search.build_index(table(spark, sf_dir, "documents"))
+    return ranked_search.search(index, table(spark, sf_dir, "benchmark"))
+
+
+def op13_periodic_runs(spark, sf_dir):
+    return periodic_runs.detect(table(spark, sf_dir, "documents"), rewrite=True).drop("runs")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat_format": op1_chat_format,
     "op2_mixing": op2_mixing,
@@ -86,4 +100,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_decontaminate": op8_decontaminate,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_secret_scan": op10_secret_scan,
+    "op11_quality_rules": op11_quality_rules,
+    "op12_ranked_search": op12_ranked_search,
+    "op13_periodic_runs": op13_periodic_runs,
 }

@@ -37,6 +37,9 @@ _SHINGLES = f"""(SELECT DISTINCT id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN le
     ELSE [array_to_string(w[i:i + 4], ' ') for i in range(1, len(w) - 3)] END) AS g
   FROM (SELECT {{id}} AS id, regexp_extract_all({_LOWER}, '[a-z0-9\\x{{{{80}}}}-\\x{{{{10FFFF}}}}]+') AS w FROM {{table}}))"""
 
+#: Runs of letters, digits and non-ASCII characters in lowered text.
+_TERM = r"[a-z0-9\x{80}-\x{10FFFF}]+"
+
 ORACLE: dict[str, str] = {
     "op4_jaccard_join": f"""
 WITH RECURSIVE s AS {_SHINGLES.format(id="doc_id", table="documents")},
@@ -53,6 +56,23 @@ n AS (SELECT id, count(*) AS n_item FROM i GROUP BY 1)
 SELECT doc_id, item_id, n_item, n_shared, n_shared / n_item AS containment
 FROM (SELECT d.id AS doc_id, i.id AS item_id, count(*) AS n_shared FROM d JOIN i ON d.g = i.g GROUP BY 1, 2)
 JOIN n ON n.id = item_id WHERE n_shared / n_item >= CAST(0.8 AS DOUBLE)""",
+    "op12_ranked_search": f"""
+WITH t AS (SELECT id, row, term, count(*) AS tf FROM (
+         SELECT doc_id AS id, row_number() OVER () AS row, unnest(regexp_extract_all({_LOWER}, '{_TERM}')) AS term FROM documents)
+       GROUP BY ALL),
+i AS (SELECT id, row, term, count(*) AS repeats FROM (
+         SELECT item_id AS id, row_number() OVER () AS row, unnest(regexp_extract_all({_LOWER}, '{_TERM}')) AS term FROM benchmark)
+       GROUP BY ALL),
+l AS (SELECT row, CAST(sum(tf) AS BIGINT) AS n FROM t GROUP BY row),
+c AS (SELECT count(*) AS n_docs, CAST(sum(n) AS BIGINT) AS n_terms FROM l),
+m AS (SELECT row, 100 - 75 + (75 * n * n_docs) // n_terms AS m FROM l, c),
+w AS (SELECT term, CAST(floor(1000 * ln(CAST(2 * n_docs + 2 AS DOUBLE) / (2 * df + 1))) AS BIGINT) AS weight
+      FROM (SELECT term, count(*) AS df FROM t GROUP BY term), c),
+s AS (SELECT i.row AS item, i.id AS item_id, t.row, t.id AS doc_id,
+             CAST(sum(repeats * weight * ((1000000000 * tf) // (1000 * tf + 8 * m))) AS BIGINT) AS score
+      FROM i JOIN t USING (term) JOIN w USING (term) JOIN m ON m.row = t.row GROUP BY ALL),
+r AS (SELECT *, row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id NULLS LAST, row) AS rank FROM s WHERE score > 0)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM r WHERE rank <= 10""",
     "op2_mixing": MIX.format(docs="documents") + """
 SELECT doc_id, source, size, source_size, target,
        CAST(coalesce(CASE WHEN size > 0 THEN copies END, 0) AS BIGINT) AS copies,
