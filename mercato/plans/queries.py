@@ -165,7 +165,7 @@ register("k14_payment_revenue")(_silver(graph.payment_revenue))
 
 
 # ---------------------------------------------------------------- recommenders
-from mercato.plans.recommend import als, cold_start, content, copurchase, evaluate, hybrid, router  # noqa: E402
+from mercato.plans.recommend import als, cold_start, content, copurchase, evaluate, hybrid, router, vectors  # noqa: E402
 
 _FITTED: dict = {}
 #: Fitted models and training sets kept at once; older ones are dropped.
@@ -480,14 +480,8 @@ def r21(spark, sf_dir):
 @register("r22_cf_evaluation")
 def r22(spark, sf_dir):
     a = _assets(spark, sf_dir)
-    idx, model = _als(spark, sf_dir)
-    split = evaluate.cf_split(a["inter"])
-    excl = split.where(F.col("role") == "filter").join(idx.users, "customer_unique_id").join(idx.items, "product_id") \
-        .select("user_idx", "item_idx")
-    users = split.select("customer_unique_id").distinct().join(idx.users, "customer_unique_id")
-    recs = als.recommend(model, idx, n=10, exclude=excl, users=users).withColumnRenamed("product_id", "rec_id")
-    rel = split.where(F.col("role") == "relevant").select("customer_unique_id", F.col("product_id").alias("rel_id"))
-    return evaluate.summary(evaluate.precision_at_k(recs, rel, 10), "collaborative_filtering_als")
+    per_user = _fitted(spark, sf_dir, "cf_eval", lambda: evaluate.cf_eval(a["inter"]).checkpoint())
+    return evaluate.summary(per_user, "collaborative_filtering_als")
 
 
 @register("r23_content_evaluation")
@@ -506,6 +500,25 @@ def r26(spark, sf_dir):
     return router.cross_category(a["aff"], a["top"], a["inter"])
 
 
+@register("r27_similar_vectors")
+def r27(spark, sf_dir):
+    return vectors.similar_vectors(_assets(spark, sf_dir)["pf"], n=10)
+
+
+def _rough(pf):
+    """Product features in coarse steps, with gaps: many products alike, and products without any number."""
+    pid = F.col("product_id").cast("string")
+    return (pf.withColumn("avg_price", F.when(pid.endswith("7"), None).otherwise(F.floor(F.col("avg_price") / 100) * 100.0))
+            .withColumn("avg_freight_value", F.lit(10.0)).withColumn("total_orders", F.col("total_orders") % 3)
+            .withColumn("total_reviews", F.when(pid.endswith("3"), F.col("total_reviews")))
+            .withColumn("product_category_name_english", F.when(~pid.endswith("7"), F.col("product_category_name_english"))))
+
+
+@register("r27_similar_vectors_rough")
+def r27_rough(spark, sf_dir):
+    return vectors.similar_vectors(_rough(_assets(spark, sf_dir)["pf"]), n=10)
+
+
 # What must hold of the learned outputs whatever the model: each has a SQL twin.
 def _lists(recs, *by):
     """Users, rows, and users whose ranks are not 1 .. n without gaps."""

@@ -113,12 +113,19 @@ def similar(pf: DataFrame, n: int = 10, requests: DataFrame | None = None) -> Da
     # equal cosines: the text with the smaller first product goes first
     lead = texts.groupBy(F.col("text").alias("s2")).agg(F.min("product_id").alias("_lead"))
     best_sigs = top_n_per_group(both.join(lead, "s2"), ["s1"], [F.col("cos").desc(), F.col("_lead").asc()], n + 2, "_r")
-    # first n + 1 product ids of each signature are all that can ever be used
-    members = top_n_per_group(texts, ["text"], [F.col("product_id").asc()], n + 1, "_m")
-    cand_p = best_sigs.join(members.select(F.col("text").alias("s2"), F.col("product_id").alias("cand")), "s2")
+    return expand_twins(texts.withColumnRenamed("text", "twin"), best_sigs, n, requests)
+
+
+def expand_twins(twins: DataFrame, best: DataFrame, n: int, requests: DataFrame | None = None) -> DataFrame:
+    """The n best other products of each product from the best ``n + 2`` groups
+    of each group of products alike: ``twins (product_id, twin)`` and ``best (s1, s2,
+    cos)``, a group itself among its best; ties go to the smaller product id."""
+    # the first n + 1 product ids of each group are all that can ever be used
+    members = top_n_per_group(twins, ["twin"], [F.col("product_id").asc()], n + 1, "_m")
+    cand_p = best.join(members.select(F.col("twin").alias("s2"), F.col("product_id").alias("cand")), "s2")
     per_sig = top_n_per_group(cand_p, ["s1"], [F.col("cos").desc(), F.col("cand").asc()], n + 1, "_c")
-    src = texts if requests is None else texts.join(requests.select("product_id").distinct(), "product_id", "left_semi")
-    out = (src.join(per_sig, src["text"] == per_sig["s1"]).where(F.col("cand") != F.col("product_id"))
+    src = twins if requests is None else twins.join(requests.select("product_id").distinct(), "product_id", "left_semi")
+    out = (src.join(per_sig, src["twin"] == per_sig["s1"]).where(F.col("cand") != F.col("product_id"))
            .select("product_id", F.col("cand").alias("similar_product_id"), "cos"))
     ranked = top_n_per_group(out, ["product_id"], [F.col("cos").desc(), F.col("similar_product_id").asc()], n)
     return ranked.select("product_id", F.col("rank").cast("bigint").alias("rank"), "similar_product_id",

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from mercato.operators.sampling import limit_per_group, with_id_bucket
+from mercato.plans.recommend import als
 
 USER, ITEM = "customer_unique_id", "product_id"
 
@@ -48,6 +49,22 @@ def cf_split(inter: DataFrame, min_items: int = 2, fraction: float = 0.2) -> Dat
     return rel.unionByName(rest)
 
 
+def cf_eval(inter: DataFrame, k: int = 10, **fit) -> DataFrame:
+    """Per user precision@k of collaborative filtering, the held-out items
+    unseen by all of the model: items get their factors from a fit without the
+    held-out rows, users theirs by folding in what is left of their history,
+    which is also all that their lists leave out."""
+    held = cf_split(inter).where(F.col("role") == "relevant").select(USER, ITEM).checkpoint()
+    idx = als.index_interactions(inter)
+    left = idx.ratings.join(held, [USER, ITEM], "left_anti").checkpoint()
+    model = als.fit(als.Indexed(idx.users, idx.items, left), **fit)
+    users = held.select(USER).distinct().join(idx.users, USER)
+    own = als.Indexed(idx.users, idx.items, left.join(users.select("user_idx"), "user_idx", "left_semi"))
+    factors = als.Factors(als.fold_in(model.itemFactors, own.ratings).checkpoint(), model.itemFactors)
+    recs = als.recommend(factors, own, n=k, users=users).withColumnRenamed(ITEM, "rec_id")
+    return precision_at_k(recs, held.withColumnRenamed(ITEM, "rel_id"), k)
+
+
 def content_split(inter: DataFrame, min_items: int = 2) -> DataFrame:
     """Users with >= min_items; the first history item (an aggregate,
     not a window) is the query, the rest are relevant."""

@@ -243,7 +243,40 @@ rt_split AS (
   FROM rt_set
 )"""
 
+# R27 by brute force: every product against every other, in the same fixed point
+_NUMERIC = ["avg_price", "avg_freight_value", "total_orders", "avg_review_score", "total_reviews", "positive_sentiment_ratio"]
+
+
+def _vectors(out: str, features: str) -> str:
+    z = [f"CAST(coalesce(floor((CAST({c} AS DOUBLE) - avg({c}) OVER ()) / nullif(stddev_pop({c}) OVER (), CAST(0 AS DOUBLE)) "
+         f"* 10000 + CAST(0.5 AS DOUBLE)), 0) AS BIGINT) AS z{k}" for k, c in enumerate(_NUMERIC)]
+    dot = " + ".join(f"a.z{k} * b.z{k}" for k in range(len(_NUMERIC)))
+    length = " + ".join(f"z{k} * z{k}" for k in range(len(_NUMERIC)))
+    return f"""
+{out}_vec AS (SELECT *, sqrt(CAST({length} + 100000000 AS DOUBLE)) AS size FROM (
+  SELECT product_id, coalesce(product_category_name_english, 'unknown') AS cat, {", ".join(z)} FROM {features})),
+{out}_similar AS (
+  SELECT product_id, rank, similar_product_id, {npr("cos", 4)} AS similarity FROM (
+    SELECT *, row_number() OVER (PARTITION BY product_id ORDER BY cos DESC, similar_product_id) AS rank FROM (
+      SELECT a.product_id, b.product_id AS similar_product_id,
+        CAST({dot} + CASE WHEN a.cat = b.cat THEN 100000000 ELSE 0 END AS DOUBLE) / (a.size * b.size) AS cos
+      FROM {out}_vec a JOIN {out}_vec b ON a.product_id <> b.product_id))
+  WHERE rank <= 10)"""
+
+
+_PID = "CAST(product_id AS VARCHAR)"
+RECS += f""",{_vectors("rv", "g_product_features")},
+rvr_features AS (
+  SELECT * REPLACE (CASE WHEN {_PID} LIKE '%7' THEN NULL ELSE floor(avg_price / 100) * CAST(100 AS DOUBLE) END AS avg_price,
+    CAST(10 AS DOUBLE) AS avg_freight_value, total_orders % 3 AS total_orders,
+    CASE WHEN {_PID} LIKE '%3' THEN total_reviews END AS total_reviews,
+    CASE WHEN {_PID} NOT LIKE '%7' THEN product_category_name_english END AS product_category_name_english)
+  FROM g_product_features
+),{_vectors("rvr", "rvr_features")}"""
+
 R = {
+    "r27_similar_vectors": "SELECT * FROM rv_similar",
+    "r27_similar_vectors_rough": "SELECT * FROM rvr_similar",
     "r1_product_text": "SELECT * FROM r_text",
     "r2_tfidf": "SELECT * FROM r_tfidf",
     "r3_similar_products": "SELECT * FROM r_similar",
