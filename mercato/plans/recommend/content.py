@@ -7,9 +7,9 @@ raw counts, ``idf = ln((1 + n) / (1 + df)) + 1``, L2-normalised rows).
 R3 ranks, for every product, the most similar other products. A product's
 vector depends only on its text, so products collapse into distinct texts
 ("signatures"), whose number is bounded by the attribute domains, not by
-the catalogue size. Candidate signatures come from an exact prefix filter
-(see ``similar``), never from all signature pairs; the best ``n + 2``
-signatures per signature are expanded to products, ties in score broken by
+the catalogue size. The best ``n + 2`` signatures per signature come from a
+threshold algorithm over blocks of postings (see ``best_texts``), never from all
+signature pairs, and are expanded to products, ties in score broken by
 product_id ascending (T18).
 """
 
@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from mercato.functions import feature_price_band, np_round, score_band, sentiment_band
-from mercato.operators import top_n_per_group
+from mercato.operators import dense_index, top_n_per_group
 
 TOKEN_PATTERN = r"\b\w\w+\b"
 
@@ -77,43 +77,83 @@ def _cosines(pairs: DataFrame, sig: DataFrame) -> DataFrame:
             .agg(np_round(F.sum(F.col("_w1") * F.col("_w2")), 12).alias("cos")))
 
 
+#: Postings in one block of a token's list.
+POSTINGS = 256
+ROUND_BLOCKS = 64  # at most read of a list in one round
+_SLACK = 1e-9  # more than the rounding of cosines
+
+
+def posting_blocks(sig: DataFrame, size: int = POSTINGS) -> DataFrame:
+    """``(token, s2, weight, b)``: the texts of each token in order of falling
+    weight, ``size`` to a block; numbered by range partitioning, so a token
+    that all texts hold is no single task's list."""
+    rows = sig.select("token", "text", "weight", F.struct("token", (-F.col("weight")).alias("w"), "text").alias("_key"))
+    rows = rows.join(dense_index(rows, "_key", "_place"), "_key")
+    first = rows.groupBy("token").agg(F.min("_place").alias("_first"))
+    return rows.join(first, "token").select("token", F.col("text").alias("s2"), "weight",
+                                            F.floor((F.col("_place") - F.col("_first")) / size).cast("int").alias("b"))
+
+
+def best_texts(sig: DataFrame, known: DataFrame, lead: DataFrame, n: int, size: int = POSTINGS) -> tuple[DataFrame, DataFrame]:
+    """The ``n`` most similar texts ``(s1, s2, cos)`` of each text, by a threshold
+    algorithm over impact-ordered posting blocks; ties go to the smaller
+    ``_lead`` of ``lead (s2, _lead)``.
+
+    ``known`` are some pairs with their cosines. A text not met yet can reach at
+    most the sum, over the query's tokens, of the query's weight times the largest
+    weight of the token's next block. Tokens whose sums, from the smallest
+    on, stay below the n-th best cosine so far need not be read; the others'
+    next blocks are joined by token and block number, what they hold gets its exact cosine,
+    and so on until no token needs to be read. Rounds read 1, 2, 4, ...
+    blocks. The second result tells how many blocks of each list were read:
+    ``(s1, token, next)``.
+    """
+    postings = posting_blocks(sig, size).checkpoint()
+    maxima = postings.groupBy("token", "b").agg(F.max("weight").alias("m")).checkpoint()
+    ask = sig.select(F.col("text").alias("s1"), "token", F.col("weight").alias("w"), F.lit(0).alias("next"))
+
+    def top(pairs: DataFrame) -> DataFrame:
+        ranked = top_n_per_group(pairs.join(lead, "s2"), ["s1"], [F.col("cos").desc(), F.col("_lead").asc()], n, "_r")
+        return ranked.select("s1", "s2", "cos").checkpoint()
+
+    best, step = top(known), 1
+    while True:
+        floor = best.groupBy("s1").agg(F.when(F.count(F.lit(1)) >= n, F.min("cos")).otherwise(0.0).alias("floor"))
+        gain = F.col("w") * F.coalesce("m", F.lit(0.0))
+        upto = F.sum("gain").over(Window.partitionBy("s1").orderBy("gain", "token").rowsBetween(Window.unboundedPreceding, Window.currentRow))
+        state = (ask.join(maxima.withColumnRenamed("b", "next"), ["token", "next"], "left").withColumn("gain", gain)
+                 .join(floor, "s1", "left").withColumn("upto", upto)
+                 .withColumn("read", (F.col("gain") > 0) & (F.col("upto") >= F.coalesce("floor", F.lit(0.0)) - _SLACK))
+                 .select("s1", "token", "w", "next", "read").checkpoint())
+        now = state.where("read")
+        if now.isEmpty():
+            return best, state.select("s1", "token", "next")
+        blocks = now.select("s1", "token", F.explode(F.sequence("next", F.col("next") + (step - 1))).alias("b"))
+        met = blocks.join(postings, ["token", "b"]).select("s1", "s2").distinct().join(best, ["s1", "s2"], "left_anti")
+        best = top(best.unionByName(_cosines(met, sig)))
+        ask = state.select("s1", "token", "w", F.when(F.col("read"), F.col("next") + step).otherwise(F.col("next")).alias("next"))
+        step = min(2 * step, ROUND_BLOCKS)
+
+
 def similar(pf: DataFrame, n: int = 10, requests: DataFrame | None = None) -> DataFrame:
     """For every product (or the ``product_id`` rows of ``requests``),
     the ``n`` most similar other products: ``(product_id, rank,
     similar_product_id, similarity)`` with similarity rounded to 4.
 
-    Candidate texts come from an exact prefix filter instead of all pairs:
-
-    1. Texts with all tokens but one or two in common (``n + 2`` per key) give
-       a lower bound ``floor`` of each text's (n + 2)-th best cosine; a text
-       with fewer such candidates has the bound 0.
-    2. A text's tokens are ordered from rare to common. By Cauchy-Schwarz a
-       neighbour that shares none of the first i of them has a cosine of at
-       most the norm of the rest. So every neighbour at or above ``floor``
-       shares a token before the point where that norm falls below it; only
-       those tokens are joined to the texts that hold them, then the cosines
-       are exact.
+    Texts with all tokens but one or two in common (``n + 2`` per key) give a
+    first n-th best cosine for each text; ``best_texts`` then reads what may still
+    be better, never the whole list of a token that it doesn't need.
     """
     texts = product_text(pf)
-    sig = _signature_table(texts)
+    sig = _signature_table(texts).checkpoint()
     keys = _near_keys(sig)
     lists = top_n_per_group(keys, ["_key"], [F.col("norm").asc(), F.col("text").asc()], n + 2, "_r")
     some = (keys.select(F.col("text").alias("s1"), "_key").join(lists.select("_key", F.col("text").alias("s2")), "_key")
             .select("s1", "s2").distinct())
-    nth = top_n_per_group(_cosines(some, sig), ["s1"], [F.col("cos").desc(), F.col("s2").asc()], n + 2, "_r")
-    floor = nth.where(F.col("_r") == n + 2).select(F.col("s1").alias("text"), F.col("cos").alias("floor"))
-    held = sig.groupBy("token").agg(F.count(F.lit(1)).alias("_held"))
-    rest = Window.partitionBy("text").orderBy("_held", "token").rowsBetween(Window.currentRow, Window.unboundedFollowing)
-    prefix = (sig.join(held, "token").join(floor, "text", "left")
-              .withColumn("_rest", F.sqrt(F.sum(F.col("weight") * F.col("weight")).over(rest)))
-              .where(F.col("_rest") >= F.coalesce("floor", F.lit(0.0)) - 1e-9))
-    cand = (prefix.select(F.col("text").alias("s1"), "token").join(sig.select(F.col("text").alias("s2"), "token"), "token")
-            .select("s1", "s2").distinct())
-    both = _cosines(cand, sig)
     # equal cosines: the text with the smaller first product goes first
-    lead = texts.groupBy(F.col("text").alias("s2")).agg(F.min("product_id").alias("_lead"))
-    best_sigs = top_n_per_group(both.join(lead, "s2"), ["s1"], [F.col("cos").desc(), F.col("_lead").asc()], n + 2, "_r")
-    return expand_twins(texts.withColumnRenamed("text", "twin"), best_sigs, n, requests)
+    lead = texts.groupBy(F.col("text").alias("s2")).agg(F.min("product_id").alias("_lead")).checkpoint()
+    best, _ = best_texts(sig, _cosines(some, sig), lead, n + 2)
+    return expand_twins(texts.withColumnRenamed("text", "twin"), best, n, requests)
 
 
 def expand_twins(twins: DataFrame, best: DataFrame, n: int, requests: DataFrame | None = None) -> DataFrame:
