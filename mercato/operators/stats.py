@@ -144,3 +144,27 @@ def layer_overview(tables: dict[str, DataFrame]) -> DataFrame:
     for p in parts[1:]:
         out = out.unionByName(p)
     return out
+
+
+def roc_auc(df: DataFrame, label: str, score: str) -> DataFrame:
+    """Exact area under the ROC curve (rank sum, ties averaged): one row
+    ``roc_auc, positives, negatives``; null where a class is missing. Rows
+    without score or label don't count.
+
+    Rows are counted by score first, so ties are one row; the scores are
+    range-partitioned, a partition's negatives become the offset of the next, and only
+    partition counts meet in one place."""
+    from mercato.session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(df.sparkSession)
+    by_score = (df.where(F.col(score).isNotNull() & F.col(label).isNotNull()).groupBy(F.col(score).alias("_s"))
+                .agg(F.count_if(F.col(label) == 1).alias("_pos"), F.count_if(F.col(label) != 1).alias("_neg"))
+                .repartitionByRange(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), "_s")
+                .withColumn("_p", F.spark_partition_id()).checkpoint())
+    parts = by_score.groupBy("_p").agg(F.sum("_neg").alias("_n"))
+    offsets = parts.select("_p", (F.sum("_n").over(Window.orderBy("_p")) - F.col("_n")).alias("_off"))
+    below = F.sum("_neg").over(Window.partitionBy("_p").orderBy("_s")) - F.col("_neg") + F.col("_off")
+    twice = (by_score.join(F.broadcast(offsets), "_p").withColumn("_below", below)
+             .agg(F.sum((F.col("_pos") * (2 * F.col("_below") + F.col("_neg"))).cast("decimal(38,0)")).alias("_u"),
+                  F.coalesce(F.sum("_pos"), F.lit(0)).alias("positives"), F.coalesce(F.sum("_neg"), F.lit(0)).alias("negatives")))
+    both = F.col("positives").cast("double") * F.col("negatives")
+    return twice.select(F.try_divide(F.col("_u").cast("double"), 2 * both).alias("roc_auc"), "positives", "negatives")

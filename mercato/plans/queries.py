@@ -46,6 +46,8 @@ register("h2_zip_inconsistent")(_bronze(lambda b: details.zip_inconsistent(b["ge
 register("h3_delivery")(_bronze(details.delivery))
 register("h4_distance_corr")(_bronze(lambda b: details.distance_time_corr(details.delivery(b))))
 register("h5_density")(_bronze(lambda b: details.density_grid(details.delivery(b))))
+register("h5_hexbin")(_bronze(lambda b: details.hexbin(details.delivery(b))))
+register("h5_hexbin_bounded")(_bronze(lambda b: details.hexbin(details.delivery(b), max_km=3000, max_days=60)))
 register("h6_sellers")(_bronze(details.sellers_details))
 register("h8_product_repeat")(_bronze(details.product_repeat))
 register("h9_repeat_summary")(_bronze(lambda b: details.repeat_summary(details.product_repeat(b))))
@@ -165,6 +167,7 @@ register("k14_payment_revenue")(_silver(graph.payment_revenue))
 
 
 # ---------------------------------------------------------------- recommenders
+from mercato.operators import roc_auc  # noqa: E402
 from mercato.plans.recommend import als, cold_start, content, copurchase, evaluate, hybrid, router, vectors  # noqa: E402
 
 _FITTED: dict = {}
@@ -391,16 +394,20 @@ def r16(spark, sf_dir):
     return hybrid.evaluate(model, split.where(F.col("is_test")))
 
 
+@register("r16_popularity_auc")
+def r16_popularity(spark, sf_dir):
+    """What ranking by a product's number of orders alone would reach: few values, many ties."""
+    return roc_auc(_training(spark, sf_dir)[1], "label", "produto_total_orders")
+
+
 @register("r17_feature_importance")
 def r17(spark, sf_dir):
     return hybrid.importances(_ranker(spark, sf_dir)[2])
 
 
 def _hybrid_recs(spark, sf_dir, n=10):
-    idx, model = _als(spark, sf_dir)
     ft, _, ranker = _ranker(spark, sf_dir)
-    cand = als.recommend(model, idx, n=50)
-    return hybrid.rerank(cand, ft, ranker, n)
+    return hybrid.rerank(_candidates(spark, sf_dir), ft, ranker, n)
 
 
 @register("r18_hybrid")
@@ -409,18 +416,18 @@ def r18(spark, sf_dir):
     hyb = _hybrid_recs(spark, sf_dir).withColumn("strategy", F.lit("hybrid"))
     routed = router.route(_profile_requests(a), a["inter"], a["profile"])
     cold = cold_start.recommend(routed.where(F.col("strategy") == "cold_start"), a["top"], n=10)
-    return hyb.select("customer_unique_id", "rank", "product_id", "strategy").unionByName(
-        cold.select("customer_unique_id", "rank", "product_id", F.lit("cold_start").alias("strategy")))
+    lists = hyb.select("customer_unique_id", "rank", "product_id", "strategy", "score_hybrid").unionByName(
+        cold.select("customer_unique_id", "rank", "product_id", F.lit("cold_start").alias("strategy"),
+                    F.lit(None).cast("double").alias("score_hybrid")))
+    return als.with_product_attributes(lists, a["pf"])
 
 
 @register("r19_serving_hybrid")
 def r19(spark, sf_dir):
     a = _assets(spark, sf_dir)
-    idx, model = _als(spark, sf_dir)
     ft, _, ranker = _ranker(spark, sf_dir)
     req = _profile_requests(a).withColumn("price", F.lit(None).cast("double"))
-    cand = als.recommend(model, idx, n=50)
-    return hybrid.rerank_with_context(cand, req, ft, ranker)
+    return hybrid.rerank_with_context(_candidates(spark, sf_dir), req, ft, ranker)
 
 
 @register("r19_serving_mixed")
@@ -433,10 +440,33 @@ def r19_mixed(spark, sf_dir):
     req = text(_mixed_requests(a)).withColumn("price", F.lit(99.9))
     req = req.unionByName(req.withColumn("customer_unique_id", F.concat(F.lit("new-"), F.col("customer_unique_id"))))
     own = hybrid.FeatureTables(text(ft.customers), ft.products, ft.codes)
-    return hybrid.serve(req, text(als.recommend(model, idx, n=50)), text(idx.users),
+    return hybrid.serve(req, text(_candidates(spark, sf_dir)), text(idx.users),
                         cold_start.recommend_serving(req, a["top"], n=10), own, ranker)
 
 
+def _candidates(spark, sf_dir):
+    """The 50 best of collaborative filtering, written once: R18 and R19 rank them."""
+    def make():
+        idx, model = _als(spark, sf_dir)
+        return als.recommend(model, idx, n=50).select("customer_unique_id", "product_id").checkpoint()
+    return _fitted(spark, sf_dir, "candidates", make)
+
+
+def _repeated_requests(a):
+    """Two requests of every customer, at two prices, with a known rating in the second."""
+    r = _profile_requests(a)
+    key = lambda k: F.concat(F.col("customer_unique_id").cast("string"), F.lit(f"/{k}")).alias("request_id")
+    one = r.select("*", key(1), F.lit(10.0).alias("price"), F.lit(None).cast("double").alias("rating"))
+    return one.unionByName(r.select("*", key(2), F.lit(999.0).alias("price"), F.lit(1.0).alias("rating")))
+
+
+@register("r19_serving_repeated")
+def r19_repeated(spark, sf_dir):
+    a = _assets(spark, sf_dir)
+    ft, _, ranker = _ranker(spark, sf_dir)
+    return hybrid.rerank_with_context(_candidates(spark, sf_dir), _repeated_requests(a), ft, ranker)
+
+
 @register("r20_routing")
 def r20_routing(spark, sf_dir):
     a = _assets(spark, sf_dir)
@@ -465,12 +495,26 @@ def r20(spark, sf_dir):
     idx, model = _als(spark, sf_dir)
     cf = als.recommend(model, idx, n=10)
     cold = cold_start.recommend(
-        routed.join(a["profile"].select("customer_unique_id", F.col("customer_state").alias("state"),
+        routed.where("strategy = 'cold_start'").join(a["profile"].select("customer_unique_id", F.col("customer_state").alias("state"),
                                         F.col("preferred_category").alias("category")), "customer_unique_id", "left"),
         a["top"], n=10)
     return router.combine(routed, _hybrid_recs(spark, sf_dir), cf, cold, copurchase.also_bought(a["cooc"]))
 
 
+@register("r20_recommendations_mixed")
+def r20_mixed(spark, sf_dir):
+    """Every strategy at work: customers that lost their profile, and ids never seen."""
+    a = _assets(spark, sf_dir)
+    text = lambda d: d.withColumn("customer_unique_id", F.col("customer_unique_id").cast("string"))
+    routed = r20_routing_mixed(spark, sf_dir)
+    idx, model = _als(spark, sf_dir)
+    known = F.col("customer_unique_id").cast("string")
+    context = a["profile"].select(known.alias("_id"), F.col("customer_state").alias("state"), F.col("preferred_category").alias("category"))
+    cold = routed.where("strategy = 'cold_start'").withColumn("_id", F.replace("customer_unique_id", F.lit("new-"), F.lit("")))
+    return router.combine(routed, text(_hybrid_recs(spark, sf_dir)), text(als.recommend(model, idx, n=10)),
+                          cold_start.recommend(cold.join(context, "_id", "left"), a["top"], n=10))
+
+
 @register("r21_content_precision")
 def r21(spark, sf_dir):
     a = _assets(spark, sf_dir)
@@ -559,6 +603,22 @@ def r19_invariants(spark, sf_dir):
     return _lists(r19(spark, sf_dir))
 
 
+@register("r19_serving_repeated_invariants")
+def r19_repeated_invariants(spark, sf_dir):
+    """Lists of ten different products per request; the context moves some score of some customer."""
+    recs = r19_repeated(spark, sf_dir)
+    per = recs.groupBy("request_id").agg(F.count(F.lit(1)).alias("n"), F.max("rank").alias("top"), F.count_distinct("product_id").alias("items"))
+    sums = per.agg(F.count(F.lit(1)).alias("requests"), F.sum("n").alias("rows"),
+                   F.count_if((F.col("top") != F.col("n")) | (F.col("items") != F.col("n"))).alias("broken"))
+    scores = recs.groupBy("customer_unique_id", "product_id").agg(F.min("score").alias("lo"), F.max("score").alias("hi"))
+    return sums.crossJoin(F.broadcast(scores.agg((F.count_if(F.col("lo") < F.col("hi")) > 0).alias("differ"))))
+
+
+@register("r20_recommendations_mixed_invariants")
+def r20_mixed_invariants(spark, sf_dir):
+    return _lists(r20_mixed(spark, sf_dir), "strategy")
+
+
 @register("r19_serving_mixed_invariants")
 def r19_mixed_invariants(spark, sf_dir):
     return _lists(r19_mixed(spark, sf_dir), "strategy")

@@ -13,13 +13,12 @@ from dataclasses import dataclass
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier
-from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from mercato.operators import dense_index, top_n_per_group
+from mercato.operators import dense_index, roc_auc, top_n_per_group
 from mercato.operators.sampling import explode_range, limit_per_group
 
 USER, ITEM = "customer_unique_id", "product_id"
@@ -44,23 +43,50 @@ def user_sample(profile: DataFrame, inter: DataFrame, size: int = 5000, seed: in
 
 
 # ---------------------------------------------------------------- R11
+#: Rounds of the permutation, and the prime of its coin flips.
+SHUFFLE_ROUNDS = 24
+_PRIME = 2_147_483_647
+
+
+def shuffle_keys(key: Column, size: Column, rounds: int = SHUFFLE_ROUNDS) -> Column:
+    """Round keys of a swap-or-not shuffle of ``0 .. size - 1``, from MD5s of ``key``."""
+    def part(r: int, first: int, digits: int) -> Column:
+        return F.conv(F.substring(F.md5(F.concat_ws(":", key, F.lit(str(r)))), first, digits), 16, 10).cast("long")
+
+    return F.array(*[F.struct((part(r, 1, 12) % size).alias("k"), (1 + part(r, 13, 7) % F.lit(_PRIME - 1)).alias("a"),
+                              part(r, 20, 7).alias("b")) for r in range(rounds)])
+
+
+def shuffled(place: Column, size: Column, keys: Column) -> Column:
+    """Where a keyed permutation of ``0 .. size - 1`` takes ``place``.
+
+    Each round pairs x with (k - x) mod size and swaps the pair, or not, by a
+    coin that both members see alike; so every round, and the whole, is a
+    permutation of just these numbers, for any size below 2^31."""
+    def step(x: Column, r: Column) -> Column:
+        other = F.pmod(r["k"] - x, size)
+        line = (r["a"] * F.greatest(x, other) + r["b"]) % F.lit(_PRIME)
+        return F.when(((line * line) % F.lit(_PRIME)) % 2 == 1, other).otherwise(x)
+
+    return F.aggregate(keys, place.cast("long"), step)
+
+
 def negatives(pos: DataFrame, catalogue: DataFrame, seed: int = 42) -> DataFrame:
     """For each user in ``pos`` (``customer_unique_id, product_id``) as
     many catalogue products they did not buy as they bought (all of them if
     fewer remain), uniformly without replacement and without a cross join.
 
-    Every user reads the same dense catalogue index (in hashed order) around a
-    circle from an own hashed start: the first ``2 n`` products from there hold
-    at least ``n`` that were not bought, or all that remain. The first n not
-    bought ones are the sample; one scheme for light and heavy users."""
-    order = catalogue.select(ITEM).distinct().withColumn("_shuffled", F.concat(
-        _h(ITEM, seed=seed), F.lit(":"), F.col(ITEM).cast("string")))
-    cat = (dense_index(order, "_shuffled", "_pidx").join(order, "_shuffled").select(ITEM, "_pidx"))
+    Every user reads the dense catalogue index through a permutation of its own
+    (``shuffled``): the first ``2 n`` products hold at least ``n`` that were
+    not bought, or all that remain. The first n not bought ones are the sample,
+    so any set of products may be drawn; one scheme for light and heavy users."""
+    cat = dense_index(catalogue, ITEM, "_pidx")
     p_count = cat.agg(F.count(F.lit(1)).alias("_P"))
     bought = pos.select(USER, ITEM).distinct()
-    need = bought.groupBy(USER).agg(F.count(F.lit(1)).alias("_n")).crossJoin(F.broadcast(p_count))
+    need = (bought.groupBy(USER).agg(F.count(F.lit(1)).alias("_n")).crossJoin(F.broadcast(p_count))
+            .withColumn("_keys", shuffle_keys(F.concat_ws(":", F.lit(str(seed)), F.col(USER).cast("string")), F.col("_P"))))
     walk = explode_range(need, F.lit(0), (F.least(F.col("_n") * 2, F.col("_P")) - 1).cast("int"), "_j")
-    walk = walk.withColumn("_pidx", F.pmod(_leading(_h(USER, seed=seed), 12) + F.col("_j"), F.col("_P")).cast("int"))
+    walk = walk.select(USER, "_n", "_j", shuffled(F.col("_j"), F.col("_P"), F.col("_keys")).cast("int").alias("_pidx"))
     free = (walk.join(cat, "_pidx").join(bought, [USER, ITEM], "left_anti")
             .select(USER, ITEM, "_n", "_j").checkpoint())  # the limit reads it twice
     # a monotone bucket of the step, so that no user's walk is ranked in one task
@@ -95,7 +121,7 @@ FEATURES = ["customer_state", "cliente_total_orders", "total_spent", "cliente_av
 @dataclass
 class FeatureTables:
     customers: DataFrame   # customer_unique_id + encoded customer features
-    products: DataFrame    # product_id + encoded product features
+    products: DataFrame    # product_id + encoded product features; rated: the rating is known
     codes: dict[str, DataFrame]
 
 
@@ -109,14 +135,14 @@ def feature_tables(customer_details: DataFrame, product_details: DataFrame) -> F
         cp = encode(cp, c, codes[c])
     cp = cp.withColumnRenamed("total_orders", "cliente_total_orders") \
         .withColumnRenamed("avg_review_score", "cliente_avg_review_score")
-    pf = product_details.select(ITEM, *PRODUCT_FEATURES)
+    pf = product_details.select(ITEM, *PRODUCT_FEATURES).withColumn("rated", F.col("avg_review_score").isNotNull())
     for c in ("product_category_name_english", "seller_state"):
         codes[c] = label_codes(pf, c)
         pf = encode(pf, c, codes[c])
     pf = pf.withColumnRenamed("avg_review_score", "produto_avg_review_score") \
         .withColumnRenamed("total_orders", "produto_total_orders")
     cp = cp.select(USER, *[F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c) for c in cp.columns if c != USER])
-    pf = pf.select(ITEM, *[F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c) for c in pf.columns if c != ITEM])
+    pf = pf.select(ITEM, *[F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c) for c in pf.columns if c not in (ITEM, "rated")], "rated")
     return FeatureTables(cp, pf, codes)
 
 
@@ -161,11 +187,11 @@ def score(model: PipelineModel, df: DataFrame, out: str = "score") -> DataFrame:
 
 
 def evaluate(model: PipelineModel, test: DataFrame) -> DataFrame:
-    """ROC-AUC plus precision / recall / F1 / support per class, from
+    """Exact ROC-AUC plus precision / recall / F1 / support per class, from
     one confusion ``groupBy``."""
     pred = model.transform(test)
-    auc = BinaryClassificationEvaluator(labelCol="label", rawPredictionCol="rawPrediction",
-                                        metricName="areaUnderROC").evaluate(pred)
+    scored = pred.select("label", "prediction", vector_to_array("probability")[1].alias("score")).checkpoint()
+    pred, auc = scored, roc_auc(scored, "label", "score").first()["roc_auc"]
     conf = pred.groupBy("label", "prediction").agg(F.count(F.lit(1)).alias("n"))
     parts = []
     for cls in (0.0, 1.0):
@@ -178,7 +204,7 @@ def evaluate(model: PipelineModel, test: DataFrame) -> DataFrame:
     rep = parts[0].unionByName(parts[1])
     rep = rep.withColumn("f1", F.try_divide(2 * F.col("precision") * F.col("recall"),
                                             F.col("precision") + F.col("recall")))
-    return rep.withColumn("roc_auc", F.lit(float(auc)))
+    return rep.withColumn("roc_auc", F.lit(auc).cast("double"))
 
 
 def importances(model: PipelineModel) -> DataFrame:
@@ -202,35 +228,45 @@ def rerank(candidates: DataFrame, ft: FeatureTables, model: PipelineModel, n: in
                       "product_category_name_english", "avg_price", F.col("produto_avg_review_score").alias("avg_review_score"))
 
 
+def request_key(requests: DataFrame) -> str:
+    """What tells requests apart: ``request_id`` if they carry one, else the customer."""
+    return "request_id" if "request_id" in requests.columns else USER
+
+
 def rerank_with_context(candidates: DataFrame, requests: DataFrame, ft: FeatureTables, model: PipelineModel,
                         n: int = 10, default_state: str = "SP", default_rating: float = 4.0) -> DataFrame:
-    """Like R18, with request context overriding the customer's state
-    (unknown -> ``default_state``, or the first class if absent), preferred
-    category (unknown -> first class) and product price (T12); a product
-    without features counts as rated ``default_rating``."""
+    """Like R18 for each request, with request context overriding the
+    customer's state (unknown -> ``default_state``, or the first class if
+    absent), preferred category (unknown -> first class), product price and
+    product rating (T12; ``rating`` is optional); a product whose rating isn't known counts as
+    rated ``default_rating``. A customer may send several requests: with a
+    ``request_id`` each gets a list of its own."""
+    key = request_key(requests)
+    own = [key] if key == USER else [key, USER]
     st, cat = ft.codes["customer_state"], ft.codes["preferred_category"]
     first_st = st.agg(F.min("code").alias("_fs"))
     sp = st.where(F.col("value") == default_state).select(F.col("code").alias("_sp"))
     first_cat = cat.agg(F.min("code").alias("_fc"))
-    ctx = (requests.select(USER, "state", "category", "price")
+    rating = F.col("rating") if "rating" in requests.columns else F.lit(None)
+    ctx = (requests.select(*own, "state", "category", "price", rating.cast("double").alias("_ctx_rating"))
            .join(st.select(F.col("value").alias("state"), F.col("code").alias("_st")), "state", "left")
            .join(cat.select(F.col("value").alias("category"), F.col("code").alias("_ct")), "category", "left")
            .crossJoin(F.broadcast(first_st)).crossJoin(F.broadcast(first_cat))
            .join(F.broadcast(sp), F.lit(True), "left"))
-    ctx = ctx.select(USER, F.when(F.col("state").isNull(), None)
+    ctx = ctx.select(*own, F.when(F.col("state").isNull(), None)
                      .otherwise(F.coalesce("_st", "_sp", "_fs")).cast("double").alias("_ctx_state"),
                      F.when(F.col("category").isNull(), None)
                      .otherwise(F.coalesce("_ct", "_fc")).cast("double").alias("_ctx_cat"),
-                     F.col("price").cast("double").alias("_ctx_price"))
-    t = (candidates.select(USER, ITEM).join(ft.customers, USER, "left").join(ft.products, ITEM, "left")
-         .join(ctx, USER, "left"))
-    over = {"customer_state": "_ctx_state", "preferred_category": "_ctx_cat", "avg_price": "_ctx_price"}
-    default = {"produto_avg_review_score": default_rating}
-    t = t.select(USER, ITEM, *[F.coalesce(F.col(over[c]) if c in over else F.lit(None), F.col(c),
-                                          F.lit(default.get(c, 0.0))).alias(c) for c in FEATURES])
+                     F.col("price").cast("double").alias("_ctx_price"), "_ctx_rating")
+    t = (ctx.join(candidates.select(USER, ITEM), USER).join(ft.customers, USER, "left").join(ft.products, ITEM, "left"))
+    value = {"customer_state": F.coalesce("_ctx_state", "customer_state"), "preferred_category": F.coalesce("_ctx_cat", "preferred_category"),
+             "avg_price": F.coalesce("_ctx_price", "avg_price"),
+             "produto_avg_review_score": F.coalesce("_ctx_rating", F.when(F.col("rated"), F.col("produto_avg_review_score")),
+                                                    F.lit(default_rating))}
+    t = t.select(*own, ITEM, *[F.coalesce(value.get(c, F.col(c)), F.lit(0.0)).alias(c) for c in FEATURES])
     s = score(model, t, "score")
-    top = top_n_per_group(s, [USER], [F.col("score").desc(), F.col(ITEM)], n)
-    return top.select(USER, F.col("rank").cast("bigint").alias("rank"), ITEM, "score",
+    top = top_n_per_group(s, [key], [F.col("score").desc(), F.col(ITEM)], n)
+    return top.select(*own, F.col("rank").cast("bigint").alias("rank"), ITEM, "score",
                       F.lit(HYBRID).alias("strategy"))
 
 
@@ -240,13 +276,16 @@ HYBRID, COLD_START, NO_CANDIDATES = "xgboost_hybrid", "cold_start", "fallback_hy
 
 def serve(requests: DataFrame, candidates: DataFrame, known: DataFrame, cold: DataFrame, ft: FeatureTables,
           model: PipelineModel, n: int = 10) -> DataFrame:
-    """R19 with its fallbacks: customers without history get the cold-start list
-    of their context, known customers without candidates too, under a label
-    of their own. ``known`` holds the customers with a history."""
-    ranked = rerank_with_context(candidates.join(requests.select(USER).distinct(), USER, "left_semi"), requests, ft, model, n)
-    rest = requests.select(USER).distinct().join(ranked.select(USER).distinct(), USER, "left_anti")
+    """R19 with its fallbacks: requests of customers without history get the
+    cold-start list of their context, those of known customers without candidates too, under a
+    label of their own. ``known`` holds the customers with a history, ``cold`` the
+    lists by request (``request_id`` where requests have one, else the customer)."""
+    key = request_key(requests)
+    own = [key] if key == USER else [key, USER]
+    ranked = rerank_with_context(candidates, requests, ft, model, n)
+    rest = requests.select(*own).distinct().join(ranked.select(key).distinct(), key, "left_anti")
     rest = rest.join(known.select(USER).distinct().withColumn("_known", F.lit(True)), USER, "left")
     label = F.when(F.col("_known"), F.lit(NO_CANDIDATES)).otherwise(F.lit(COLD_START))
-    lists = rest.join(cold.select(USER, "rank", ITEM), USER).select(
-        USER, F.col("rank").cast("bigint").alias("rank"), ITEM, F.lit(None).cast("double").alias("score"), label.alias("strategy"))
+    lists = rest.join(cold.select(key, "rank", ITEM), key).select(
+        *own, F.col("rank").cast("bigint").alias("rank"), ITEM, F.lit(None).cast("double").alias("score"), label.alias("strategy"))
     return ranked.unionByName(lists)

@@ -24,20 +24,22 @@ def combine(routed: DataFrame, hybrid: DataFrame, cf: DataFrame, cold: DataFrame
             also: DataFrame | None = None, n_also: int = 5) -> DataFrame:
     """One table of recommendations with their strategy; with
     ``also`` (R9 output) and a ``current_product_id`` on the request, the
-    also-bought list is appended with strategy ``also_bought``."""
+    also-bought list is appended with strategy ``also_bought``. Requests with
+    a ``request_id`` keep it."""
     cols = [USER, "rank", ITEM]
+    own = [USER, "request_id"] if "request_id" in routed.columns else [USER]
     parts = [
-        routed.where(F.col("strategy") == "hybrid").select(USER).join(hybrid.select(*cols), USER)
+        routed.where(F.col("strategy") == "hybrid").select(*own).join(hybrid.select(*cols), USER)
         .withColumn("strategy", F.lit("hybrid")),
-        routed.where(F.col("strategy") == "cf").select(USER).join(cf.select(*cols), USER)
+        routed.where(F.col("strategy") == "cf").select(*own).join(cf.select(*cols), USER)
         .withColumn("strategy", F.lit("cf")),
-        routed.where(F.col("strategy") == "cold_start").select(USER).join(cold.select(*cols), USER)
+        routed.where(F.col("strategy") == "cold_start").select(*own).join(cold.select(*cols), USER)
         .withColumn("strategy", F.lit("cold_start")),
     ]
     if also is not None and "current_product_id" in routed.columns:
-        a = (routed.where(F.col("current_product_id").isNotNull()).select(USER, F.col("current_product_id").alias(ITEM))
+        a = (routed.where(F.col("current_product_id").isNotNull()).select(*own, F.col("current_product_id").alias(ITEM))
              .join(also.where(F.col("rank") <= n_also), ITEM)
-             .select(USER, "rank", F.col("other_product_id").alias(ITEM)).withColumn("strategy", F.lit("also_bought")))
+             .select(*own, "rank", F.col("other_product_id").alias(ITEM)).withColumn("strategy", F.lit("also_bought")))
         parts.append(a)
     out = parts[0]
     for p in parts[1:]:

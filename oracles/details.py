@@ -23,6 +23,31 @@ def haversine(lat1: str, lon1: str, lat2: str, lon2: str) -> str:
     return f"({DBL('6371.0')} * 2 * atan2(sqrt({a}), sqrt(1 - {a})))"
 
 
+def _hexbin(name: str, keep: str, columns: int = 50, rows: int = 28) -> str:
+    half = DBL("0.5")
+    dist = lambda du, dv: f"(({du}) * ({du}) + 3 * (({dv}) * ({dv})))"
+    return f"""{name}_points AS (
+  SELECT distance_km AS x, CAST(delivery_time_days AS DOUBLE) AS y FROM d_delivery
+  WHERE distance_km IS NOT NULL AND delivery_time_days IS NOT NULL AND {keep}
+),
+{name}_uv AS (
+  SELECT x0, y0, sx, sy, CASE WHEN sx > 0 THEN (x - x0) / sx ELSE {DBL('0')} END AS u,
+    CASE WHEN sy > 0 THEN (y - y0) / sy ELSE {DBL('0')} END AS v
+  FROM {name}_points, (SELECT min(x) AS x0, min(y) AS y0, (max(x) - min(x)) / {DBL(columns)} AS sx,
+                         (max(y) - min(y)) / {DBL(rows)} AS sy FROM {name}_points)
+),
+{name} AS (
+  SELECT lattice, col, row, {npr(f'x0 + (col + (lattice - 1) * {half}) * sx', 6)} AS center_km,
+    {npr(f'y0 + (row + (lattice - 1) * {half}) * sy', 6)} AS center_days, count(*) AS count
+  FROM (SELECT x0, y0, sx, sy, CASE WHEN near THEN 1 ELSE 2 END AS lattice,
+          CAST(CASE WHEN near THEN round_even(u, 0) ELSE floor(u) END AS INTEGER) AS col,
+          CAST(CASE WHEN near THEN round_even(v, 0) ELSE floor(v) END AS INTEGER) AS row
+        FROM (SELECT *, {dist('u - round_even(u, 0)', 'v - round_even(v, 0)')}
+                     < {dist(f'u - floor(u) - {half}', f'v - floor(v) - {half}')} AS near FROM {name}_uv))
+  GROUP BY lattice, col, row, x0, y0, sx, sy
+)"""
+
+
 def top1(src: str, key: str, val: str, out: str, cnt: str | None = None) -> str:
     extra = f", cnt AS {cnt}" if cnt else ""
     return (f"SELECT {key}, {val} AS {out}{extra} FROM (SELECT {key}, {val}, count(*) AS cnt, "
@@ -87,6 +112,8 @@ d_density AS (
           WHERE distance_km IS NOT NULL AND delivery_time_days IS NOT NULL) s)
   GROUP BY 1, 2
 ),
+{_hexbin("d_hexbin", "true")},
+{_hexbin("d_hexbin_bounded", "distance_km < 3000 AND delivery_time_days < 60")},
 d_sellers AS (
   SELECT t.seller_id, t.specialized_product, t.times_sold, r.average_review_score, c.specialized_category
   FROM ({top1('m_order_items', 'seller_id', 'product_id', 'specialized_product', 'times_sold')}) t

@@ -208,6 +208,24 @@ def _features() -> str:
     return ",\n    ".join(out)
 
 
+def _shuffle(rounds: int = 24, prime: int = 2_147_483_647) -> str:
+    """Every step of every user's walk over the whole catalogue: the swap-or-not shuffle, one level of SELECT a round."""
+    part = lambda r, first, digits: (
+        f"CAST('0x' || substr(md5('42:' || CAST(customer_unique_id AS VARCHAR) || ':{r}'), {first}, {digits}) AS BIGINT)")
+    keys = ", ".join(f"{part(r, 1, 12)} % n AS k{r}, 1 + {part(r, 13, 7)} % {prime - 1} AS a{r}, {part(r, 20, 7)} AS b{r}"
+                     for r in range(rounds))
+    walk = "SELECT u.*, j, j AS x FROM rt_keys u, range(0, (SELECT count(*) FROM rt_cat)) g(j)"
+    for r in range(rounds):
+        other = f"((k{r} - x) % n + n) % n"
+        line = f"((a{r} * greatest(x, {other}) + b{r}) % {prime})"
+        walk = f"SELECT * REPLACE (CASE WHEN ({line} * {line}) % {prime} % 2 = 1 THEN {other} ELSE x END AS x) FROM ({walk})"
+    return f"""rt_keys AS (
+  SELECT customer_unique_id, k, n, {keys}
+  FROM (SELECT customer_unique_id, count(*) AS k FROM rt_pos GROUP BY 1), (SELECT count(*) AS n FROM rt_cat)
+),
+rt_walk AS ({walk})"""
+
+
 RECS += f""",
 rt_users AS (
   SELECT customer_unique_id FROM (SELECT customer_unique_id FROM g_customer_profile
@@ -215,18 +233,13 @@ rt_users AS (
   ORDER BY md5('42:' || CAST(customer_unique_id AS VARCHAR)), customer_unique_id LIMIT 5000
 ),
 rt_pos AS (SELECT DISTINCT customer_unique_id, product_id FROM g_interactions SEMI JOIN rt_users USING (customer_unique_id)),
-rt_cat AS (
-  SELECT product_id, row_number() OVER (ORDER BY md5('42:' || CAST(product_id AS VARCHAR)) || ':' || CAST(product_id AS VARCHAR)) - 1
-    AS i, count(*) OVER () AS n FROM (SELECT DISTINCT product_id FROM g_interactions)
-),
+rt_cat AS (SELECT product_id, row_number() OVER (ORDER BY product_id) - 1 AS i FROM (SELECT DISTINCT product_id FROM g_interactions)),
+{_shuffle()},
 rt_neg AS (
   SELECT customer_unique_id, product_id FROM (
-    SELECT u.customer_unique_id, c.product_id, u.k, row_number() OVER (
-             PARTITION BY u.customer_unique_id ORDER BY (c.i - u.start % c.n + c.n) % c.n) AS pos
-    FROM (SELECT customer_unique_id, count(*) AS k,
-            CAST('0x' || substr(md5('42:' || CAST(customer_unique_id AS VARCHAR)), 1, 12) AS BIGINT) AS start
-          FROM rt_pos GROUP BY 1) u, rt_cat c
-    WHERE NOT EXISTS (SELECT 1 FROM rt_pos b WHERE b.customer_unique_id = u.customer_unique_id AND b.product_id = c.product_id))
+    SELECT w.customer_unique_id, c.product_id, w.k, row_number() OVER (PARTITION BY w.customer_unique_id ORDER BY w.j) AS pos
+    FROM rt_walk w JOIN rt_cat c ON c.i = w.x
+    WHERE NOT EXISTS (SELECT 1 FROM rt_pos b WHERE b.customer_unique_id = w.customer_unique_id AND b.product_id = c.product_id))
   WHERE pos <= k
 ),
 rt_set AS (
@@ -335,6 +348,19 @@ R = {
     "r22_evaluation_invariants": """SELECT 'content_tfidf' AS method, count(*) AS users_evaluated, true AS valid FROM r_content_precision
       UNION ALL SELECT 'collaborative_filtering_als', count(*), true FROM
         (SELECT customer_unique_id FROM g_interactions GROUP BY 1 HAVING count(*) >= 2)""",
+    "r16_popularity_auc": """SELECT CAST(sum(CASE WHEN label = 1 THEN 2 * below + ties ELSE 0 END) AS DOUBLE)
+          / (2 * (CAST(any_value(positives) AS DOUBLE) * any_value(negatives))) AS roc_auc,
+        any_value(positives) AS positives, any_value(negatives) AS negatives
+      FROM (SELECT label, sum(CASE WHEN label = 0 THEN 1 ELSE 0 END) OVER (ORDER BY produto_total_orders
+                            RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) - ties AS below, ties, positives, negatives
+            FROM (SELECT *, count(*) FILTER (WHERE label = 0) OVER (PARTITION BY produto_total_orders) AS ties,
+                    count(*) FILTER (WHERE label = 1) OVER () AS positives, count(*) FILTER (WHERE label = 0) OVER () AS negatives
+                  FROM rt_set))""",
+    "r19_serving_repeated_invariants": """SELECT 2 * count(*) AS requests, CAST(2 * sum(least(10, p - h)) AS BIGINT) AS rows,
+        CAST(0 AS BIGINT) AS broken, true AS differ
+      FROM (SELECT customer_unique_id, count(DISTINCT product_id) AS h FROM g_interactions SEMI JOIN g_customer_profile
+              USING (customer_unique_id) GROUP BY 1),
+           (SELECT count(DISTINCT product_id) AS p FROM g_interactions) WHERE p > h""",
     "r10_user_sample": "SELECT * FROM rt_users",
     "r11_negatives": "SELECT * FROM rt_neg",
     "r13_training_set": "SELECT * FROM rt_set",
@@ -346,3 +372,12 @@ R = {
         count(*) AS users_evaluated FROM r_content_precision""",
     "r26_cross_category": "SELECT * FROM r_cross",
 }
+
+R["r20_recommendations_mixed_invariants"] = f"""SELECT strategy, count(*) AS users, CAST(sum(n) AS BIGINT) AS rows, CAST(0 AS BIGINT) AS broken
+  FROM (SELECT r.strategy, CASE WHEN r.strategy = 'cold_start' THEN c.n ELSE least(10, p - h) END AS n
+        FROM ({R["r20_routing_mixed"]}) r
+        LEFT JOIN (SELECT CAST(customer_unique_id AS VARCHAR) AS id, count(DISTINCT product_id) AS h FROM g_interactions GROUP BY 1) i
+          ON i.id = r.customer_unique_id
+        LEFT JOIN (SELECT CAST(customer_unique_id AS VARCHAR) AS id, count(*) AS n FROM r_cold GROUP BY 1) c
+          ON c.id = replace(r.customer_unique_id, 'new-', ''),
+        (SELECT count(DISTINCT product_id) AS p FROM g_interactions)) WHERE n > 0 GROUP BY 1"""

@@ -27,7 +27,7 @@ for _n, _t in [("g1_interactions", "interactions"), ("g2_product_features", "pro
 ORACLE["g7_contract"] = gold_query(contract_sql())
 
 for _n, _t in [("h1_zip_geo", "zip_geo"), ("h2_zip_counts", "zip_counts"), ("h2_zip_inconsistent", "zip_inconsistent"),
-               ("h3_delivery", "delivery"), ("h4_distance_corr", "corr"), ("h5_density", "density"),
+               ("h3_delivery", "delivery"), ("h4_distance_corr", "corr"), ("h5_density", "density"), ("h5_hexbin", "hexbin"), ("h5_hexbin_bounded", "hexbin_bounded"),
                ("h6_sellers", "sellers"), ("h7_customers", "customer_details"), ("h8_product_repeat", "product_repeat"),
                ("h9_repeat_summary", "repeat_summary"), ("h10_product_details", "product_details"),
                ("h10_multi_seller", "multi_seller")]:
