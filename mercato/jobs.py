@@ -20,17 +20,21 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from mercato.plans import dashboards, details, explore, gold, graph, silver
-from mercato.plans.recommend import als, cold_start, content, copurchase, router
+from mercato.plans.recommend import als, cold_start, content, copurchase, evaluate, hybrid, publish, router, vectors
 from mercato.sources.io import load_layer, write_table
 
 
+USER, ITEM = als.USER, als.ITEM
+
+
 def _noop(df: DataFrame) -> None:
     df.write.format("noop").mode("overwrite").save()
 
 
 def steps(spark: SparkSession, bronze: dict[str, DataFrame], out: str, reports: bool = True,
-          ml: bool = True) -> list[tuple[str, Callable[[], None]]]:
-    """The ordered steps; each reads what earlier steps wrote."""
+          ml: bool = True, trees: int = 200, fit: dict | None = None) -> list[tuple[str, Callable[[], None]]]:
+    """The ordered steps; each reads what earlier steps wrote. ``trees`` of the
+    ranker; ``fit`` goes to ``als.fit``."""
     st: list[tuple[str, Callable[[], None]]] = []
     for name, df in silver.build(bronze).items():
         st.append((f"silver_{name}", lambda df=df, name=name: write_table(df, f"{out}/silver/{name}")))
@@ -76,10 +80,12 @@ def steps(spark: SparkSession, bronze: dict[str, DataFrame], out: str, reports:
                                           _noop(dashboards.top_categories(G()["product_features"])),
                                           _noop(dashboards.by_state(G()["customer_profile"])),
                                           _noop(dashboards.by_payment(bronze["payments"]))]))
-        st.append(("graph_edges", lambda: write_table(graph.edges(graph.nodes(S())), f"{out}/graph/edges")))
+        loaded: dict[str, object] = {}
+        st.append(("graph_nodes", lambda: loaded.update(nodes=graph.load_nodes(spark, S(), f"{out}/graph"))))
+        st.append(("graph_edges", lambda: loaded.update(graph=graph.load(spark, S(), f"{out}/graph", found=loaded["nodes"]))))
 
         def graph_queries():
-            n, e = graph.nodes(S()), spark.read.parquet(f"{out}/graph/edges")
+            n, e = loaded["graph"].nodes, loaded["graph"].edges
             for df in (graph.top_sellers_by_revenue(n, e), graph.top_categories_by_review(n, e),
                        graph.multi_state_buyers(n, e), graph.category_pairs(S())):
                 _noop(df)
@@ -97,15 +103,59 @@ def steps(spark: SparkSession, bronze: dict[str, DataFrame], out: str, reports:
     st.append(("rec_cross_category", lambda: write_table(router.cross_category(
         G()["category_affinity"], G()["top_products_by_segment"], G()["user_product_interactions"]),
         f"{out}/rec/cross_category")))
+    st.append(("rec_vector_similar", lambda: write_table(vectors.similar_vectors(G()["product_features"], 10),
+                                                         f"{out}/rec/similar_vectors")))
     if ml:
-        def cf():
-            idx = als.index_interactions(G()["user_product_interactions"])
-            model = als.fit(idx)
-            write_table(als.recommend(model, idx, 10), f"{out}/rec/cf")
-        st.append(("rec_als_fit_recommend", cf))
+        st += _learned_steps(spark, out, G, trees, fit or {})
     return st
 
 
+def _learned_steps(spark: SparkSession, out: str, gold_layer: Callable, trees: int, fit: dict) -> list[tuple[str, Callable[[], None]]]:
+    """Collaborative filtering, the ranker, the routed lists, the evaluation, and the published version of it all."""
+    G = gold_layer
+    kept: dict = {}
+    rec = lambda name: spark.read.parquet(f"{out}/rec/{name}")
+    inter = lambda: G()["user_product_interactions"]
+
+    def cf():
+        kept["idx"] = als.index_interactions(inter())
+        kept["als"] = als.fit(kept["idx"], **fit)
+        write_table(als.recommend(kept["als"], kept["idx"], 10), f"{out}/rec/cf")
+
+    def ranker():
+        ft = hybrid.feature_tables(spark.read.parquet(f"{out}/details/customers"), spark.read.parquet(f"{out}/details/products"))
+        sample = hybrid.user_sample(G()["customer_profile"], inter())
+        pos = inter().join(sample, USER, "left_semi").select(USER, ITEM).distinct().checkpoint()
+        neg = hybrid.negatives(pos, inter().select(ITEM))
+        split = hybrid.stratified_split(hybrid.training_set(pos, neg, ft)).checkpoint()
+        kept.update(ft=ft, split=split, ranker=hybrid.train(split.where("NOT is_test"), trees=trees))
+
+    def hybrid_lists():
+        candidates = als.recommend(kept["als"], kept["idx"], 50)
+        write_table(hybrid.rerank(candidates, kept["ft"], kept["ranker"], 10), f"{out}/rec/hybrid")
+
+    def routed():
+        everyone = spark.read.parquet(f"{out}/silver/customers").select("customer_unique_id").distinct()
+        r = router.route(everyone, inter(), G()["customer_profile"])
+        write_table(router.combine(r, rec("hybrid"), rec("cf"), rec("cold_start")), f"{out}/rec/routed")
+
+    def evaluation():
+        content_ = evaluate.summary(evaluate.content_eval(inter(), rec("similar")), "content_tfidf")
+        cf_ = evaluate.summary(evaluate.cf_eval(inter(), **fit), "collaborative_filtering_als")
+        write_table(content_.unionByName(cf_), f"{out}/rec/evaluation")
+        write_table(hybrid.evaluate(kept["ranker"], kept["split"].where("is_test")), f"{out}/rec/ranker_report")
+        write_table(hybrid.importances(kept["ranker"]), f"{out}/rec/ranker_importances")
+
+    def published():
+        ft, idx = kept["ft"], kept["idx"]
+        publish.publish(spark, f"{out}/published", {"als": kept["als"], "ranker": kept["ranker"]},
+                        {"customer_features": ft.customers, "product_features": ft.products, "users": idx.users, "items": idx.items,
+                         **{f"codes_{k}": v for k, v in ft.codes.items()}})
+
+    return [("rec_als_fit_recommend", cf), ("rec_ranker_fit", ranker), ("rec_hybrid", hybrid_lists), ("rec_routed", routed),
+            ("rec_evaluation", evaluation), ("rec_publish", published)]
+
+
 def run(spark: SparkSession, bronze: dict[str, DataFrame], out: str, timer: Callable[[str, float], None] | None = None,
         **kw) -> None:
     for name, fn in steps(spark, bronze, out, **kw):

@@ -74,6 +74,27 @@ def test_batch_job_writes_every_layer(spark):
     assert "rec_cross_category" in done
 
 
+def test_batch_job_learns_routes_evaluates_and_publishes(spark):
+    from mercato import jobs
+    from mercato.plans.recommend import hybrid, publish
+    from mercato.sources.fixtures import bronze_layer
+    from tests.conftest import SF_SMALL
+    d = tempfile.mkdtemp(dir="/tmp")
+    jobs.run(spark, bronze_layer(spark, SF_SMALL), d, trees=2, fit={"rank": 4, "max_iter": 2})
+    read = lambda name: spark.read.parquet(f"{d}/{name}")
+    assert {r.rel for r in spark.table("graph_edges").select("rel").distinct().collect()} >= {"PLACED", "CONTAINS", "HAS_REVIEW"}
+    assert spark.table("graph_orderitem").count() == read("silver/order_items").count()
+    assert {"hybrid", "cold_start"} >= {r.strategy for r in read("rec/routed").select("strategy").distinct().collect()} != set()
+    assert {r.method for r in read("rec/evaluation").collect()} == {"content_tfidf", "collaborative_filtering_als"}
+    assert read("rec/ranker_report").count() == 2 and read("rec/ranker_importances").count() == len(hybrid.FEATURES)
+    # what was published ranks as the job did
+    got = publish.current(spark, f"{d}/published")
+    own = read("rec/hybrid").select("customer_unique_id", "product_id")
+    again = hybrid.rerank(own, got.feature_tables(), got.models["ranker"], 10)
+    cols = ["customer_unique_id", "rank", "product_id", "score_hybrid"]
+    assert sorted(map(tuple, again.select(*cols).collect())) == sorted(map(tuple, read("rec/hybrid").select(*cols).collect()))
+
+
 def test_csv_quotes_line_breaks_and_latin1_by_file(spark):
     d = tempfile.mkdtemp(dir="/tmp")
     folder = os.path.join(d, "reviews.csv")
