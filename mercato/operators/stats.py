@@ -60,7 +60,9 @@ def quantiles(df: DataFrame, specs: dict[str, tuple[str | Column, float]], by: S
 
     ends = run.groupBy(*by, "k").agg(F.first("pos").alias("pos"), at(F.floor("pos")).alias("a"), at(F.ceil("pos")).alias("b"))
     pos, a, b = F.col("pos"), F.col("a"), F.col("b")
-    value = F.when(a == b, a).otherwise((F.ceil(pos) - pos) * a + (pos - F.floor(pos)) * b)
+    # a rank outside its bracket would be a null that later filters swallow
+    missed = F.raise_error(F.lit("a quantile's rank lies outside its bracket")).cast("double")
+    value = F.when(a.isNull() | b.isNull(), missed).when(a == b, a).otherwise((F.ceil(pos) - pos) * a + (pos - F.floor(pos)) * b)
     return ends.withColumn("value", value).groupBy(*by).agg(
         *[F.max(F.when(F.col("k") == k, F.col("value"))).alias(name) for k, name in enumerate(specs)])
 

@@ -6,21 +6,19 @@ doubled quotes. A file with quoted line breaks can't be split, so a big table
 should be many files, each read by one task.
 
 Spark's CSV reader never raises on bad bytes; it substitutes U+FFFD. The
-fallback is decided per file: files whose rows show that character are read
-again as ISO-8859-1, the others stay UTF-8.
+fallback is decided per file and from the bytes: files with a line that isn't
+valid UTF-8 are read as ISO-8859-1, the others (which may well hold a U+FFFD
+of their own) as UTF-8. The test is a plain scan of lines, without parsing.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterable
-from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-REPLACEMENT = "\ufffd"
-
 
 def _csv(spark: SparkSession, path: str | list[str], schema: StructType | None, encoding: str) -> DataFrame:
     r = (spark.read.option("header", True).option("encoding", encoding).option("multiLine", True)
@@ -41,13 +39,10 @@ def read_table(spark: SparkSession, path: str, schema: StructType | None = None,
     if fmt == "parquet":
         df = spark.read.parquet(path)
         return df if schema is None else df.select(*[F.col(f.name).cast(f.dataType) for f in schema.fields])
+    # at most one row a file; lines come as they are, undecoded
+    files = sorted(r[0] for r in spark.read.text(path).where(~F.is_valid_utf8("value")).select(F.col("_metadata.file_path"))
+                   .distinct().collect())
     df = _csv(spark, path, schema, "UTF-8")
-    strings = [f.name for f in df.schema.fields if f.dataType.simpleString() == "string"]
-    if not strings:
-        return _trimmed(df)
-    bad = reduce(lambda a, b: a | b, [F.col(f"`{c}`").contains(REPLACEMENT) for c in strings])
-    # at most one row a file
-    files = sorted(r[0] for r in df.where(bad).select(F.col("_metadata.file_path")).distinct().collect())
     if not files:
         return _trimmed(df)
     good = _trimmed(df.where(~F.col("_metadata.file_path").isin(files)))

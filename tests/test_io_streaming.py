@@ -103,8 +103,10 @@ def test_csv_quotes_line_breaks_and_latin1_by_file(spark):
         f.write('id,message\n1,"first line\nsecond, line"\n2,"said ""good, fine"" ok"\n3,maçã\n'.encode())
     with open(os.path.join(folder, "b.csv"), "wb") as f:
         f.write('id,message\n4,"São\nPaulo"\n'.encode("latin-1"))
+    with open(os.path.join(folder, "c.csv"), "wb") as f:  # good UTF-8 that holds the replacement character itself
+        f.write('id,message\n5,lost \ufffd and maçã\n'.encode())
     got = {r.id: r.message for r in io.read_table(spark, folder, fmt="csv").collect()}
-    assert got == {"1": "first line\nsecond, line", "2": 'said "good, fine" ok', "3": "maçã", "4": "São\nPaulo"}
+    assert got == {"1": "first line\nsecond, line", "2": 'said "good, fine" ok', "3": "maçã", "4": "São\nPaulo", "5": "lost \ufffd and maçã"}
 
 
 def test_layer_names_and_missing_tables(spark):
