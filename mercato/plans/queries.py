@@ -686,3 +686,33 @@ def q5(spark, sf_dir):
 from mercato.sources import io as _io  # noqa: E402
 
 register("s5_head_orders")(_silver(lambda s: _io.head(s["orders"], ["order_id"], 5)))
+
+
+# ------------------------------------------------- what is written and read again
+import uuid  # noqa: E402
+
+from mercato.plans import graph as _graph  # noqa: E402
+from mercato.session import ensure_checkpoint_dir  # noqa: E402
+from mercato.sources import ordered as _ordered  # noqa: E402
+from mercato.sources.keyed import KeyedTable  # noqa: E402
+
+
+@register("w6_ordered_interactions")
+def w6(spark, sf_dir):
+    """The interactions written in the reference's order and read with their places, without a sort."""
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/ordered-{uuid.uuid4().hex}"
+    _ordered.write_ordered(_assets(spark, sf_dir)["inter"], path, ["customer_unique_id", ("implicit_score", False), "product_id"])
+    return _ordered.read_ordered(spark, path)
+
+
+@register("k1_order_items_loaded")
+def k1_loaded(spark, sf_dir):
+    """The item nodes with all their attributes after three loads into a keyed
+    table: a third of them, all of them, all of them again."""
+    items = _graph.nodes(silver_layer(spark, sf_dir))["OrderItem"].checkpoint()
+    tag = uuid.uuid4().hex
+    t = KeyedTable.open(spark, f"items_{tag}", f"{ensure_checkpoint_dir(spark).rstrip('/')}/items-{tag}", items.schema,
+                        ["item_id"], "order_id", buckets=8)
+    for batch in (items.where(F.crc32("item_id") % 3 == 0), items, items):
+        t.upsert(batch)
+    return t.rows()

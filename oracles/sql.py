@@ -43,3 +43,8 @@ for _n, _q in Q.items():
     ORACLE[_n] = gold_query(_q)
 
 ORACLE["s5_head_orders"] = gold_query("SELECT * FROM s_orders ORDER BY order_id LIMIT 5")
+ORACLE["w6_ordered_interactions"] = gold_query("""SELECT *, row_number() OVER (
+    ORDER BY customer_unique_id, implicit_score DESC, product_id) - 1 AS position FROM g_interactions""")
+ORACLE["k1_order_items_loaded"] = gold_query("""SELECT concat(order_id, '_', order_item_id) AS item_id,
+    CAST(order_id AS VARCHAR) AS order_id, CAST(product_id AS VARCHAR) AS product_id, CAST(seller_id AS VARCHAR) AS seller_id,
+    price, freight_value, shipping_limit_date AS shipping_limit FROM s_order_items""")
