@@ -153,6 +153,7 @@ def price_band(c) -> Column:
     return expr
 
 
+# Thresholds and labels of the three feature bands below.
 def feature_price_band(c) -> Column:
     """F8 price: null compares false everywhere -> ``price_high``."""
     col = _c(c)

@@ -64,6 +64,7 @@ def nodes(layer: dict[str, DataFrame]) -> dict[str, DataFrame]:
             "Payment": payments, "Review": reviews, "Category": categories, "Geolocation": geo}
 
 
+# Labels and their keys.
 NODE_KEYS = {"Customer": "customer_id", "Order": "order_id", "OrderItem": "item_id", "Product": "product_id",
              "Seller": "seller_id", "Payment": "payment_id", "Review": "review_id", "Category": "name",
              "Geolocation": "zip_code"}
@@ -79,7 +80,7 @@ def node_keys(n: dict[str, DataFrame]) -> DataFrame:
     return out
 
 
-# (rel, from label, from column on the from-node, to label)
+# Relations as (rel, from label, from column on the from-node, to label, reversed).
 EDGE_DEFS = [
     ("PLACED", "Order", "customer_id", "Customer", True),
     ("CONTAINS", "OrderItem", "order_id", "Order", True),

@@ -691,6 +691,7 @@ register("s5_head_orders")(_silver(lambda s: _io.head(s["orders"], ["order_id"],
 # ------------------------------------------------- what is written and read again
 import uuid  # noqa: E402
 
+from mercato.functions.columns import norm_text  # noqa: E402
 from mercato.plans import graph as _graph  # noqa: E402
 from mercato.session import ensure_checkpoint_dir  # noqa: E402
 from mercato.sources import ordered as _ordered  # noqa: E402
@@ -716,3 +717,12 @@ def k1_loaded(spark, sf_dir):
     for batch in (items.where(F.crc32("item_id") % 3 == 0), items, items):
         t.upsert(batch)
     return t.rows()
+
+
+@register("p2_review_text")
+def p2(spark, sf_dir):
+    """Review messages normalised as text: blanks and the spelled-out nulls of text files become null."""
+    rest = F.col("review_id") % 5
+    raw = (F.when(rest == 0, F.lit("nan")).when(rest == 1, F.lit(" None\t"))
+           .when(rest == 2, F.concat(F.lit("\n "), F.col("review_comment_message"), F.lit(" nan  "))).otherwise(F.col("review_comment_message")))
+    return bronze(spark, sf_dir)["reviews"].select("review_id", norm_text(raw).alias("message"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from oracles.base import silver_table, with_silver
+from oracles.base import silver_table, strip, with_silver
 from oracles.gold import GOLD, contract_sql
 from oracles.details import DETAILS
 from oracles.explore import D, E, GRAPH, K
@@ -48,3 +48,6 @@ ORACLE["w6_ordered_interactions"] = gold_query("""SELECT *, row_number() OVER (
 ORACLE["k1_order_items_loaded"] = gold_query("""SELECT concat(order_id, '_', order_item_id) AS item_id,
     CAST(order_id AS VARCHAR) AS order_id, CAST(product_id AS VARCHAR) AS product_id, CAST(seller_id AS VARCHAR) AS seller_id,
     price, freight_value, shipping_limit_date AS shipping_limit FROM s_order_items""")
+ORACLE["p2_review_text"] = gold_query(f"""SELECT review_id, CASE WHEN {strip('raw')} IN ('', 'nan', 'None') THEN NULL ELSE {strip('raw')} END AS message
+    FROM (SELECT review_id, CASE review_id % 5 WHEN 0 THEN 'nan' WHEN 1 THEN ' None' || chr(9)
+            WHEN 2 THEN chr(10) || ' ' || review_comment_message || ' nan  ' ELSE review_comment_message END AS raw FROM m_reviews)""")
