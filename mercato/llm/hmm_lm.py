@@ -19,12 +19,14 @@ times the product of the word shares.
 2. Word counts over the whole corpus: the dictionaries are dealt by word and
    summed, and the totals go back to the blocks; a very common word has one
    row a block, not one an occurrence.
-3. Baum-Welch starts from the class counts of the whole corpus, times seeded
-   random weights. Every round is a pass over all training texts: expected
-   counts in every partition (forward-backward), a Spark aggregate sums them by
-   class, and the driver normalises (classes x states numbers, whatever the
-   corpus). Rounds end when the log-likelihood of the training texts gains less
-   than ``TOLERANCE`` of itself.
+3. Training starts from the class counts of the whole corpus, times seeded
+   random weights. Its first rounds hold the state fixed within windows of
+   ``WINDOW`` tokens (a mixture, without recursion), until the log-likelihood
+   gains less than ``START_TOLERANCE`` of itself; then Baum-Welch rounds
+   follow until it gains less than ``TOLERANCE``. Every round, of either kind, is
+   a pass over all training texts: expected counts in every partition, a Spark
+   aggregate sums them by class (fixed-point, so that reruns agree), and the driver
+   normalises (classes x states numbers, whatever the corpus).
 4. Each block is scored with its dictionary's totals and the broadcast model.
 
 Defined cases: a null or empty text is its end token alone; rows without id
@@ -35,9 +37,11 @@ table gives an empty result.
 
 from __future__ import annotations
 
+import hashlib
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
@@ -62,9 +66,21 @@ CLASSES = 1 << 14
 END = 0
 #: Least gain of a round, as a share of the training texts' log-likelihood.
 TOLERANCE = 1e-3
+#: The same for the first rounds, in which a window has one state, and its tokens.
+START_TOLERANCE = 2e-2
+WINDOW = 256
+#: Moves that the Baum-Welch rounds start from.
+STAY = 20
 BLOCK_TEXT = 12 << 20
+#: Words of more bytes get a cryptographic key.
+LONG_WORD = 64
+#: Expected counts are summed in units of 1 / FIXED.
+FIXED = 1 << 14
 #: Tokens of forward-backward at once inside a task.
-CHUNK = 400_000
+CHUNK = 600_000
+#: Steps of the recursion between two scalings, and the least scale that this is good for.
+EVERY = 4
+SMALLEST = 1e-20
 #: Weight of the corpus class share in every state's emissions, in tokens.
 PRIOR = 50.0
 
@@ -86,6 +102,15 @@ def word_classes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.n
     return (1 + (h * U64(0x9E3779B97F4A7C15) >> U64(40)) % U64(CLASSES - 1)).astype(np.uint16)
 
 
+def word_keys(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """64-bit keys of words. Polynomial hashes tell patterned long words apart badly
+    (Thue-Morse words collide whatever the base), so these are digested one by one."""
+    keys = span_hashes(data, starts, ends)
+    for i in np.flatnonzero(ends - starts > LONG_WORD):
+        keys[i] = int.from_bytes(hashlib.blake2b(data[starts[i]:ends[i]].tobytes(), digest_size=8).digest(), "little")
+    return keys
+
+
 # ------------------------------------------------------------------ recursion
 def time_major(first: np.ndarray):
     """Layout of sequences step by step: (order of texts by falling length,
@@ -104,21 +129,25 @@ def time_major(first: np.ndarray):
     return order, active, at, source, place, rank
 
 
-def forward(m: Hmm, tokens: np.ndarray, active, at, dtype=np.float32):
-    """Emission probabilities, scaled forward variables and scales of time-major tokens."""
-    emit = np.ascontiguousarray(m.emit.T, dtype=dtype)[tokens]
-    move = m.move.astype(dtype)
+def forward(start, move, emit: np.ndarray, active, at, every: int):
+    """(alpha, scale) of time-major tokens with the given emission values: forward
+    variables, scaled to a sum of 1 at every ``every``-th step only."""
     alpha = np.empty_like(emit)
-    scale = np.empty(len(tokens), dtype)
-    a = m.start.astype(dtype)[None]
+    scale = np.ones(len(emit), emit.dtype)
+    ones = np.ones(emit.shape[1], emit.dtype)
     for t in range(len(active)):
         p, q = at[t], at[t + 1]
-        a = (a if t == 0 else a[:q - p] @ move) * emit[p:q]
-        s = a.sum(1)
-        a /= s[:, None]
-        alpha[p:q] = a
-        scale[p:q] = s
-    return emit, alpha, scale
+        a = alpha[p:q]
+        if t == 0:
+            a[:] = start
+        else:
+            np.dot(last[:q - p], move, out=a)
+        a *= emit[p:q]
+        if t % every == every - 1:
+            s = np.matmul(a, ones, out=scale[p:q])
+            a /= s[:, None]
+        last = a
+    return alpha, scale
 
 
 def expected(m: Hmm, classes: np.ndarray, first: np.ndarray):
@@ -126,40 +155,76 @@ def expected(m: Hmm, classes: np.ndarray, first: np.ndarray):
     return _expected(m, classes, first)[:3]
 
 
-def _expected(m: Hmm, classes: np.ndarray, first: np.ndarray):
-    """Expected counts, and the natural logarithm of the sequences' probability."""
+def _expected(m: Hmm, classes: np.ndarray, first: np.ndarray, every: int = EVERY):
+    """Expected counts, and the natural logarithm of the sequences' probability.
+
+    A step of the recursion is a product and a multiplication; the counts are taken
+    for all steps at once. A class's emissions are divided by their largest, which
+    leaves the counts as they are and lets most steps go unscaled; values that get
+    near the end of the floating-point range send the sequences through again with
+    every step scaled.
+    """
     _, active, at, source, place, _ = time_major(first)
     tokens = np.empty(len(classes), np.int64)
     tokens[place] = classes[source]
-    emit, alpha, scale = forward(m, tokens, active, at)
-    log = float(np.log(scale, dtype=np.float64).sum())
-    moves = np.zeros_like(m.move)
-    back = m.move.T.astype(np.float32)
-    steps = len(active)
-    gamma = alpha
-    for t in range(steps - 1, 0, -1):
+    del source, place
+    peak = m.emit.max(0)
+    table = np.ascontiguousarray((m.emit / peak).T, dtype=np.float32)
+    move, back = m.move.astype(np.float32), np.ascontiguousarray(m.move.T, dtype=np.float32)
+    weight = np.take(table, tokens, axis=0)
+    alpha, scale = forward(m.start.astype(np.float32), move, weight, active, at, every)
+    size = np.diff(first)
+    size = np.sort(size[size > 0])[::-1]
+    ends = at[size - 1] + np.arange(len(size))
+    rest = alpha[ends].sum(1)  # what the last steps of each sequence left unscaled
+    if every > 1 and min(scale.min(initial=1), rest.min(initial=1)) < SMALLEST:
+        return _expected(m, classes, first, 1)
+    log = float(np.log(scale, dtype=np.float64).sum() + np.log(rest, dtype=np.float64).sum() + np.log(peak)[tokens].sum())
+    beta = np.empty((len(size), STATES), np.float32)
+    beta[:] = (1 / rest)[:, None]
+    for t in range(len(active) - 1, -1, -1):
         p, q = at[t], at[t + 1]
-        # emit[p:q] still holds P(token | state); gamma / alpha is beta
-        beta = emit[p:q] if t == steps - 1 else emit[p:q] * carried
-        beta = beta / scale[p:q, None]
-        prev = alpha[at[t - 1]:at[t - 1] + (q - p)]
-        moves += prev.T @ beta
-        full = np.ones((at[t] - at[t - 1], STATES), np.float32)
-        full[:q - p] = beta @ back
-        if t < steps - 1:
-            gamma[p:q] *= carried
-        carried = full
-    if steps > 1:
-        gamma[:at[1]] *= carried
+        w = weight[p:q]
+        w *= beta[:q - p]
+        if t % every == every - 1:
+            w /= scale[p:q, None]
+        if t:
+            np.dot(w, back, out=beta[:q - p])
+    # weight is now emission * beta / scale
+    moves = np.zeros((STATES, STATES))
+    if len(active) > 1:
+        before = np.arange(at[1], at[-1]) - np.repeat(active[:-1], active[1:])
+        moves += (np.take(alpha, before, axis=0).T @ weight[at[1]:]) * m.move
+    gamma = alpha
+    gamma *= weight
+    np.take(1 / table, tokens, axis=0, out=weight)
+    gamma *= weight
+    gamma *= scale[:, None]
     counts = np.stack([np.bincount(tokens, weights=gamma[:, k], minlength=CLASSES) for k in range(STATES)])
-    return gamma[:at[1]].sum(0).astype(float) if steps else np.zeros(STATES), moves * m.move, counts, log
+    return gamma[:at[1]].sum(0).astype(float) if len(active) else np.zeros(STATES), moves, counts, log
+
+
+def mixed(m: Hmm, classes: np.ndarray, first: np.ndarray):
+    """Expected counts and log-likelihood, as ``_expected``, with one state a window of a text."""
+    per = -(-np.diff(first) // WINDOW)
+    text = np.repeat(np.arange(len(per)), per)
+    begin = first[text] + (np.arange(len(text)) - np.repeat(np.cumsum(per) - per, per)) * WINDOW
+    score = np.add.reduceat(np.take(np.log(m.emit.T).astype(np.float32), classes, axis=0), begin, axis=0)
+    score = score.astype(float) + np.log(m.start)
+    top = score.max(1, keepdims=True)
+    share = np.exp(score - top)
+    total = share.sum(1, keepdims=True)
+    share /= total
+    size = np.diff(np.append(begin, len(classes)))
+    counts = np.stack([np.bincount(classes, weights=np.repeat(share[:, k], size), minlength=CLASSES) for k in range(STATES)])
+    return share.sum(0), np.zeros((STATES, STATES)), counts, float((np.log(total) + top).sum())
 
 
 def likelihoods(m: Hmm, classes: np.ndarray, first: np.ndarray) -> np.ndarray:
     """log10 probability of each class sequence; only the scales are kept."""
     out = np.zeros(len(first) - 1)
     by_size = np.argsort(-np.diff(first), kind="stable")  # long texts together: few steps with few texts
-    emit = np.ascontiguousarray(m.emit.T)
+    emit, ones = np.ascontiguousarray(m.emit.T), np.ones(STATES)
     for i, j in blocks(np.concatenate([[0], np.cumsum(np.diff(first)[by_size])]), CHUNK):
         some, own = _subset(classes, first, by_size[i:j])
         order, active, at, source, place, rank = time_major(own)
@@ -168,8 +233,8 @@ def likelihoods(m: Hmm, classes: np.ndarray, first: np.ndarray) -> np.ndarray:
         scale = np.empty(len(tokens))
         a = None
         for p, q in zip(at[:-1], at[1:], strict=True):
-            a = (m.start[None] if a is None else a[:q - p] @ m.move) * emit[tokens[p:q]]
-            s = a.sum(1)
+            a = (m.start[None] if a is None else a[:q - p] @ m.move) * np.take(emit, tokens[p:q], axis=0)
+            s = a @ ones
             a /= s[:, None]
             scale[p:q] = s
         out[by_size[i:j][order]] = np.bincount(rank, weights=np.log10(scale[place]), minlength=j - i)
@@ -187,7 +252,7 @@ def normalised(start, moves, counts, prior: float = PRIOR) -> Hmm:
 def seeded(base: np.ndarray, seed: int = 3) -> Hmm:
     """Starting point: the counts of all classes, times random weights a state."""
     counts = (base + 1e-3) * np.random.default_rng(seed).gamma(1.0, 1.0, (STATES, CLASSES))
-    return normalised(np.ones(STATES), np.eye(STATES) * 20 + 1, counts, 1.0)
+    return normalised(np.ones(STATES), np.eye(STATES) * STAY, counts, 1.0)
 
 
 def first_model(sequences: list[np.ndarray], rounds: int = 15, seed: int = 3) -> Hmm:
@@ -208,7 +273,10 @@ def _encode(batches):
     def row(held):
         nonlocal n
         hashes = np.concatenate([h[0] for h in held])
-        words, at, index, times = np.unique(hashes, return_index=True, return_inverse=True, return_counts=True)
+        index, words = pd.factorize(hashes)
+        times = np.bincount(index, minlength=len(words))
+        at = np.empty(len(words), np.int64)
+        at[index[::-1]] = np.arange(len(index) - 1, -1, -1)
         classes = np.concatenate([h[1] for h in held])[at]
         count = np.concatenate([h[2] for h in held])
         learn = np.concatenate([h[3] for h in held])
@@ -240,7 +308,7 @@ def _encode(batches):
         for i, j in blocks(off):
             low = _LOWER[data[off[i]:off[j]]]
             starts, ends, first = word_spans(low, off[i:j + 1] - off[i])
-            held.append((span_hashes(low, starts, ends), word_classes(low, starts, ends), np.diff(first),
+            held.append((word_keys(low, starts, ends), word_classes(low, starts, ends), np.diff(first),
                          batch.column("learn").slice(i, j - i).to_numpy(zero_copy_only=False).astype(bool),
                          batch.column("doc_id").slice(i, j - i), batch.column("held").slice(i, j - i)))
             size += off[j] - off[i]
@@ -265,7 +333,7 @@ def _sequences(batch, r: int):
     own = np.frombuffer(batch.column("classes")[r].as_buffer(), np.uint16)
     first = np.zeros(len(count) + 1, np.int64)
     np.cumsum(count + 1, out=first[1:])
-    classes = np.full(first[-1], END, np.int64)
+    classes = np.full(first[-1], END, np.uint16)
     inside = np.ones(first[-1], bool)
     inside[first[1:] - 1] = False
     classes[inside] = own[index]
@@ -294,7 +362,7 @@ def _dictionary(batches):
                      pa.array(cls[i:i + k]), pa.array(n[i:i + k])], ["word", "block", "pos", "class", "n"])
 
 
-def _expect(shared):
+def _expect(shared, step):
     def run(batches):
         m = shared.value
         start, moves, counts, log = np.zeros(STATES), np.zeros((STATES, STATES)), np.zeros((STATES, CLASSES)), 0.0
@@ -306,7 +374,7 @@ def _expect(shared):
                 rows = rows[np.argsort(-np.diff(first)[rows], kind="stable")]
                 classes, first = _subset(classes, first, rows)
                 for i, j in blocks(first, CHUNK):
-                    s, v, c, g = _expected(m, classes[first[i]:first[j]], first[i:j + 1] - first[i])
+                    s, v, c, g = step(m, classes[first[i]:first[j]], first[i:j + 1] - first[i])
                     start += s
                     moves += v
                     counts += c
@@ -314,6 +382,7 @@ def _expect(shared):
         seen = np.flatnonzero(counts.any(0))
         key = np.concatenate([seen, CLASSES + np.arange(STATES + 2)])
         value = np.concatenate([counts[:, seen], moves.T, start[:, None], np.full((STATES, 1), log)], 1)
+        value = np.rint(value * FIXED).astype(np.int64)
         yield pa.RecordBatch.from_arrays(
             [pa.array(key), *(pa.array(v) for v in value)], ["key", *(f"s{k}" for k in range(STATES))])
 
@@ -321,19 +390,21 @@ def _expect(shared):
 
 
 def fit(coded: DataFrame, model: Hmm, tolerance: float = TOLERANCE):
-    """Baum-Welch over all learnable texts of the blocks until a round gains less
-    than the tolerance: (model, log-likelihood before each round)."""
+    """All rounds over the learnable texts of the blocks: (model, log-likelihood
+    before each Baum-Welch round)."""
     sc = coded.sparkSession.sparkContext
     names = [f"s{k}" for k in range(STATES)]
-    logs = []
-    while len(logs) < 2 or logs[-1] - logs[-2] > tolerance * abs(logs[-2]):
-        sums = (coded.select("learn", "count", "low", "high", "classes")
-                .transform(map_arrow, _expect(sc.broadcast(model)), "key long, " + ", ".join(f"{k} double" for k in names))
-                .groupBy("key").agg(*[F.sum(k).alias(k) for k in names]).toArrow())
-        table = np.zeros((STATES, CLASSES + STATES + 2))
-        table[:, sums.column("key").to_numpy()] = np.stack([sums.column(k).to_numpy() for k in names])
-        logs.append(float(table[0, -1]))
-        model = normalised(table[:, -2], table[:, CLASSES:CLASSES + STATES].T, table[:, :CLASSES])
+    for step, least in ((mixed, START_TOLERANCE), (_expected, tolerance)):
+        logs = []
+        while len(logs) < 2 or logs[-1] - logs[-2] > least * abs(logs[-2]):
+            sums = (coded.select("learn", "count", "low", "high", "classes")
+                    .transform(map_arrow, _expect(sc.broadcast(model), step), "key long, " + ", ".join(f"{k} long" for k in names))
+                    .groupBy("key").agg(*[F.sum(k).alias(k) for k in names]).toArrow())
+            table = np.zeros((STATES, CLASSES + STATES + 2))
+            table[:, sums.column("key").to_numpy()] = np.stack([sums.column(k).to_numpy() for k in names]) / FIXED
+            logs.append(float(table[0, -1]))
+            moves = np.eye(STATES) * STAY if step is mixed else table[:, CLASSES:CLASSES + STATES].T
+            model = normalised(table[:, -2], moves, table[:, :CLASSES])
     return model, logs
 
 

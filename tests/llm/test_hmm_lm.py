@@ -86,6 +86,19 @@ def test_every_round_counts_all_texts_until_the_gain_falls(spark):
     own = [q for q, ok in zip(seqs, learn, strict=True) if ok]
     flat = np.concatenate(own).astype(np.int64), np.concatenate([[0], np.cumsum([len(q) for q in own])])
     m, logs = lm.seeded(base), []
+    while len(logs) < 2 or logs[-1] - logs[-2] > lm.START_TOLERANCE * abs(logs[-2]):
+        start, counts, log = np.zeros(lm.STATES), np.zeros((lm.STATES, lm.CLASSES)), 0.0
+        for q in own:
+            for i in range(0, len(q), lm.WINDOW):
+                p = np.log(m.start) + np.log(m.emit[:, q[i:i + lm.WINDOW]]).sum(1)
+                share = np.exp(p - p.max()) / np.exp(p - p.max()).sum()
+                log += p.max() + math.log(np.exp(p - p.max()).sum())
+                start += share
+                for c in q[i:i + lm.WINDOW]:
+                    counts[:, c] += share
+        logs.append(log)
+        m = lm.normalised(start, np.eye(lm.STATES) * lm.STAY, counts)
+    logs = []
     while len(logs) < 2 or logs[-1] - logs[-2] > lm.TOLERANCE * abs(logs[-2]):
         logs.append(lm.likelihoods(m, *flat).sum())
         m = lm.normalised(*lm.expected(m, *flat))
@@ -112,3 +125,28 @@ def test_nothing_to_learn_and_empty(spark):
     assert sorted((r.n_tokens, r.n_known, r.train_tokens) for r in out) == [(1, 0, 0), (3, 0, 0)]
     out = lm.score(docs(spark, [(1, None), (2, "")])).collect()
     assert [r.n_tokens for r in out] == [1, 1]
+
+
+def test_unscaled_steps_give_the_same_counts():
+    # long and short texts; emissions so uneven that sums of unscaled steps leave the range
+    rng = np.random.default_rng(4)
+    seqs = [np.append(rng.integers(1, 60, n), lm.END) for n in (0, 1, 2, 3, 4, 5, 8, 700, 9, 4)]
+    flat, first = np.concatenate(seqs), np.concatenate([[0], np.cumsum([len(q) for q in seqs])])
+    for spread in (1.0, 30.0):
+        m = small_model(rng)
+        emit = np.exp(spread * rng.normal(size=m.emit.shape).clip(-1, 1))
+        m = lm.Hmm(m.start, m.move, emit / emit.sum(1, keepdims=True))
+        one, four = lm._expected(m, flat, first, 1), lm._expected(m, flat, first)
+        assert four[3] == pytest.approx(lm.likelihoods(m, flat, first).sum() * math.log(10), rel=1e-5)
+        for a, b in zip(one, four, strict=True):
+            assert np.allclose(a, b, rtol=1e-3, atol=1e-4)
+
+
+def test_patterned_long_words_are_told_apart(spark):
+    one = "a"
+    while len(one) < 2048:
+        one += one.translate({97: "b", 98: "a"})
+    other = one.translate({97: "b", 98: "a"})
+    known, unseen = (next(i for i in range(99) if (crc(i, 7) == 2) is held) for held in (False, True))
+    out = {r.doc_id: r for r in lm.score(docs(spark, [(known, one), (unseen, other)])).collect()}
+    assert (out[known].n_known, out[unseen].n_known) == (2, 1)
