@@ -19,9 +19,12 @@ it, so sizes are brought together first:
 3. Candidate (document, item) pairs are verified by the exact share of the
    item's shingles that the whole document contains.
 
-Defined cases: null or wordless texts and items contain nothing; an item of
-fewer than five words is one shingle, found in documents of just those words;
-repeated items and documents are reported each; null ids are carried as they
+An item of one to four words is one shingle of its own word count, in a size class
+of its own (-1 to -4): every run of as many words of a document is a window, and
+the item is contained where one equals it. MinHash of one shingle is its hash, so
+one key does for all functions.
+
+Defined cases: null or wordless texts and items contain nothing; repeated items and documents are reported each; null ids are carried as they
 are; an empty table on either side gives no pair.
 """
 
@@ -37,6 +40,7 @@ from mercato.llm.common import ALNUM, U64, blocks, bloom, bloom_hits, cut, map_a
 
 THRESHOLD = 0.8
 HASHES = 32
+SHINGLE = 5
 
 _MULT = mix(np.arange(1, HASHES + 1, dtype=U64) * U64(0x9FB21C651E98DF25)) | U64(1)
 
@@ -56,9 +60,30 @@ def keys_of(minima: np.ndarray, k: int, c: int) -> np.ndarray:
     return mix(minima + U64(tag & 0xFFFFFFFFFFFFFFFF))
 
 
-def _shingles(data, off):
-    words, first = word_hashes(data, off, ALNUM)
-    return shingle_hashes(words, first)
+def _short(words, first, size: int):
+    """(hashes, text) of the runs of ``size`` words, fewer than five, of every text."""
+    sh, at = shingle_hashes(words, first, size)
+    text = np.repeat(np.arange(len(first) - 1), np.diff(at))
+    whole = np.diff(first)[text] >= size  # a text of fewer words has no such run
+    # runs of different word counts are kept apart
+    return mix(sh[whole] ^ U64(0xD6E8FEB86659FD93 + size)), text[whole]
+
+
+def _item_shingles(words: np.ndarray):
+    """(different shingles, size class) of the words of an item."""
+    n = len(words)
+    first = np.array([0, n])
+    if n < SHINGLE:
+        return _short(words, first, n)[0], -n
+    own = np.unique(shingle_hashes(words, first, SHINGLE)[0])
+    return own, int(size_class(np.array([len(own)]))[0])
+
+
+def _key_list(own: np.ndarray, c: int) -> np.ndarray:
+    """Search keys of an item."""
+    if c < 0:
+        return keys_of(own, 0, c)
+    return np.concatenate([keys_of(np.min(own * _MULT[k], keepdims=True), k, c) for k in range(HASHES)])
 
 
 def _uids(n: int, seen: int) -> pa.Array:
@@ -71,15 +96,11 @@ def _items(batches):
     for batch in batches:
         data, off = text_bytes(batch.column("text"))
         for i, j in blocks(off):
-            sh, at = _shingles(data[off[i]:off[j]], off[i:j + 1] - off[i])
+            words, first = word_hashes(data[off[i]:off[j]], off[i:j + 1] - off[i], ALNUM)
             out = []
-            for r in range(j - i):
-                own = np.unique(sh[at[r]:at[r + 1]])
-                if len(own) == 0:
-                    continue
-                c = int(size_class(np.array([len(own)]))[0])
-                keys = np.concatenate([keys_of(np.min(own * _MULT[k], keepdims=True), k, c) for k in range(HASHES)])
-                out.append((i + r, c, keys.view(np.int64), own.view(np.int64)))
+            for r in np.flatnonzero(np.diff(first)):
+                own, c = _item_shingles(words[first[r]:first[r + 1]])
+                out.append((i + r, c, _key_list(own, c).view(np.int64), own.view(np.int64)))
             if out:
                 rows = pa.array([o[0] for o in out], pa.int64())
                 yield pa.RecordBatch.from_arrays([
@@ -97,11 +118,22 @@ def _search(shared, classes: list[int]):
         for batch in batches:
             data, off = text_bytes(batch.column("text"))
             for i, j in blocks(off):
-                sh, at = _shingles(data[off[i]:off[j]], off[i:j + 1] - off[i])
+                words, first = word_hashes(data[off[i]:off[j]], off[i:j + 1] - off[i], ALNUM)
+                sh, at = shingle_hashes(words, first, SHINGLE)
                 count = np.diff(at)
                 docs, keys = [], []
+                short_docs, short = [], []
                 cuts = {}
                 for c in classes:
+                    if c < 0:
+                        run, doc = _short(words, first, -c)
+                        own = keys_of(run, 0, c)
+                        hit = bloom_hits(bits, own)
+                        docs.append(doc[hit])
+                        keys.append(own[hit])
+                        short_docs.append(doc[hit])
+                        short.append(run[hit])
+                        continue
                     u = stride(c)
                     n_seg = -(-count // u)
                     doc = np.repeat(np.arange(j - i), n_seg)
@@ -124,14 +156,19 @@ def _search(shared, classes: list[int]):
                 if not docs:
                     continue
                 docs, keys = np.concatenate(docs), np.concatenate(keys)
+                short_docs = np.concatenate([np.zeros(0, np.int64), *short_docs])
+                short = np.concatenate([np.zeros(0, U64), *short])[np.argsort(short_docs, kind="stable")]
+                short_docs.sort()
                 rows = np.unique(docs)
+                low, high = (np.searchsorted(short_docs, rows, side) for side in ("left", "right"))
                 if len(rows) == 0:
                     continue
                 yield pa.RecordBatch.from_arrays([
                     _uids(len(rows), seen), batch.column("doc_id").take(pa.array(i + rows)),
                     batch.column("tk").take(pa.array(i + rows)),
                     pa.array([np.unique(keys[docs == r]).view(np.int64) for r in rows], pa.list_(pa.int64())),
-                    pa.array([np.unique(sh[at[r]:at[r + 1]]).tobytes() for r in rows], pa.binary())],
+                    pa.array([np.unique(np.concatenate([sh[at[r]:at[r + 1]], short[p:q]])).tobytes()
+                              for r, p, q in zip(rows, low, high, strict=True)], pa.binary())],
                     ["doc", "doc_id", "tk", "keys", "shingles"])
                 seen += len(rows)
 

@@ -37,6 +37,11 @@ _SHINGLES = f"""(SELECT DISTINCT id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN le
     ELSE [array_to_string(w[i:i + 4], ' ') for i in range(1, len(w) - 3)] END) AS g
   FROM (SELECT {{id}} AS id, regexp_extract_all({_LOWER}, '[a-z0-9\\x{{{{80}}}}-\\x{{{{10FFFF}}}}]+') AS w FROM {{table}}))"""
 
+#: Runs of one to four words of documents, of those word counts that items have.
+_SHORT_RUNS = f"""(SELECT id, unnest([array_to_string(w[k:k + size - 1], ' ') for k in range(1, len(w) - size + 2)]) AS g
+  FROM (SELECT doc_id AS id, regexp_extract_all({_LOWER}, '[a-z0-9\\x{{80}}-\\x{{10FFFF}}]+') AS w FROM documents),
+       (SELECT DISTINCT len(string_split(g, ' ')) AS size FROM i WHERE len(string_split(g, ' ')) < 5))"""
+
 #: Runs of letters, digits and non-ASCII characters in lowered text.
 _TERM = r"[a-z0-9\x{80}-\x{10FFFF}]+"
 
@@ -51,7 +56,8 @@ c AS (SELECT a AS doc_id, min(b) AS class_id, count(*) AS class_size FROM reach
 SELECT c.doc_id, class_id, coalesce(k.n, 0) AS n_links, class_size, c.doc_id = class_id AS kept
 FROM c LEFT JOIN (SELECT a, count(*) AS n FROM l GROUP BY 1) k ON k.a = c.doc_id""",
     "op8_decontaminate": f"""
-WITH d AS {_SHINGLES.format(id="doc_id", table="documents")}, i AS {_SHINGLES.format(id="item_id", table="benchmark")},
+WITH d5 AS {_SHINGLES.format(id="doc_id", table="documents")}, i AS {_SHINGLES.format(id="item_id", table="benchmark")},
+d AS (SELECT id, g FROM d5 WHERE len(string_split(g, ' ')) = 5 UNION {_SHORT_RUNS}),
 n AS (SELECT id, count(*) AS n_item FROM i GROUP BY 1)
 SELECT doc_id, item_id, n_item, n_shared, n_shared / n_item AS containment
 FROM (SELECT d.id AS doc_id, i.id AS item_id, count(*) AS n_shared FROM d JOIN i ON d.g = i.g GROUP BY 1, 2)

@@ -2,14 +2,16 @@ import random
 
 from mercato.llm import decontaminate as dc
 
-from .util import docs, edge_rows, prose, shingles
+from .util import ALNUM, docs, edge_rows, prose, shingles, words
 
 
 def make():
     rng = random.Random(6)
     items = [(i, prose(rng, rng.choice([5, 6, 9, 14, 25, 40, 60, 200]), 5000)) for i in range(30)]
-    items += [(90, None), (91, ""), (92, "only three words"), (None, prose(rng, 20, 5000)), (93, items[4][1])]
-    rows = edge_rows() + [(50, "only Three words")]
+    items += [(90, None), (91, ""), (92, "only three words"), (None, prose(rng, 20, 5000)), (93, items[4][1]), (94, "Zebra quokka"),
+              (95, "lemur"), (96, "one two three four"), (97, "quokka zebra")]
+    rows = edge_rows() + [(50, "only Three words"), (51, "three words"), (52, prose(rng, 300) + " zebra, QUOKKA " + prose(rng, 200)),
+                          (53, "a lemur"), (54, "lemurs"), (55, "one two three, four five"), (56, "zebra"), (57, "zebra quokka zebra")]
     for k in range(60):
         body = prose(rng, rng.choice([10, 100, 1500])).split()
         t = items[rng.randrange(30)][1].split()
@@ -25,11 +27,14 @@ def make():
 
 
 def brute(rows, items):
-    own = [(r[0], shingles(r[1])) for r in rows]
     out = []
     for i, t in items:
         q = shingles(t)
-        out += [(d, i, len(q), len(q & s)) for d, s in own if q and len(q & s) / len(q) >= 0.8]
+        size = len(next(iter(q))) if q else 0
+        for r in rows if q else []:
+            w = words(r[1], ALNUM)
+            n = len(q & {tuple(w[k:k + size]) for k in range(len(w) - size + 1)})
+            out += [(r[0], i, len(q), n)] if n / len(q) >= 0.8 else []
     return sorted(out, key=repr)
 
 
@@ -54,3 +59,20 @@ def test_empty_sides(spark):
     assert dc.leaks(docs(spark, rows[:5]), none).count() == 0
     assert dc.leaks(docs(spark, []), spark.createDataFrame(items[:3], "item_id long, text string")).count() == 0
     assert dc.clean(docs(spark, rows[:5]), none).count() == 5
+
+
+def test_sql_twin_finds_short_items(spark):
+    import duckdb
+
+    from mercato.llm.sql import ORACLE
+
+    rows, items = make()
+    rows, items = [(i, r[1]) for i, r in enumerate(rows)], [(i, t[1]) for i, t in enumerate(items)]
+    con = duckdb.connect()
+    con.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR)")
+    con.execute("CREATE TABLE benchmark (item_id BIGINT, text VARCHAR)")
+    con.executemany("INSERT INTO documents VALUES (?, ?)", rows)
+    con.executemany("INSERT INTO benchmark VALUES (?, ?)", items)
+    got = con.execute(f"SELECT doc_id, item_id, n_item, n_shared FROM ({ORACLE['op8_decontaminate']})").fetchall()
+    assert sorted(got) == brute(rows, items)
+    assert any(n == 1 and len((rows[d][1] or "").split()) > 400 for d, i, n, _ in got if i in (34, 35))
