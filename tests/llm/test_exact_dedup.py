@@ -33,19 +33,37 @@ def test_hash_collisions_are_chained(spark):
     d = docs(spark, rows)
     got = sorted((tuple(r) for r in exact_dedup.groups(d, key=weak).collect()), key=repr)
     assert got == brute(rows)
-    index = exact_dedup.build_index(d, key=weak)
+    index = exact_dedup.build_index(d, key=weak).entries
     assert index.agg(F.max("chain")).first()[0] > 1
 
 
 def test_directory_doubles_where_buckets_are_full(spark):
     rows = [(i, f"text {i}") for i in range(600)]
-    index = exact_dedup.build_index(docs(spark, rows), capacity=50, max_depth=10)
+    index = exact_dedup.build_index(docs(spark, rows), capacity=50, max_depth=10).entries
     sizes = [r["count"] for r in index.groupBy("bucket").count().collect()]
     assert sum(sizes) == 600 and max(sizes) <= 50 and len(sizes) > 600 / 50
     # each leaf is a prefix of its own: no cell belongs to two buckets
     assert index.groupBy("bucket").agg(F.countDistinct("depth").alias("d")).filter("d > 1").count() == 0
 
 
+def test_result_goes_through_the_directory(spark):
+    d = docs(spark, [(i, f"text {i % 500}") for i in range(600)])
+    index = exact_dedup.build_index(d, capacity=50)
+    assert index.lookup().count() == 600
+    assert index.entries.filter(F.expr("bucket <> shiftright(shiftrightunsigned(key, 1), 63 - depth) + shiftleft(1L, depth)")).count() == 0
+    lost = index.leaves.orderBy("cell").first()["bucket"]
+    index.leaves = index.leaves.filter(F.col("bucket") != lost)
+    inside = index.entries.filter(F.col("bucket") == lost).agg(F.sum("group_size")).first()[0]
+    assert index.lookup().count() == 600 - inside
+
+
+def test_capacity_grows_beyond_the_deepest_directory(spark):
+    rows = [(i, f"text {i}") for i in range(600)]
+    index = exact_dedup.build_index(docs(spark, rows), capacity=1, max_depth=5)
+    assert index.leaves.count() <= 32
+    assert index.lookup().filter("doc_id = keep_id and group_size = 1").count() == 600
+
+
 def test_deduplicate_keeps_rows_and_columns(spark):
     rows = edge_rows()
     d = docs(spark, rows)
