@@ -13,9 +13,10 @@ likelihood of a text is the exact scaled forward recursion over its classes,
 times the product of the word shares.
 
 1. The texts are read once. Blocks of about ``BLOCK_TEXT`` bytes become
-   rows with the block's dictionary (words, classes, training counts) and the
-   token sequences as indices into it; they are written to the shared folder
-   and the later passes read them instead of the texts.
+   rows with the block's dictionary (words, classes, training counts), the
+   token sequences as indices into it, and the class sequences of the learnable
+   texts, all that the rounds read; they are written to the shared folder and
+   the later passes read them instead of the texts.
 2. Word counts over the whole corpus: the dictionaries are dealt by word and
    summed, and the totals go back to the blocks; a very common word has one
    row a block, not one an occurrence.
@@ -41,7 +42,6 @@ import hashlib
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
@@ -71,13 +71,13 @@ START_TOLERANCE = 2e-2
 WINDOW = 256
 #: Moves that the Baum-Welch rounds start from.
 STAY = 20
-BLOCK_TEXT = 12 << 20
+BLOCK_TEXT = 9 << 20
 #: Words of more bytes get a cryptographic key.
 LONG_WORD = 64
 #: Expected counts are summed in units of 1 / FIXED.
 FIXED = 1 << 14
 #: Tokens of forward-backward at once inside a task.
-CHUNK = 600_000
+CHUNK = 300_000
 #: Steps of the recursion between two scalings, and the least scale that this is good for.
 EVERY = 4
 SMALLEST = 1e-20
@@ -273,13 +273,15 @@ def _encode(batches):
     def row(held):
         nonlocal n
         hashes = np.concatenate([h[0] for h in held])
-        index, words = pd.factorize(hashes)
-        times = np.bincount(index, minlength=len(words))
-        at = np.empty(len(words), np.int64)
-        at[index[::-1]] = np.arange(len(index) - 1, -1, -1)
-        classes = np.concatenate([h[1] for h in held])[at]
+        words, at, index, times = np.unique(hashes, return_index=True, return_inverse=True, return_counts=True)
+        of_tokens = np.concatenate([h[1] for h in held])
+        classes = of_tokens[at]
         count = np.concatenate([h[2] for h in held])
         learn = np.concatenate([h[3] for h in held])
+        rows = np.flatnonzero(learn)
+        # long texts together, so that few steps have few texts
+        rows = rows[np.argsort(-count[rows], kind="stable")]
+        sequences, first = _subset(*_with_ends(of_tokens, count), rows)
         learned = np.bincount(index, weights=np.repeat(learn, count), minlength=len(words)).astype(np.int64)
         order = np.argsort(-times, kind="stable")  # small indices for common words pack well
         new = np.empty(len(words), np.int64)
@@ -291,14 +293,15 @@ def _encode(batches):
             pa.array([(TaskContext.get().partitionId() << 32) + n], pa.int64()),
             pa.ListArray.from_arrays(pa.array([0, len(ids)], pa.int32()), ids),
             pa.ListArray.from_arrays(pa.array([0, len(ids)], pa.int32()), flags),
-            pa.ListArray.from_arrays(pa.array([0, len(ids)], pa.int32()), pa.array(learn)),
+            pa.array([sequences.tobytes()], pa.binary()),
+            pa.array([np.diff(first).astype(np.uint32).tobytes()], pa.binary()),
             pa.array([count.astype(np.uint32).tobytes()], pa.binary()),
             pa.array([(index & 0xFFFF).astype(np.uint16).tobytes()], pa.binary()),
             pa.array([(index >> 16).astype(np.uint16).tobytes()], pa.binary()),
             pa.array([words[order].tobytes()], pa.binary()),
             pa.array([classes[order].tobytes()], pa.binary()),
             pa.array([learned[order].tobytes()], pa.binary()),
-        ], ["block", "ids", "held", "learn", "count", "low", "high", "words", "classes", "learned"])
+        ], ["block", "ids", "held", "sequences", "steps", "count", "low", "high", "words", "classes", "learned"])
         n += 1
         return out
 
@@ -327,17 +330,15 @@ def _tokens(batch, r: int):
             np.frombuffer(batch.column("count")[r].as_buffer(), np.uint32).astype(np.int64))
 
 
-def _sequences(batch, r: int):
-    """(classes, first) of the texts of row r, each with its end token."""
-    index, count = _tokens(batch, r)
-    own = np.frombuffer(batch.column("classes")[r].as_buffer(), np.uint16)
+def _with_ends(classes, count):
+    """(classes, first) of texts of ``count`` words, each with its end token."""
     first = np.zeros(len(count) + 1, np.int64)
     np.cumsum(count + 1, out=first[1:])
-    classes = np.full(first[-1], END, np.uint16)
+    out = np.full(first[-1], END, np.uint16)
     inside = np.ones(first[-1], bool)
     inside[first[1:] - 1] = False
-    classes[inside] = own[index]
-    return classes, first
+    out[inside] = classes
+    return out, first
 
 
 def _subset(classes, first, rows):
@@ -368,11 +369,8 @@ def _expect(shared, step):
         start, moves, counts, log = np.zeros(STATES), np.zeros((STATES, STATES)), np.zeros((STATES, CLASSES)), 0.0
         for batch in batches:
             for r in range(batch.num_rows):
-                classes, first = _sequences(batch, r)
-                rows = np.flatnonzero(np.array(batch.column("learn")[r].as_py(), bool))
-                # long texts together, so that few steps have few texts
-                rows = rows[np.argsort(-np.diff(first)[rows], kind="stable")]
-                classes, first = _subset(classes, first, rows)
+                classes = np.frombuffer(batch.column("sequences")[r].as_buffer(), np.uint16)
+                first = np.concatenate([[0], np.cumsum(np.frombuffer(batch.column("steps")[r].as_buffer(), np.uint32), dtype=np.int64)])
                 for i, j in blocks(first, CHUNK):
                     s, v, c, g = step(m, classes[first[i]:first[j]], first[i:j + 1] - first[i])
                     start += s
@@ -397,7 +395,7 @@ def fit(coded: DataFrame, model: Hmm, tolerance: float = TOLERANCE):
     for step, least in ((mixed, START_TOLERANCE), (_expected, tolerance)):
         logs = []
         while len(logs) < 2 or logs[-1] - logs[-2] > least * abs(logs[-2]):
-            sums = (coded.select("learn", "count", "low", "high", "classes")
+            sums = (coded.select("sequences", "steps")
                     .transform(map_arrow, _expect(sc.broadcast(model), step), "key long, " + ", ".join(f"{k} long" for k in names))
                     .groupBy("key").agg(*[F.sum(k).alias(k) for k in names]).toArrow())
             table = np.zeros((STATES, CLASSES + STATES + 2))
@@ -426,7 +424,7 @@ def _score(shared):
                 return run[lead[1:]] - run[lead[:-1]]
 
             plus = np.log10(c + 1.0)
-            classes, first = _sequences(right, r)
+            classes, first = _with_ends(own[index], count)
             words = sums(plus)
             known = np.rint(sums((c > 0).astype(float))).astype(np.int64)
             ends, end_known = base
@@ -453,7 +451,7 @@ def score(docs: DataFrame, *, folds: int = 7, held: int = 2, tolerance: float =
     rows = docs.select(F.col(id_col).alias("doc_id"), learnable(id_col, folds, held).alias("learn"),
                        held_out(id_col, folds, held).alias("held"), F.col(text_col).alias("text"))
     coded = cut(rows.transform(map_arrow, _encode, f"block long, ids array<{id_type}>, held array<boolean>, "
-                               "learn array<boolean>, count binary, low binary, high binary, words binary, "
+                               "sequences binary, steps binary, count binary, low binary, high binary, words binary, "
                                "classes binary, learned binary"), "coded")
 
     # counts of every word over the corpus, brought back to each dictionary
