@@ -14,7 +14,8 @@ is a table look-up, one row for each pair of bytes.
 
 Defined cases: a null text, or one without a letter, is ``und`` with score 0;
 rows without label are predicted but not learned from; with no label at all
-every text is ``und``; repeated rows are predicted each; an empty table gives
+every text is ``und``; repeated rows are predicted each, of rows of one id the
+smallest text with a letter is learned from; an empty table gives
 an empty result. Language, source and id are never inputs.
 """
 
@@ -173,7 +174,9 @@ def train(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", la
     ids = can.select(F.col(id_col).alias("_id")).distinct().orderBy(F.md5(F.col("_id").cast("string"))).limit(sample_rows)
     rows = (can.select(F.col(id_col).alias("_id"), F.col(lang_col).alias("lang"), F.col(text_col).alias("text"))
             .join(F.broadcast(ids), "_id")  # sample_rows bounds it
-            .filter(has_letter(F.col("text"))).select("lang", "text")
+            .filter(has_letter(F.col("text")))
+            # one row an id, so that sample_rows bounds the rows too
+            .groupBy("_id").agg(F.min(F.struct("text", "lang")).alias("row")).select("row.lang", "row.text")
             .transform(map_arrow, _sample_windows, "lang string, window binary").toArrow())
     if rows.num_rows == 0:
         return None

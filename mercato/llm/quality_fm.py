@@ -16,7 +16,7 @@ fixed. Labels, language, source and id are never inputs.
 
 Defined cases: a null or empty text gets the score of its (all zero) word
 columns; rows without label are scored but not learned from; repeated labels
-of one id are averaged; with no usable label, or only one class, the score is
+of one id are averaged, of rows of one id the smallest text is learned from; with no usable label, or only one class, the score is
 the smoothed share of label 1 (0.5 with none); an empty table gives an empty
 result.
 """
@@ -204,7 +204,9 @@ def train(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_co
            .groupBy(F.col(id_col).alias("_id")).agg(F.avg(F.col(label_col).cast("double")).alias("label"))
            .orderBy(F.md5(F.col("_id").cast("string"))).limit(sample_rows))
     rows = (docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("text"))
-            .join(F.broadcast(ids), "_id").select("label", "text")  # sample_rows bounds it
+            .join(F.broadcast(ids), "_id")  # sample_rows bounds it
+            # one row an id, so that sample_rows bounds the rows too
+            .groupBy("_id").agg(F.min("text").alias("text"), F.min("label").alias("label")).select("label", "text")
             .transform(map_arrow, _extract, "label double, cols binary, vals binary, stats binary, bucket int").collect())
     if not rows:
         return Model(np.zeros(N_STATS), np.ones(N_STATS), 0.0, np.zeros(N_COLS), np.zeros((N_COLS, FACTORS)))

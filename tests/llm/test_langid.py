@@ -61,3 +61,11 @@ def test_edges(spark):
     assert [tuple(r) for r in langid.predict(unlabelled, None).collect()] == [(1, "und", 0.0)]
     empty = docs(spark, [])
     assert langid.predict(empty, langid.train(empty)).count() == 0
+
+
+def test_an_id_is_learned_from_once(spark):
+    rows = corpus()
+    net = langid.train(docs(spark, rows))
+    hot = next(r for r in rows if crc(r[0], 5) != 0)
+    again = langid.train(docs(spark, rows + [hot] * 200))
+    assert np.array_equal(net.embed, again.embed) and np.array_equal(net.out, again.out)

@@ -69,3 +69,11 @@ def test_keep_filters_rows(spark):
     want = sorted((r.doc_id for r in fm.score(d, model).collect() if r.score >= 0.5), key=repr)
     assert sorted((r.doc_id for r in out.collect()), key=repr) == want
     assert fm.keep(docs(spark, []), model).count() == 0
+
+
+def test_an_id_is_learned_from_once(spark):
+    rows, labels = corpus()
+    lab = spark.createDataFrame(labels, "doc_id long, quality int")
+    hot = next(rows[i] for i, _ in labels if crc(i, 3) != 1)
+    model, again = (fm.train(docs(spark, r), lab) for r in (rows, rows + [hot] * 200))
+    assert np.array_equal(model.w, again.w) and np.array_equal(model.v, again.v)
