@@ -87,7 +87,7 @@ def steps(spark: SparkSession, bronze: dict[str, DataFrame], out: str, reports:
         def graph_queries():
             n, e = loaded["graph"].nodes, loaded["graph"].edges
             for df in (graph.top_sellers_by_revenue(n, e), graph.top_categories_by_review(n, e),
-                       graph.multi_state_buyers(n, e), graph.category_pairs(S())):
+                       graph.multi_state_buyers(n), graph.category_pairs(S())):
                 _noop(df)
         st.append(("graph_queries", graph_queries))
     st.append(("rec_content_similar", lambda: write_table(content.similar(G()["product_features"], 10),
