@@ -5,7 +5,7 @@ from collections import Counter
 from pyspark.sql import functions as F
 
 from mercato.plans import gold, graph, queries, silver
-from mercato.plans.recommend import als
+from mercato.plans.recommend import als, cold_start
 
 
 def _plan(df):
@@ -116,3 +116,25 @@ def test_models_take_the_tables_of_their_query(spark, tmp_path, monkeypatch):
     ten = als.recommend(model, idx, n=10)
     key = lambda d: sorted((r.customer_unique_id, r["rank"], r.product_id) for r in d.collect())
     assert key(lists.where("rank <= 10")) == key(ten)
+
+
+def test_serving_lists_are_ranked_once_a_context(spark):
+    # (segment type, segment value, product, category, orders): equal counts, a product in two segments, no count
+    top = [("state", "A", "p1", "c1", 5), ("state", "A", "p2", "c2", 5), ("state", "A", "p3", "c1", 9), ("state", "B", "p4", "c2", None),
+           ("category", "c1", "p1", "c1", 7), ("category", "c1", "p5", "c1", 7), ("global", "all", "p6", None, 20), ("global", "all", "p3", "c1", 9)]
+    asked = [("u1", "A", "c1"), ("u2", "A", None), ("u3", "Z", "c1"), ("u4", None, None), ("u5", "B", "c1"), ("u6", "Z", "nope"), ("u1", "A", "c1"), ("u7", None, "c2")]
+    req = spark.createDataFrame(asked, "customer_unique_id string, state string, category string")
+    out = cold_start.recommend_serving(req, spark.createDataFrame(
+        top, "segment_type string, segment_value string, product_id string, product_category_name_english string, total_orders long"), n=2)
+    # the requests only look their list up
+    assert "Window" not in _plan(out) and _plan(out).count("Join") == 1
+    want = Counter()
+    for u, st, cat in set(asked):
+        for level, rows in (("state", [t for t in top if st is not None and t[1] == st]), ("category", [t for t in top if cat is not None and t[3] == cat]), ("global", top)):
+            if rows:
+                best = {}
+                for t in rows:
+                    best[t[2]] = max(best.get(t[2], -1), -1 if t[4] is None else t[4])
+                want.update((u, level, i + 1, p) for i, (_, p) in enumerate(sorted((-c, p) for p, c in best.items())[:2]))
+                break
+    assert Counter((r.customer_unique_id, r.level, r["rank"], r.product_id) for r in out.collect()) == want
