@@ -1,9 +1,11 @@
 """Tables that several steps read are made once; the steps count what plain Python counts."""
 
+import itertools
 from collections import Counter
 
 from pyspark.sql import functions as F
 
+from mercato.operators import histogram
 from mercato.plans import gold, graph, queries, silver
 from mercato.plans.recommend import als, cold_start
 
@@ -138,3 +140,28 @@ def test_serving_lists_are_ranked_once_a_context(spark):
                 want.update((u, level, i + 1, p) for i, (_, p) in enumerate(sorted((-c, p) for p, c in best.items())[:2]))
                 break
     assert Counter((r.customer_unique_id, r.level, r["rank"], r.product_id) for r in out.collect()) == want
+
+
+def test_histogram_reads_its_rows_once(spark):
+    rows = [(float(i % 7), i) for i in range(50)] + [(None, 1), (float("nan"), 2)]
+    df = spark.createDataFrame(rows, "x double, k int").join(spark.range(50).select(F.col("id").cast("int").alias("k")), "k")
+    out = histogram(df, "x", 3)
+    assert "k#" not in _plan(out)
+    assert sorted((r.bin, r.bin_start, r.bin_end, r["count"]) for r in out.collect()) == [(0, 0.0, 2.0, 15), (1, 2.0, 4.0, 14), (2, 4.0, 6.0, 21)]
+
+
+def test_pairs_carry_their_products_counts(spark):
+    layer = _layer(spark)
+    baskets = {}
+    for i in layer["order_items"].collect():
+        baskets.setdefault(i.order_id, []).append(i.product_id)
+    baskets = [set(b) for b in baskets.values() if len(b) > 1]
+    n, pairs = Counter(p for b in baskets for p in b), Counter(x for b in baskets for x in itertools.combinations(sorted(b), 2))
+    want = {(a, b, c, round(c / (n[a] + n[b] - c), 6)) for (a, b), c in pairs.items()}
+    for bucket_rows in (1, 2048):
+        scores = gold.cooccurrence_scores(layer, bucket_rows)
+        # nothing is joined to the counted pairs
+        assert "Join" not in _plan(scores).split("Aggregate")[0] and _plan(scores).count("Join") == 3
+        assert {tuple(r) for r in scores.collect()} == want and want
+    cat = {r.product_id: {"c0": "cat0", "c1": "cat1"}.get(r.product_category_name) for r in layer["products"].collect()}
+    assert {tuple(r) for r in gold.cooccurrence(layer).collect()} == {(a, b, cat.get(a), cat.get(b), c, s) for a, b, c, s in want}
