@@ -119,3 +119,21 @@ def test_fallbacks_by_request(spark):
     got = sorted((r.request_id, r.strategy, r.product_id) for r in hybrid.serve(req, cand, known, cold, ft, Sum(), n=1).collect())
     assert got == [("r1", hybrid.HYBRID, "p2"), ("r2", hybrid.COLD_START, "c2"), ("r3", hybrid.COLD_START, "c3"),
                    ("r4", hybrid.NO_CANDIDATES, "c4")]
+
+
+def test_candidates_are_scored_once_and_in_all_partitions(spark):
+    ft, cand = tables(spark)
+    req = spark.createDataFrame([("u",), ("new",)], "customer_unique_id string").select(
+        "*", *[F.lit(None).cast(t).alias(c) for c, t in (("state", "string"), ("category", "string"), ("price", "double"))])
+    cold = req.select("customer_unique_id", F.lit(1).cast("long").alias("rank"), F.lit("c").alias("product_id"))
+    plan = lambda d: d._jdf.queryExecution().sparkPlan().toString()
+    served = hybrid.serve(req, cand, cand.select("customer_unique_id"), cold, ft, Sum(), n=1)
+    # the fallbacks find their requests without a second scoring
+    assert sum("produto_avg_review_score" in x and "/ 10" in x for x in plan(served).splitlines()) == 1
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    listed = hybrid.rerank(cand, ft, Sum(), n=2)
+    for scored in (served, listed):
+        assert scored._jdf.queryExecution().optimizedPlan().toString().count("RepartitionByExpression") == 1
+        assert f", {parts}" in scored._jdf.queryExecution().optimizedPlan().toString()
+    got = {(r.customer_unique_id, r["rank"]): r.product_id for r in listed.collect()}
+    assert got == {("u", 1): "p1", ("u", 2): "p3", ("v", 1): "p1", ("v", 2): "p3"}

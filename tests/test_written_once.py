@@ -1,6 +1,7 @@
 """Tables that several steps read are made once; the steps count what plain Python counts."""
 
 import itertools
+import threading
 from collections import Counter
 
 from pyspark.sql import functions as F
@@ -165,3 +166,12 @@ def test_pairs_carry_their_products_counts(spark):
         assert {tuple(r) for r in scores.collect()} == want and want
     cat = {r.product_id: {"c0": "cat0", "c1": "cat1"}.get(r.product_category_name) for r in layer["products"].collect()}
     assert {tuple(r) for r in gold.cooccurrence(layer).collect()} == {(a, b, cat.get(a), cat.get(b), c, s) for a, b, c, s in want}
+
+
+def test_fits_run_at_the_same_time(spark):
+    both = threading.Barrier(2, timeout=60)  # broken unless both are inside
+    count = lambda n: both.wait() is not None and spark.range(n).count()
+    assert queries._together(lambda: count(3), lambda: count(5)) == [3, 5]
+    a, made = queries._Assets(spark, "nowhere"), []
+    a._make["bronze"] = lambda: made.append(1) or "b"
+    assert queries._together(lambda: a["bronze"], lambda: a["bronze"]) == ["b", "b"] and made == [1]
