@@ -9,8 +9,10 @@ import numpy as np
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import functions as F
 
+from mercato.operators import layer_overview
 from mercato.plans.recommend import als, hybrid
 from mercato.session import ensure_checkpoint_dir
+from mercato.sources.keyed import KeyedTable
 
 
 def shuffles(spark):
@@ -125,3 +127,24 @@ def test_requests_twice_or_without_id_keep_their_lists(spark):
                  key=str)
     assert got == sorted([("a", 1, "p0"), ("a", 2, "p0"), ("a", 3, "p1"), ("a", 4, "p1"),
                           (None, 1, "p2"), (None, 2, "p1"), (None, 3, "p0")], key=str)
+
+
+def test_loads_leave_nothing_but_the_table(spark, tmp_path):
+    rows = spark.createDataFrame([(f"k{i}", f"o{i % 9}", float(i)) for i in range(60)], "item_id string, order_id string, price double")
+    before, files = folders(spark), spark.sparkContext._jsc.sc().getCheckpointDir().get().removeprefix("file:")
+    rdds = {f for f in os.listdir(files) if f.startswith("rdd-")}
+    t = KeyedTable.open(spark, "disk_items", str(tmp_path / "items"), rows.schema, ["item_id"], "order_id", buckets=3)
+    t.upsert(rows.where("price < 20"))
+    t.upsert(rows)
+    assert t.upsert(rows) == []
+    t.upsert(rows.where("price < 5").withColumn("price", F.lit(-1.0)), replace=True)
+    assert sorted((r.item_id, r.price) for r in t.rows().collect()) == sorted((f"k{i}", -1.0 if i < 5 else float(i)) for i in range(60))
+    assert not {f for f in folders(spark) - before if f.startswith("cut-")} and not {f for f in os.listdir(files) if f.startswith("rdd-")} - rdds
+
+
+def test_overview_runs_one_table_after_the_other(spark):
+    a = spark.createDataFrame([(1, None), (2, "x"), (2, None)], "k int, v string")
+    df = layer_overview({"a": a, "b": a.groupBy("k").count(), "c": a.where("false")})
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and plan.count("FileScan") == 3
+    assert sorted(tuple(r) for r in df.collect()) == [("a", 3, 2, 2), ("b", 2, 2, 0), ("c", 0, 2, 0)]
